@@ -17,19 +17,22 @@ BREACH_COLUMNS = (
     "call_id", "call_uuid", "audio_url", "call_url", "flow_uuid", "client_uuid", "reftime",
     "is_breach", "compliance_output", "tokens_consumed", "call_information",
 )
-NO_ENTITIES = "array<struct<type:string,text:string>>"
 
 
-def intent_requests(df: DataFrame, template: str, name: str = "prompt") -> DataFrame:
-    """INF-1: adds the prompt; rows without utterance or context, or with bad JSON, go."""
-    filled = text.fill_prompt(
+def intent_prompt(template: str) -> Column:
+    """The prompt of a turn; null where the utterance or the context cannot be read."""
+    return text.fill_prompt(
         template,
         jsons.bot_response(F.col("context")),
         jsons.primary_transcript(F.col("utterances")),
         F.col("state"),
     )
-    asked = require_present(df, ["utterances", "context"]).withColumn(name, filled)
-    return require_present(asked, [name])
+
+
+def intent_requests(df: DataFrame, template: str, name: str = "prompt") -> DataFrame:
+    """INF-1: adds the prompt; rows without utterance or context, or with bad JSON, go."""
+    present = require_present(df, ["utterances", "context"])
+    return require_present(present.withColumn(name, intent_prompt(template)), [name])
 
 
 def run_inference(
@@ -70,7 +73,9 @@ def run_inference(
     return spread.mapInPandas(call, out.add("error", "string"))
 
 
-def breach_results(calls: DataFrame, responses: DataFrame, key: str = "call_id") -> DataFrame:
+def breach_results(
+    calls: DataFrame, responses: DataFrame, key: str | list[str] = "call_id"
+) -> DataFrame:
     """INF-3: the audit table. A response without a ``breach`` flag gives no row.
 
     ``calls`` has the call metadata and ``call_information``; ``responses`` has

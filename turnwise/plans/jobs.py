@@ -8,7 +8,7 @@ from datetime import date, datetime
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from turnwise.functions import jsons, text
+from turnwise.functions import jsons, text, times
 from turnwise.operators import (
     calls, columns, datasets, dimensions, evaluation, filters, inference, joins,
 )
@@ -43,33 +43,28 @@ def predict_intents(
 
     Every distinct prompt is asked once. ``infer_fn`` gives text, logprobs and tokens.
     """
-    asked = inference.intent_requests(
-        turns.select("utterances", "context", "state").distinct(), template
-    )
+    request_id = F.sha2("prompt", 256)
+    asked = inference.intent_requests(turns.select("utterances", "context", "state"), template)
     answers = inference.run_inference(
-        asked.select("prompt").distinct(),
+        asked.select(request_id.alias("request_id"), "prompt").distinct(),
         infer_fn,
         "text string, logprobs array<double>, tokens bigint",
-        ["prompt"],
+        ["request_id"],
         tasks,
     ).where("error is null")
-    from turnwise.functions.times import sequence_probability
-
     results = answers.select(
-        "prompt",
+        "request_id",
         F.col("text").alias("gpt_intent"),
-        sequence_probability(F.col("logprobs")).alias("gpt_prob"),
+        times.sequence_probability(F.col("logprobs")).alias("gpt_prob"),
         F.col("tokens").alias("gpt3-tokens-consumed"),
     )
-    prompt = text.fill_prompt(
-        template,
-        jsons.bot_response(F.col("context")),
-        jsons.primary_transcript(F.col("utterances")),
-        F.col("state"),
+    # The short hash, not the long prompt, is shuffled with the turns.
+    keyed = turns.withColumn("prompt", inference.intent_prompt(template)).withColumn(
+        "request_id", request_id
     )
     joined = joins.attach_results(
-        turns.withColumn("prompt", prompt), results, "prompt", columns.INTENT_DEFAULTS
-    ).drop("prompt")
+        keyed.drop("prompt"), results, "request_id", columns.INTENT_DEFAULTS
+    ).drop("request_id")
     stripped = joined.withColumn("gpt_intent", text.strip(F.col("gpt_intent")))
     return columns.agreement_flag(stripped, "intent", "gpt_intent")
 
@@ -194,13 +189,7 @@ def compliance_job(
         ["call_id", "part"],
         tasks,
     ).where("error is null")
-    flag = F.try_variant_get(jsons.json_slice(F.col("compliance_output")), "$.breach", "boolean")
-    judged = (
-        ready.join(answers, ["call_id", "part"], "inner")
-        .withColumn("is_breach", flag)
-        .where("is_breach is not null")
-        .select(*inference.BREACH_COLUMNS)
-    )
+    judged = inference.breach_results(ready, answers, ["call_id", "part"])
     accepted, rejected = writers.validated_append(judged)
     return accepted, rejected, calls.count_breaches(accepted)
 
@@ -223,7 +212,8 @@ def train_test_job(
     tag: str = "tag",
 ) -> tuple[DataFrame, DataFrame | None]:
     """(train, test). Train labels are renamed, then removed; test labels are removed, then
-    renamed. The legacy rules leave a held-out test set as it is."""
+    renamed. The legacy rules know no held-out test set."""
+    custom_test = None if legacy else custom_test
     new = datasets.merge_tagged_sources(annotated, uploaded, tag)
     held_out = (
         custom_test.withColumn(tag, jsons.first_tag(F.col(tag))) if custom_test is not None else None
@@ -232,7 +222,7 @@ def train_test_job(
         new, key, old_train, old_test, held_out, use_previous, train_percent, stratify, initial, seed
     )
     train = filters.drop_labels(columns.alias_labels(train, alias, tag), remove, tag)
-    if test is not None and not (legacy and held_out is not None):
+    if test is not None:
         test = columns.alias_labels(filters.drop_labels(test, remove, tag), alias, tag)
     return train, test
 
