@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from turnwise.functions import jsons, text, times
 from turnwise.operators.calls import first_per_key
-from turnwise.operators.filters import LONG_LIST
+from turnwise.operators.filters import LONG_LIST, literal_table
 from turnwise.operators.skew import lookup_join
 
 # The columns of the call-level view.
@@ -53,10 +53,8 @@ def alias_labels(
     if not pairs:
         return df
     if len(pairs) > LONG_LIST:
-        spark = df.sparkSession
-        return alias_labels(
-            df, spark.createDataFrame(list(pairs.items()), "source string, target string"), col
-        )
+        table = literal_table(df.sparkSession, source=list(pairs), target=list(pairs.values()))
+        return alias_labels(df, table, col)
     mapping = F.create_map(*[F.lit(x) for x in chain.from_iterable(pairs.items())])
     return df.withColumn(col, F.coalesce(F.try_element_at(mapping, F.col(col)), F.col(col)))
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from turnwise.functions import text
-from turnwise.operators.filters import LONG_LIST
+from turnwise.operators.filters import LONG_LIST, literal_table
 from turnwise.operators.skew import serial_numbers
 from turnwise.session import materialize
 
@@ -103,7 +103,7 @@ def invalidate(dim: DataFrame, ids: Iterable[int] | DataFrame, id_col: str = "id
         if len(listed) <= LONG_LIST:
             hit = F.col(id_col).isin(listed) if listed else F.lit(False)
             return dim.withColumn("is_valid", F.when(hit, False).otherwise(F.col("is_valid")))
-        ids = dim.sparkSession.createDataFrame([(i,) for i in listed], f"{id_col} bigint")
+        ids = literal_table(dim.sparkSession, **{id_col: listed})
     gone = ids.select(F.col(id_col).cast(dim.schema[id_col].dataType)).distinct()
     marked = dim.join(gone.withColumn("_gone", F.lit(True)), id_col, "left")
     return marked.withColumn(

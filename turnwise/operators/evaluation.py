@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from turnwise.functions import jsons, text
+from turnwise.operators.filters import literal_table
 
 # Rows of a report that are no labels, in their order, and its columns.
 SPECIAL_ROWS = ("accuracy", "macro avg", "weighted avg")
@@ -107,7 +108,7 @@ def compare_classification_reports(r1: DataFrame, r2: DataFrame | None = None) -
     """
     if r2 is None:
         return r1
-    specials = r1.sparkSession.createDataFrame([(x,) for x in SPECIAL_ROWS], "label string")
+    specials = literal_table(r1.sparkSession, label=SPECIAL_ROWS)
     tagged = (
         r1.select("label", *[F.col(f"`{m}`") for m in METRICS], F.lit(1).alias("_side"))
         .unionByName(

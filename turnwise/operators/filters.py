@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 from datetime import date, datetime, time, timedelta
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Call types sampled by default, accepted languages, age limit of a date.
@@ -49,9 +49,10 @@ def date_window(df: DataFrame, ts: str, **bounds) -> DataFrame:
     return df.where(F.col(ts).between(literal(first), literal(last)))
 
 
-def in_list(c: Column, values: Iterable | None) -> Column:
-    values = list(values) if values is not None else []
-    return c.isin(values) if values else F.lit(True)
+def literal_table(spark: SparkSession, **lists: Sequence) -> DataFrame:
+    """A table of values the caller passed in: one column per list, made inside the JVM."""
+    zipped = F.arrays_zip(*[F.lit(list(v)).alias(n) for n, v in lists.items()])
+    return spark.range(1).select(F.inline(zipped).alias(*lists))
 
 
 def filter_calls(
@@ -105,7 +106,7 @@ def drop_labels(df: DataFrame, labels: Sequence[str], col: str = "tag") -> DataF
         return df
     if len(labels) <= LONG_LIST:
         return df.where(~F.coalesce(F.col(col).isin(labels), F.lit(False)))
-    listed = df.sparkSession.createDataFrame([(x,) for x in labels], f"`{col}` string")
+    listed = literal_table(df.sparkSession, **{col: labels})
     return df.join(listed, col, "left_anti")
 
 
