@@ -10,14 +10,17 @@ from turnwise.functions import jsons
 DOUBLE = "'\"' || replace({0}, '\"', chr(92) || '\"') || '\"'"
 
 
-@query("first_tag", f"""
+FIRST_TAG = f"""
 WITH once AS (SELECT event_id, tag, CASE WHEN json_valid(tag) THEN CAST(tag AS JSON) END AS j FROM ({TAGS})),
 twice AS (SELECT event_id, tag, j, CASE WHEN json_type(j) = 'VARCHAR' THEN j ->> '$' END AS s FROM once),
 value AS (SELECT event_id, coalesce(s, tag) AS raw,
   CASE WHEN s IS NULL THEN j WHEN json_valid(s) THEN CAST(s AS JSON) END AS v FROM twice)
 SELECT event_id, CASE WHEN v IS NULL THEN raw WHEN json_type(v) = 'ARRAY' THEN v ->> '$[0]'
   WHEN json_type(v) = 'OBJECT' THEN v ->> '$.choices[0]' ELSE v ->> '$' END AS label FROM value
-""")
+"""
+
+
+@query("first_tag", FIRST_TAG)
 def _(spark, sf):
     return derive(spark, sf, TAGS).select("event_id", jsons.first_tag(F.col("tag")).alias("label"))
 
