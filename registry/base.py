@@ -54,6 +54,8 @@ SELECT conv_id AS call_id, turn AS conversation_id,
   CASE WHEN conv_id % 13 = 0 THEN NULL ELSE 'client-' || CAST(conv_id % 3 AS STRING) END AS client_uuid,
   '2024-01-' || lpad(CAST(1 + conv_id % 28 AS STRING), 2, '0') || 'T'
     || lpad(CAST(turn AS STRING), 2, '0') || ':15:30+05:30' AS reftime,
+  CAST('2024-01-' || lpad(CAST(1 + conv_id % 28 AS STRING), 2, '0') || ' '
+    || lpad(CAST(turn AS STRING), 2, '0') || ':15:30' AS TIMESTAMP) AS call_time,
   CASE WHEN conv_id % 11 = 0 THEN NULL ELSE 'https://rec.example.com/2024/t-' || CAST(conv_id AS STRING)
     || '-' || CAST(turn AS STRING) || '.flac?Sig=a&Expires='
     || CAST(1700000000 + conv_id * 100000 AS STRING) END AS audio_url,

@@ -1,4 +1,4 @@
-"""Date, time and number functions on columns (session zone UTC)."""
+"""Date, time and number functions on columns. Zones are always named, never the session's."""
 
 from __future__ import annotations
 
@@ -16,22 +16,25 @@ def local_day(reftime: Column) -> Column:
 
 def ref_epoch_ms(reftime: Column, tz: str) -> Column:
     """DT-2: drop the offset, read the wall clock in ``tz``, epoch milliseconds."""
-    wall = F.regexp_replace(reftime, r"(Z|[+-][0-9]{2}:?[0-9]{2})$", "")
-    return F.unix_millis(F.to_utc_timestamp(wall.try_cast("timestamp"), tz))
+    bare = F.regexp_replace(reftime, r"(Z|[+-][0-9]{2}:?[0-9]{2})$", "")
+    wall = bare.try_cast("timestamp_ntz")
+    parts = [F.date_part(F.lit(p), wall) for p in ("YEAR", "MONTH", "DAY", "HOUR", "MINUTE", "SECOND")]
+    return F.unix_millis(F.make_timestamp(*parts, F.lit(tz)))
 
 
 def iso_in_zone(epoch_ms: Column, tz: str) -> Column:
     """ISO text of an instant in ``tz``, with its offset; null if it is out of range."""
     # Years 1 to 9999 are what the text form can hold.
-    valid = epoch_ms.between(-62135596800000, 253402300799999)
-    utc = F.timestamp_millis(F.when(valid, epoch_ms))
-    wall = F.from_utc_timestamp(utc, tz)
-    minutes = ((F.unix_millis(wall) - F.unix_millis(utc)) / 60000).cast("int")
+    ms = F.when(epoch_ms.between(-62135596800000, 253402300799999), epoch_ms)
+    day = F.lit(86_400_000)
+    within = (F.pmod(ms, day) / 1000).cast("decimal(18,6)")
+    since = F.make_dt_interval(F.floor(ms / day).cast("int"), F.lit(0), F.lit(0), within)
+    utc = F.lit("1970-01-01").cast("timestamp_ntz") + since
+    wall = F.convert_timezone(F.lit("UTC"), F.lit(tz), utc)
+    minutes = F.timestamp_diff("MINUTE", utc, wall)
     size = F.abs(minutes)
     two = lambda n: F.lpad(n.cast("string"), 2, "0")
-    fraction = F.when(F.pmod(epoch_ms, F.lit(1000)) == 0, "").otherwise(
-        F.date_format(wall, ".SSSSSS")
-    )
+    fraction = F.when(F.pmod(ms, F.lit(1000)) == 0, "").otherwise(F.date_format(wall, ".SSSSSS"))
     return F.concat(
         F.date_format(wall, "yyyy-MM-dd'T'HH:mm:ss"),
         fraction,
