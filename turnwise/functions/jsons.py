@@ -5,6 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from turnwise.functions import let
+
+# JSON texts of an empty value; a number that is zero is empty too.
+EMPTY = ("null", "false", '""', "[]", "{}")
+
 def _kind(v: Column) -> Column:
     return F.schema_of_variant(v)
 
@@ -50,32 +55,24 @@ def tag_text(c: Column) -> Column:
     return F.when(value.isNull(), c).otherwise(_text(value, "$.text"))
 
 
-def _absent(v: Column) -> Column:
-    """Missing, null, '', 0, false, [] or {}."""
-    text = _text(v)
-    kind = _kind(v)
-    return (
-        v.isNull()
-        | (kind == "VOID")
-        | ((kind == "STRING") & (text == ""))
-        | ((kind == "BOOLEAN") & (text == "false"))
-        | (_is_array(v) & (text == "[]"))
-        | (_is_object(v) & (text == "{}"))
-        | ((kind.startswith("DECIMAL") | kind.isin("BIGINT", "DOUBLE", "FLOAT"))
-           & (text.try_cast("double") == 0))
-    )
-
-
 def _present(v: Column) -> Column:
-    return ~F.coalesce(_absent(v), F.lit(True))
+    """Not missing, null, '', 0, false, [] or {}."""
+    return let(
+        F.to_json(v),
+        lambda j: F.coalesce(
+            ~j.isin(*EMPTY) & F.coalesce(j.try_cast("double") != 0, F.lit(True)), F.lit(False)
+        ),
+    )
 
 
 def build_utterances(c: Column) -> Column:
     """JSN-3: ``utterances``, else ``alternatives``; strings as they are, others as JSON text."""
-    value = decoded(c)
-    pick = lambda key: F.try_variant_get(value, f"$.{key}", "variant")
-    main, other = pick("utterances"), pick("alternatives")
-    return F.when(_present(main), _text(main)).otherwise(_text(other))
+
+    def pick(value: Column) -> Column:
+        main = F.try_variant_get(value, "$.utterances", "variant")
+        return F.when(_present(main), _text(main)).otherwise(_text(value, "$.alternatives"))
+
+    return let(decoded(c), pick)
 
 
 def unpack_annotation(c: Column) -> Column:
@@ -83,34 +80,43 @@ def unpack_annotation(c: Column) -> Column:
 
     The last item of a kind wins; entity items are kept as one JSON list.
     """
-    items = F.try_variant_get(decoded(c), "$", "array<variant>")
-    named = lambda name: F.filter(items, lambda i: _text(i, "$.from_name") == name)
-    last = lambda name: F.try_element_at(named(name), F.lit(-1))
-    entities = F.transform(
-        named("ls_entities"), lambda i: F.try_variant_get(i, "$.value", "variant")
-    )
-    return F.struct(
-        _text(last("tag"), "$.value.choices[0]").alias("tag"),
-        _text(last("tag"), "$.value.choices").alias("ls_intent"),
-        F.when(F.size(entities) > 0, F.to_json(entities)).alias("ls_entities"),
-        _text(last("ls_transcription"), "$.value.text[0]").alias("ls_transcription"),
-    )
+
+    def unpack(items: Column) -> Column:
+        named = lambda name: F.filter(items, lambda i: i["from_name"] == name)
+        last = lambda name: F.try_element_at(named(name), F.lit(-1))["value"]
+        listed = F.transform(named("ls_entities"), lambda i: i["value"])
+        return F.struct(
+            F.get_json_object(last("tag"), "$.choices[0]").alias("tag"),
+            F.get_json_object(last("tag"), "$.choices").alias("ls_intent"),
+            F.when(
+                F.size(listed) > 0,
+                F.concat(F.lit("["), F.array_join(listed, ",", "null"), F.lit("]")),
+            ).alias("ls_entities"),
+            F.get_json_object(last("ls_transcription"), "$.text[0]").alias("ls_transcription"),
+        )
+
+    # A string field takes a nested object as its JSON text.
+    return let(F.from_json(c, "array<struct<from_name:string,value:string>>"), unpack)
 
 
 def unpack_prediction(c: Column) -> Column:
     """JSN-5: struct of the best intent, its score and slots, the entities and the first guess."""
-    value = decoded(c)
-    found = _present(value)
-    field = lambda path: F.when(found, _text(value, path))
-    return F.struct(
-        field("$.intents[0].name").alias("intent"),
-        F.when(found, F.try_variant_get(value, "$.intents[0].score", "double")).alias(
-            "intent_score"
-        ),
-        F.coalesce(field("$.intents[0].slots"), F.lit("[]")).alias("slots"),
-        F.coalesce(field("$.entities"), F.lit("[]")).alias("entities"),
-        field("$.original_intent").alias("original_intent"),
+
+    def unpack(p: Column) -> Column:
+        best = F.get(p["intents"], F.lit(0))
+        return F.struct(
+            best["name"].alias("intent"),
+            best["score"].alias("intent_score"),
+            F.coalesce(best["slots"], F.lit("[]")).alias("slots"),
+            F.coalesce(p["entities"], F.lit("[]")).alias("entities"),
+            p["original_intent"].alias("original_intent"),
+        )
+
+    shape = (
+        "struct<intents:array<struct<name:string,score:double,slots:string>>,"
+        "entities:string,original_intent:string>"
     )
+    return let(F.from_json(c, shape), unpack)
 
 
 def primary_transcript(c: Column) -> Column:
@@ -136,71 +142,78 @@ def annotated_entities(c: Column, source: str) -> Column:
     """
     if source not in ("labelstudio", "tog"):
         raise ValueError(f"unknown annotation source {source!r}")
-    items = F.try_variant_get(F.try_parse_json(c), "$", "array<variant>")
+    items = F.from_json(c, "array<struct<type:string,text:string,labels:array<string>>>")
     if source == "labelstudio":
-        kind = lambda i: F.lower(_text(i, "$.labels[0]"))
+        kind = lambda i: F.lower(F.get(i["labels"], F.lit(0)))
     else:
-        kind = lambda i: F.lower(F.coalesce(_text(i, "$.type"), F.lit("")))
-    pairs = F.transform(
-        items, lambda i: F.struct(kind(i).alias("type"), _text(i, "$.text").alias("text"))
-    )
-    kept = F.filter(pairs, lambda p: F.coalesce(p["text"], F.lit("")) != "")
-    return F.coalesce(kept, F.array().cast("array<struct<type:string,text:string>>"))
+        kind = lambda i: F.lower(F.coalesce(i["type"], F.lit("")))
+    kept = F.filter(items, lambda i: F.coalesce(i["text"], F.lit("")) != "")
+    pairs = F.transform(kept, lambda i: F.struct(kind(i).alias("type"), i["text"].alias("text")))
+    return F.coalesce(pairs, F.array().cast("array<struct<type:string,text:string>>"))
 
 
 def quoted(text: Column) -> Column:
     """A text as JSON: quoted and escaped; null gives ``null``."""
-    listed = F.to_json(F.array(text))
-    return F.substring(listed, F.lit(2), F.length(listed) - 2)
+    return let(F.to_json(F.array(text)), lambda j: F.substring(j, F.lit(2), F.length(j) - 2))
 
 
 def _interval(v: Column) -> Column:
     """JSON text of an interval: text ends are wrapped; wrapped ends are kept; else null."""
-    end = lambda key: F.try_variant_get(v, f"$.{key}", "variant")
-    wrap = lambda key: F.when(
-        _is_string(end(key)),
-        F.concat(F.lit(f'"{key}":{{"value":'), F.to_json(end(key)), F.lit("}")),
+    end = lambda key: F.to_json(F.try_variant_get(v, f"$.{key}", "variant"))
+    wrap = lambda key: let(
+        end(key),
+        lambda j: F.when(
+            j.startswith('"'), F.concat(F.lit(f'"{key}":{{"value":'), j, F.lit("}"))
+        ),
     )
-    wrapped = F.concat_ws(",", wrap("from"), wrap("to"))
     holds = lambda key: _present(F.try_variant_get(v, f"$.{key}.value", "variant"))
-    return (
-        F.when(wrapped != "", F.concat(F.lit("{"), wrapped, F.lit("}")))
-        .when(holds("from") | holds("to"), F.to_json(v))
+    return let(
+        F.concat_ws(",", wrap("from"), wrap("to")),
+        lambda w: F.when(w != "", F.concat(F.lit("{"), w, F.lit("}"))).when(
+            holds("from") | holds("to"), F.to_json(v)
+        ),
+    )
+
+
+def _entity_value(v: Column) -> Column:
+    """JSON text of the value of a predicted entity."""
+    has = lambda key: F.try_variant_get(v, f"$.{key}", "variant").isNotNull()
+    return let(
+        F.to_json(v),
+        lambda j: F.when(j.startswith("{") & (has("from") | has("to")), _interval(v)).otherwise(j),
     )
 
 
 def normalize_predicted_entities(c: Column) -> Column:
     """JSN-9: predicted entities as a JSON list of (type, value, text)."""
-    items = F.try_variant_get(F.try_parse_json(c), "$", "array<variant>")
 
     def shaped(item: Column) -> Column:
-        value = F.try_variant_get(item, "$.value", "variant")
-        ends = F.try_variant_get(value, "$.from", "variant").isNotNull() | F.try_variant_get(
-            value, "$.to", "variant"
-        ).isNotNull()
         kind = F.coalesce(
             F.nullif(_text(item, "$.entity_type"), F.lit("")), _text(item, "$.type")
         )
-        as_json = F.when(_is_object(value) & ends, _interval(value)).otherwise(F.to_json(value))
+        value = let(F.try_variant_get(item, "$.value", "variant"), _entity_value)
         return F.concat(
             F.lit('{"type":'), quoted(kind),
-            F.lit(',"value":'), F.coalesce(as_json, F.lit("null")),
+            F.lit(',"value":'), F.coalesce(value, F.lit("null")),
             F.lit(',"text":'), quoted(_text(item, "$.body")),
             F.lit("}"),
         )
 
-    usable = F.filter(items, _present)
-    return F.when(
-        F.size(usable) > 0,
-        F.concat(F.lit("["), F.array_join(F.transform(usable, shaped), ","), F.lit("]")),
+    items = F.try_variant_get(F.try_parse_json(c), "$", "array<variant>")
+    written = F.transform(F.filter(items, _present), shaped)
+    return let(
+        written,
+        lambda w: F.when(
+            F.size(w) > 0, F.concat(F.lit("["), F.array_join(w, ","), F.lit("]"))
+        ),
     )
 
 
 def json_key(c: Column, key: str) -> Column:
     """JSN-10: value of a top-level key; an empty value counts as missing."""
-    quoted = key.replace("\\", "\\\\").replace("'", "\\'")
-    value = F.try_variant_get(F.try_parse_json(c), f"$['{quoted}']", "variant")
-    return F.when(_present(value), _text(value))
+    escaped = key.replace("\\", "\\\\").replace("'", "\\'")
+    value = F.try_variant_get(F.try_parse_json(c), f"$['{escaped}']", "variant")
+    return let(value, lambda v: F.when(_present(v), _text(v)))
 
 
 def canonical_json(c: Column) -> Column:

@@ -165,7 +165,7 @@ def validate_rows(
                     F.lit(f"{job_name} needs {' or '.join(group)}"),
                 )
             )
-    found = F.filter(F.array(*rules), lambda m: m.isNotNull()) if rules else F.array()
+    found = F.array_compact(F.array(*rules)) if rules else F.array()
     return df.withColumn("errors", found.cast("array<string>"))
 
 

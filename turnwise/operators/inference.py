@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from turnwise.functions import jsons, text, times
+from turnwise.functions import jsons, let, text, times
 from turnwise.operators.filters import require_present
 
 # Output columns of the breach audit, in their order.
@@ -120,7 +120,24 @@ def entity_requests(rows: DataFrame, tz: str) -> DataFrame:
 
 
 def _as_moment(c: Column) -> Column:
-    return c.try_cast("timestamp")
+    return c.try_cast("timestamp_ntz")
+
+
+def _quoted_or_null(c: Column) -> Column:
+    return F.when(c.isNotNull(), jsons.quoted(c))
+
+
+def _moment_json(v: Column, tagged: Column) -> Column:
+    """JSON of a value: a text must be a time, else the tagged text is tried; no integers."""
+    parsed = F.date_format(_as_moment(tagged), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+    readable = lambda t: F.when(_as_moment(t).isNotNull(), t).otherwise(parsed)
+    return let(
+        F.to_json(v),
+        lambda j: F.when(
+            j.startswith('"'),
+            _quoted_or_null(readable(F.try_variant_get(v, "$", "string"))),
+        ).when(~j.rlike(r"^-?[0-9]+$"), j),
+    )
 
 
 def entity_values(responses: DataFrame, tz: str, name: str = "value") -> DataFrame:
@@ -130,32 +147,27 @@ def entity_values(responses: DataFrame, tz: str, name: str = "value") -> DataFra
     Values, open or closed intervals and durations (reference time plus seconds) are
     kept; whole numbers are no time; a text that is no time is tried as the tagged text.
     """
-    first = F.try_variant_get(F.try_parse_json(F.col("response")), "$[0]", "variant")
-    value = F.try_variant_get(first, "$.value.value", "variant")
-    end = lambda key: F.try_variant_get(first, f"$.value.{key}", "variant")
-    is_text = F.schema_of_variant(value) == "STRING"
-    as_text = F.try_variant_get(value, "$", "string")
-    parsed = F.date_format(_as_moment(F.col("text")), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
-    readable = F.when(_as_moment(as_text).isNotNull(), as_text).otherwise(parsed)
-    seconds = F.try_variant_get(first, "$.value.normalized.value", "bigint")
-    in_seconds = F.try_variant_get(first, "$.value.normalized.unit", "string") == "second"
-    is_duration = F.try_variant_get(first, "$.dim", "string") == "duration"
-    member = lambda key: F.when(
-        end(key).isNotNull(), F.concat(F.lit(f'"{key}":'), F.to_json(end(key)))
-    )
-    interval = F.concat_ws(",", member("from"), member("to"))
-    quoted = lambda t: F.when(t.isNotNull(), jsons.quoted(t))
-    result = (
-        F.when(
-            is_duration & in_seconds,
-            quoted(times.duration_end(F.col("ref_ms"), seconds, tz)),
+
+    def read(first: Column) -> Column:
+        part = lambda path, kind="string": F.try_variant_get(first, f"$.{path}", kind)
+        is_duration = (part("dim") == "duration") & (part("value.normalized.unit") == "second")
+        ends = times.duration_end(F.col("ref_ms"), part("value.normalized.value", "bigint"), tz)
+        member = lambda key: F.concat(
+            F.lit(f'"{key}":'), F.to_json(part(f"value.{key}", "variant"))
         )
-        .when(is_text, quoted(readable))
-        .when(F.schema_of_variant(value) == "BIGINT", F.lit(None).cast("string"))
-        .when(value.isNotNull(), F.to_json(value))
-        .when(interval != "", F.concat(F.lit("{"), interval, F.lit("}")))
-    )
-    return responses.withColumn(name, result)
+        interval = let(
+            F.concat_ws(",", member("from"), member("to")),
+            lambda m: F.when(m != "", F.concat(F.lit("{"), m, F.lit("}"))),
+        )
+        return F.when(is_duration, _quoted_or_null(ends)).otherwise(
+            let(
+                part("value.value", "variant"),
+                lambda v: F.when(v.isNull(), interval).otherwise(_moment_json(v, F.col("text"))),
+            )
+        )
+
+    first = F.try_variant_get(F.try_parse_json(F.col("response")), "$[0]", "variant")
+    return responses.withColumn(name, let(first, read))
 
 
 def entity_truth(rows: DataFrame, values: DataFrame) -> DataFrame:

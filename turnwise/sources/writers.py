@@ -74,7 +74,7 @@ def with_errors(df: DataFrame, table: Mapping[str, tuple]) -> DataFrame:
             rules.append(
                 F.when(F.length(value) > longest, F.lit(f"{name} is longer than {longest}"))
             )
-    return df.withColumn("errors", F.filter(F.array(*rules), lambda m: m.isNotNull()))
+    return df.withColumn("errors", F.array_compact(F.array(*rules)))
 
 
 def validated_append(
