@@ -7,61 +7,58 @@ from pyspark.sql import functions as F
 
 from turnwise.functions import let
 
-# JSON texts of an empty value; a number that is zero is empty too.
+# JSON texts of an empty value, and the form of a number that is zero.
 EMPTY = ("null", "false", '""', "[]", "{}")
-
-def _kind(v: Column) -> Column:
-    return F.schema_of_variant(v)
-
+ZERO = r"^-?0(\.0*)?([eE][-+]?[0-9]+)?$"
 
 def _text(v: Column, path: str = "$") -> Column:
     return F.try_variant_get(v, path, "string")
 
 
-def _is_array(v: Column) -> Column:
-    return _kind(v).startswith("ARRAY")
-
-
-def _is_object(v: Column) -> Column:
-    return _kind(v).startswith("OBJECT")
-
-
-def _is_string(v: Column) -> Column:
-    return _kind(v) == "STRING"
+def _lead(json: Column) -> Column:
+    """First character of a JSON text; it tells text, list and object apart."""
+    return F.substring(F.ltrim(json, F.lit(" \t\r\n")), 1, 1)
 
 
 def decoded(c: Column) -> Column:
     """The parsed value; text that was encoded twice is parsed twice. Bad JSON gives null."""
-    once = F.try_parse_json(c)
-    return F.when(_is_string(once), F.try_parse_json(_text(once))).otherwise(once)
+    return let(
+        F.try_parse_json(c),
+        lambda once: F.when(_lead(c) == '"', F.try_parse_json(_text(once))).otherwise(once),
+    )
 
 
 def first_tag(c: Column) -> Column:
     """JSN-1: first item of a list, ``choices[0]`` of an object, a scalar, or the raw text."""
-    once = F.try_parse_json(c)
-    inner = F.when(_is_string(once), _text(once))
-    value = F.when(inner.isNotNull(), F.try_parse_json(inner)).otherwise(once)
-    return (
-        F.when(value.isNull(), F.coalesce(inner, c))
-        .when(_is_array(value), _text(value, "$[0]"))
-        .when(_is_object(value), _text(value, "$.choices[0]"))
-        .otherwise(_text(value))
-    )
+
+    def pick(raw: Column, value: Column) -> Column:
+        return (
+            F.when(value.isNull(), raw)
+            .when(_lead(raw) == "[", _text(value, "$[0]"))
+            .when(_lead(raw) == "{", _text(value, "$.choices[0]"))
+            .otherwise(_text(value))
+        )
+
+    def unwrap(once: Column) -> Column:
+        again = let(
+            _text(once), lambda inner: let(F.try_parse_json(inner), lambda v: pick(inner, v))
+        )
+        return F.when(once.isNotNull() & (_lead(c) == '"'), again).otherwise(pick(c, once))
+
+    return let(F.try_parse_json(c), unwrap)
 
 
 def tag_text(c: Column) -> Column:
     """JSN-2: the ``text`` field, or the raw text if it is not JSON."""
-    value = F.try_parse_json(c)
-    return F.when(value.isNull(), c).otherwise(_text(value, "$.text"))
+    return let(
+        F.try_parse_json(c), lambda v: F.when(v.isNull(), c).otherwise(_text(v, "$.text"))
+    )
 
 
 def _present(v: Column) -> Column:
     """Not missing, null, '', 0, false, [] or {}."""
     return let(
-        F.to_json(v),
-        lambda j: F.coalesce(
-            ~j.isin(*EMPTY) & F.coalesce(j.try_cast("double") != 0, F.lit(True)), F.lit(False)
-        ),
+        F.to_json(v), lambda j: F.coalesce(~j.isin(*EMPTY) & ~j.rlike(ZERO), F.lit(False))
     )
 
 
@@ -218,8 +215,10 @@ def json_key(c: Column, key: str) -> Column:
 
 def canonical_json(c: Column) -> Column:
     """JSN-11: JSON text written anew, keys in place: no needless escapes, no blanks."""
-    value = F.try_parse_json(c)
     # get_json_object would drop the quotes of a bare string.
-    return F.when(_is_string(value), F.to_json(value)).when(
-        value.isNotNull(), F.get_json_object(c, "$")
+    return let(
+        F.try_parse_json(c),
+        lambda v: F.when(_lead(c) == '"', F.to_json(v)).when(
+            v.isNotNull(), F.get_json_object(c, "$")
+        ),
     )

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from turnwise.functions import let
+
 # Fixed value: the home zone; every other zone takes the US locale.
 HOME_ZONE = "Asia/Kolkata"
 
@@ -17,32 +19,44 @@ def local_day(reftime: Column) -> Column:
 def ref_epoch_ms(reftime: Column, tz: str) -> Column:
     """DT-2: drop the offset, read the wall clock in ``tz``, epoch milliseconds."""
     bare = F.regexp_replace(reftime, r"(Z|[+-][0-9]{2}:?[0-9]{2})$", "")
-    wall = bare.try_cast("timestamp_ntz")
-    parts = [F.date_part(F.lit(p), wall) for p in ("YEAR", "MONTH", "DAY", "HOUR", "MINUTE", "SECOND")]
-    return F.unix_millis(F.make_timestamp(*parts, F.lit(tz)))
+
+    def instant(wall: Column) -> Column:
+        names = ("YEAR", "MONTH", "DAY", "HOUR", "MINUTE", "SECOND")
+        parts = [F.date_part(F.lit(name), wall) for name in names]
+        return F.unix_millis(F.make_timestamp(*parts, F.lit(tz)))
+
+    return let(bare.try_cast("timestamp_ntz"), instant)
+
+
+def _offset(minutes: Column) -> Column:
+    two = lambda n: F.lpad(n.cast("string"), 2, "0")
+    sign = F.when(minutes < 0, "-").otherwise("+")
+    size = F.abs(minutes)
+    return F.concat(sign, two(F.floor(size / 60)), F.lit(":"), two(size % 60))
 
 
 def iso_in_zone(epoch_ms: Column, tz: str) -> Column:
     """ISO text of an instant in ``tz``, with its offset; null if it is out of range."""
-    # Years 1 to 9999 are what the text form can hold.
-    ms = F.when(epoch_ms.between(-62135596800000, 253402300799999), epoch_ms)
     day = F.lit(86_400_000)
-    within = (F.pmod(ms, day) / 1000).cast("decimal(18,6)")
-    since = F.make_dt_interval(F.floor(ms / day).cast("int"), F.lit(0), F.lit(0), within)
-    utc = F.lit("1970-01-01").cast("timestamp_ntz") + since
-    wall = F.convert_timezone(F.lit("UTC"), F.lit(tz), utc)
-    minutes = F.timestamp_diff("MINUTE", utc, wall)
-    size = F.abs(minutes)
-    two = lambda n: F.lpad(n.cast("string"), 2, "0")
-    fraction = F.when(F.pmod(ms, F.lit(1000)) == 0, "").otherwise(F.date_format(wall, ".SSSSSS"))
-    return F.concat(
-        F.date_format(wall, "yyyy-MM-dd'T'HH:mm:ss"),
-        fraction,
-        F.when(minutes < 0, "-").otherwise("+"),
-        two(F.floor(size / 60)),
-        F.lit(":"),
-        two(size % 60),
-    )
+
+    def written(ms: Column) -> Column:
+        within = (F.pmod(ms, day) / 1000).cast("decimal(18,6)")
+        since = F.make_dt_interval(F.floor(ms / day).cast("int"), F.lit(0), F.lit(0), within)
+        fraction = lambda wall: F.when(F.pmod(ms, F.lit(1000)) == 0, "").otherwise(
+            F.date_format(wall, ".SSSSSS")
+        )
+        local = lambda utc: let(
+            F.convert_timezone(F.lit("UTC"), F.lit(tz), utc),
+            lambda wall: F.concat(
+                F.date_format(wall, "yyyy-MM-dd'T'HH:mm:ss"),
+                fraction(wall),
+                _offset(F.timestamp_diff("MINUTE", utc, wall)),
+            ),
+        )
+        return let(F.lit("1970-01-01").cast("timestamp_ntz") + since, local)
+
+    # Years 1 to 9999 are what the text form can hold.
+    return let(F.when(epoch_ms.between(-62135596800000, 253402300799999), epoch_ms), written)
 
 
 def duration_end(ref_ms: Column, seconds: Column, tz: str) -> Column:

@@ -104,10 +104,12 @@ def entity_rows(df: DataFrame, id: str, tz: str, source: str) -> DataFrame:
 def entity_requests(rows: DataFrame, tz: str) -> DataFrame:
     """INF-4: the distinct questions for the entity service: every tagged date, time or
     datetime once per (text, dimension, reference time, locale)."""
-    dated = F.filter("entities", lambda e: _dated(e["type"]))
+    # No array, no rows: a filter on ref_ms would work the time out twice.
+    dated = F.when(
+        F.col("ref_ms").isNotNull(), F.filter("entities", lambda e: _dated(e["type"]))
+    )
     return (
-        rows.where("ref_ms is not null")
-        .select("ref_ms", "locale", F.explode(dated).alias("e"))
+        rows.select("ref_ms", "locale", F.explode(dated).alias("e"))
         .select(
             F.replace(F.col("e.text"), F.lit("~"), F.lit("")).alias("text"),
             F.col("e.type").alias("dim"),
@@ -135,7 +137,7 @@ def _moment_json(v: Column, tagged: Column) -> Column:
         F.to_json(v),
         lambda j: F.when(
             j.startswith('"'),
-            _quoted_or_null(readable(F.try_variant_get(v, "$", "string"))),
+            let(readable(F.try_variant_get(v, "$", "string")), _quoted_or_null),
         ).when(~j.rlike(r"^-?[0-9]+$"), j),
     )
 
@@ -159,7 +161,7 @@ def entity_values(responses: DataFrame, tz: str, name: str = "value") -> DataFra
             F.concat_ws(",", member("from"), member("to")),
             lambda m: F.when(m != "", F.concat(F.lit("{"), m, F.lit("}"))),
         )
-        return F.when(is_duration, _quoted_or_null(ends)).otherwise(
+        return F.when(is_duration, let(ends, _quoted_or_null)).otherwise(
             let(
                 part("value.value", "variant"),
                 lambda v: F.when(v.isNull(), interval).otherwise(_moment_json(v, F.col("text"))),

@@ -12,6 +12,7 @@ from turnwise.functions import jsons, text, times
 from turnwise.operators import (
     calls, columns, datasets, dimensions, evaluation, filters, inference, joins,
 )
+from turnwise.session import store
 from turnwise.sources import readers, writers
 
 # Fixed value: calls drawn beyond the wanted number, as some have no usable recording.
@@ -215,6 +216,9 @@ def train_test_job(
     renamed. The legacy rules know no held-out test set."""
     custom_test = None if legacy else custom_test
     new = datasets.merge_tagged_sources(annotated, uploaded, tag)
+    if train_percent < 100 and custom_test is None:
+        # The split reads the labels several times; parsing them once is enough.
+        new = store(new, "labelled")
     held_out = (
         custom_test.withColumn(tag, jsons.first_tag(F.col(tag))) if custom_test is not None else None
     )

@@ -57,3 +57,11 @@ def materialize(df: DataFrame) -> DataFrame:
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(folder)
     return df.checkpoint(eager=True)
+
+
+def store(df: DataFrame, name: str = "table") -> DataFrame:
+    """Write a table once to the shared folder and read it from there: for a costly result
+    that several later steps read, each of them with its own columns."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
