@@ -208,8 +208,13 @@ def normalize_predicted_entities(c: Column) -> Column:
 
 def json_key(c: Column, key: str) -> Column:
     """JSN-10: value of a top-level key; an empty value counts as missing."""
-    escaped = key.replace("\\", "\\\\").replace("'", "\\'")
-    value = F.try_variant_get(F.try_parse_json(c), f"$['{escaped}']", "variant")
+    whole = F.try_parse_json(c)
+    if '"' in key:
+        # Such a name cannot be written in a path.
+        fields = F.try_variant_get(whole, "$", "map<string,variant>")
+        value = F.try_element_at(fields, F.lit(key))
+    else:
+        value = F.try_variant_get(whole, f'$["{key}"]', "variant")
     return let(value, lambda v: F.when(_present(v), _text(v)))
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from turnwise.functions import text
 from turnwise.operators.filters import LONG_LIST, literal_table
-from turnwise.operators.skew import serial_numbers
+from turnwise.operators.skew import lookup_join, serial_numbers
 from turnwise.session import materialize
 
 
@@ -76,7 +76,10 @@ def get_or_create(
     }
     full = inserted.withColumns({c: v for c, v in filled.items() if c in dim.columns})
     after = dim.unionByName(full, allowMissingColumns=True)
-    ids = rows.join(known.unionByName(inserted.select(*keys, id_col)), keys, "inner")
+    # One situation may be asked for very often, so this join must not follow its key alone.
+    found = known.unionByName(inserted.select(*keys, id_col))
+    spread = F.struct(*[F.col(f"`{c}`") for c in rows.columns])
+    ids = lookup_join(rows, found, keys, spread).where(F.col(id_col).isNotNull())
     return ids, after
 
 

@@ -23,20 +23,26 @@ def hash_key(key: str | Sequence[str], seed: object) -> Column:
 
 
 def lookup_join(
-    df: DataFrame, small: DataFrame, key: str, spread_by: Column, salts: int = 64
+    df: DataFrame,
+    small: DataFrame,
+    key: str | Sequence[str],
+    spread_by: Column,
+    salts: int = 64,
+    broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """Left join to a lookup table with one row per key; a null key finds nothing.
 
-    The lookup table is written once and counted. Up to BROADCAST_ROWS it is sent to
+    The lookup table is written once and counted. Up to ``broadcast_rows`` it is sent to
     every executor; beyond that both sides are shuffled on (key, salt), so the rows of
     one hot key are shared by ``salts`` tasks.
     """
+    keys = [key] if isinstance(key, str) else list(key)
     small = materialize(small)
-    if small.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
-        return df.join(F.broadcast(small), key, "left")
+    if small.limit(broadcast_rows + 1).count() <= broadcast_rows:
+        return df.join(F.broadcast(small), keys, "left")
     salted = df.withColumn("_salt", F.pmod(F.xxhash64(spread_by), F.lit(salts)).cast("int"))
     copies = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return salted.join(copies, [key, "_salt"], "left").drop("_salt")
+    return salted.join(copies, [*keys, "_salt"], "left").drop("_salt")
 
 
 def cut_points(

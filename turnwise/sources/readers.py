@@ -12,6 +12,11 @@ from pyspark.sql.types import StructType
 
 from turnwise.operators.filters import date_bounds
 
+# CSV cells that count as missing.
+NA_VALUES = (
+    "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
+    "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
+)
 # Fixed value: least number of ``_`` parts in the name of a conversation file.
 NAME_PARTS = 4
 
@@ -22,21 +27,31 @@ def split_paths(paths: str | Iterable[str]) -> list[str]:
 
 
 def read_csv_union(
-    spark: SparkSession, paths: str | Iterable[str], empty_possible: bool = False
+    spark: SparkSession,
+    paths: str | Iterable[str],
+    empty_possible: bool = False,
+    na_values: Sequence[str] = NA_VALUES,
+    multi_line: bool = True,
 ) -> DataFrame:
     """SRC-1: a list of CSV paths, stacked by column name; all cells are text.
 
     Every path is read with its own header: one reader over files with different headers
-    would line the columns up by position.
+    would line the columns up by position. Cells of ``na_values`` are missing. With
+    ``multi_line`` a cell may hold line breaks, but a file is then read by one task; turn
+    it off for big files without such cells.
     """
     listed = split_paths(paths)
     if not listed:
         if empty_possible:
             return spark.createDataFrame([], StructType([]))
         raise ValueError("no CSV path given")
-    options = dict(header=True, multiLine=True, quote='"', escape='"')
+    options = dict(header=True, multiLine=multi_line, quote='"', escape='"')
     parts = [spark.read.csv(p, **options) for p in listed]
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    table = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    if not na_values:
+        return table
+    held = lambda c: F.when(~F.col(f"`{c}`").isin(list(na_values)), F.col(f"`{c}`"))
+    return table.select(*[held(c).alias(c) for c in table.columns])
 
 
 def read_text_documents(spark: SparkSession, folder: str) -> DataFrame:
