@@ -65,9 +65,10 @@ def get_or_create(
     live = dim.where("is_valid") if "is_valid" in dim.columns else dim
     known = live.groupBy(*keys).agg(F.min(id_col).alias(id_col))
     fresh = rows.select(*keys).dropna(subset=keys).distinct().join(known, keys, "left_anti")
-    inserted = allocate_ids(fresh, keys, next_id(dim, id_col), id_col)
-    # Both results below need the same ids, so they are written once.
-    inserted = materialize(inserted)
+    # Numbering reads the new keys twice, and both results below need the same ids even if
+    # the dimension has changed by then. So each is written once.
+    fresh = materialize(fresh)
+    inserted = materialize(allocate_ids(fresh, keys, next_id(dim, id_col), id_col))
     moment = now if now is not None else F.current_timestamp()
     filled = {
         "is_valid": F.lit(True),
