@@ -37,23 +37,22 @@ def _offset(minutes: Column) -> Column:
 
 def iso_in_zone(epoch_ms: Column, tz: str) -> Column:
     """ISO text of an instant in ``tz``, with its offset; null if it is out of range."""
-    day = F.lit(86_400_000)
 
     def written(ms: Column) -> Column:
-        within = (F.pmod(ms, day) / 1000).cast("decimal(18,6)")
-        since = F.make_dt_interval(F.floor(ms / day).cast("int"), F.lit(0), F.lit(0), within)
+        # The session zone goes in and out again, so it does not matter which one it is.
+        session = F.timestamp_millis(ms).cast("timestamp_ntz")
+        utc = F.convert_timezone(None, F.lit("UTC"), session)
         fraction = lambda wall: F.when(F.pmod(ms, F.lit(1000)) == 0, "").otherwise(
             F.date_format(wall, ".SSSSSS")
         )
-        local = lambda utc: let(
-            F.convert_timezone(F.lit("UTC"), F.lit(tz), utc),
+        return let(
+            F.convert_timezone(None, F.lit(tz), session),
             lambda wall: F.concat(
                 F.date_format(wall, "yyyy-MM-dd'T'HH:mm:ss"),
                 fraction(wall),
-                _offset(F.timestamp_diff("MINUTE", utc, wall)),
+                let(F.timestamp_diff("MINUTE", utc, wall), _offset),
             ),
         )
-        return let(F.lit("1970-01-01").cast("timestamp_ntz") + since, local)
 
     # Years 1 to 9999 are what the text form can hold.
     return let(F.when(epoch_ms.between(-62135596800000, 253402300799999), epoch_ms), written)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from turnwise.functions import text
 from turnwise.operators.filters import LONG_LIST, literal_table
 from turnwise.operators.skew import lookup_join, serial_numbers
-from turnwise.session import materialize
+from turnwise.session import store
 
 
 def situation_rows(
@@ -67,8 +67,8 @@ def get_or_create(
     fresh = rows.select(*keys).dropna(subset=keys).distinct().join(known, keys, "left_anti")
     # Numbering reads the new keys twice, and both results below need the same ids even if
     # the dimension has changed by then. So each is written once.
-    fresh = materialize(fresh)
-    inserted = materialize(allocate_ids(fresh, keys, next_id(dim, id_col), id_col))
+    fresh = store(fresh, "fresh")
+    inserted = store(allocate_ids(fresh, keys, next_id(dim, id_col), id_col), "inserted")
     moment = now if now is not None else F.current_timestamp()
     filled = {
         "is_valid": F.lit(True),

@@ -138,10 +138,11 @@ def compare_confusion(m1: DataFrame, m2: DataFrame | None = None) -> DataFrame:
     both = m1.withColumn("_side", F.lit(1)).unionByName(m2.withColumn("_side", F.lit(2)))
     count = lambda i: F.sum(F.when(F.col("_side") == i, F.col("n")))
     pairs = both.groupBy("actual", "predicted").agg(count(1).alias("n1"), count(2).alias("n2"))
+    # The labels of both matrices, from the pairs already counted.
     known = (
-        both.select(F.explode(F.array("actual", "predicted")).alias("label"), "_side")
+        pairs.select(F.explode(F.array("actual", "predicted")).alias("label"), "n1", "n2")
         .groupBy("label")
-        .agg(F.max(F.col("_side") == 1).alias("k1"), F.max(F.col("_side") == 2).alias("k2"))
+        .agg(F.max(F.col("n1").isNotNull()).alias("k1"), F.max(F.col("n2").isNotNull()).alias("k2"))
     )
     a = known.select(F.col("label").alias("actual"), F.col("k1").alias("a1"), F.col("k2").alias("a2"))
     p = known.select(

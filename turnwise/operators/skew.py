@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from turnwise.session import materialize
+from turnwise.session import store
 
 # A table of at most this many short rows (keys and a few numbers) is a few MB: safe to broadcast.
 BROADCAST_ROWS = 50_000
@@ -37,7 +37,7 @@ def lookup_join(
     one hot key are shared by ``salts`` tasks.
     """
     keys = [key] if isinstance(key, str) else list(key)
-    small = materialize(small)
+    small = store(small, "lookup")
     if small.limit(broadcast_rows + 1).count() <= broadcast_rows:
         return df.join(F.broadcast(small), keys, "left")
     salted = df.withColumn("_salt", F.pmod(F.xxhash64(spread_by), F.lit(salts)).cast("int"))

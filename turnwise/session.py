@@ -50,18 +50,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Cut the lineage with a reliable checkpoint, so that a lost executor costs no recomputation."""
-    spark = df.sparkSession
-    folder = shared_dir(spark)
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(folder)
-    return df.checkpoint(eager=True)
-
-
 def store(df: DataFrame, name: str = "table") -> DataFrame:
-    """Write a table once to the shared folder and read it from there: for a costly result
-    that several later steps read, each of them with its own columns."""
+    """Write a table once to the shared folder and read it from there.
+
+    For a result that several later steps read. Unlike ``checkpoint()`` this works the rows
+    out once, keeps columns apart and tells the planner the size; like it, it cuts the
+    lineage, so a lost executor costs no recomputation.
+    """
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
