@@ -145,12 +145,12 @@ def entity_service():
 SELECT DISTINCT text, dim, ref_ms, locale, '{ZONE}' AS tz FROM ({DATED})
 """)
 def _(spark, sf):
-    rows = inference.entity_rows(tagged_rows(spark, sf), "event_id", ZONE, "labelstudio")
+    rows = inference.entity_rows(tagged_rows(spark, sf), "event_id", ZONE, "labelled")
     return inference.entity_requests(rows, ZONE)
 
 
 def entity_answers(spark, sf):
-    rows = inference.entity_rows(tagged_rows(spark, sf), "event_id", ZONE, "labelstudio")
+    rows = inference.entity_rows(tagged_rows(spark, sf), "event_id", ZONE, "labelled")
     answered = inference.run_inference(
         inference.entity_requests(rows, ZONE), entity_service(), "response string",
         ["text", "dim", "ref_ms", "locale"],

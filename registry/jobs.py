@@ -132,7 +132,7 @@ FROM ({TRUTH})
 """)
 def _(spark, sf):
     out = jobs.entity_dataset_job(
-        tagged_rows(spark, sf).withColumnRenamed("event_id", "id"), "id", "labelstudio",
+        tagged_rows(spark, sf).withColumnRenamed("event_id", "id"), "id", "labelled",
         entity_service(), ZONE,
     )
     listed = F.from_json("predicted_entities_with_modifications", "array<struct<text:string>>")

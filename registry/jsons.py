@@ -198,7 +198,7 @@ def _(spark, sf):
         )
         return F.array_join(pairs, ";").alias(column)
 
-    return rows.select("event_id", flat("labelled", "labelstudio"), flat("typed", "tog"))
+    return rows.select("event_id", flat("labelled", "labelled"), flat("typed", "typed"))
 
 
 PREDICTED = """

@@ -58,9 +58,9 @@ def test_slice(column):
 
 def test_entities(column):
     cell = '[{"labels":["Date"],"text":"t"},{"labels":[],"text":"u"},{"text":""},{"labels":["x"]}]'
-    got = column([cell, None, "bad"], jsons.annotated_entities, source="labelstudio")
+    got = column([cell, None, "bad"], jsons.annotated_entities, source="labelled")
     assert [[tuple(e) for e in row] for row in got] == [[("date", "t"), (None, "u")], [], []]
-    got = column(['[{"type":"A/b","text":"t"},{"text":"u"}]'], jsons.annotated_entities, source="tog")
+    got = column(['[{"type":"A/b","text":"t"},{"text":"u"}]'], jsons.annotated_entities, source="typed")
     assert [tuple(e) for e in got[0]] == [("a/b", "t"), ("", "u")]
 
 

@@ -135,12 +135,12 @@ def json_slice(c: Column) -> Column:
 def annotated_entities(c: Column, source: str) -> Column:
     """JSN-8: array of (type, text); entries without a text are left out.
 
-    ``source`` is "labelstudio" (type = first label) or "tog" (type = ``type``).
+    ``source`` is "labelled" (type = first label) or "typed" (type = ``type``).
     """
-    if source not in ("labelstudio", "tog"):
+    if source not in ("labelled", "typed"):
         raise ValueError(f"unknown annotation source {source!r}")
     items = F.from_json(c, "array<struct<type:string,text:string,labels:array<string>>>")
-    if source == "labelstudio":
+    if source == "labelled":
         kind = lambda i: F.lower(F.get(i["labels"], F.lit(0)))
     else:
         kind = lambda i: F.lower(F.coalesce(i["type"], F.lit("")))

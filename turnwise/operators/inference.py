@@ -92,7 +92,7 @@ def _dated(kind: Column) -> Column:
 
 def entity_rows(df: DataFrame, id: str, tz: str, source: str) -> DataFrame:
     """Tagged entities of every row: (id, reference ms, locale, entities)."""
-    column = {"labelstudio": "raw.entities", "tog": "tag"}[source]
+    column = {"labelled": "raw.entities", "typed": "tag"}[source]
     return df.select(
         F.col(id).alias("id"),
         times.ref_epoch_ms(F.col("reftime"), tz).alias("ref_ms"),
