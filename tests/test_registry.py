@@ -4,10 +4,10 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from registry import ORACLE, QUERIES
 from tools.check import TABLES, rows_of
 
 SF = "/root/testdata/sf0.001"
-QUERIES, ORACLE = entry.queries(), entry.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -20,6 +20,7 @@ def db():
 
 def test_every_query_has_its_sql():
     assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLE) <= set(entry.oracle_sql())
 
 
 def test_entry(spark):

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -35,11 +36,14 @@ def local_session(app: str, cpus: int | str = "*", **extra: str) -> SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The checkpoint folder of the cluster; a temporary one only where none is set."""
+    """The checkpoint folder of the cluster. Only a session in one process may do without one:
+    it gets a temporary folder. Elsewhere executors would not see each other's files."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
         configured = spark.sparkContext.getCheckpointDir()
     if not configured:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="turnwise-")
         spark.sparkContext.setCheckpointDir(configured)
     return configured.rstrip("/")
