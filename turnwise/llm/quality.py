@@ -15,6 +15,7 @@ from dataclasses import dataclass
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType
 
 from turnwise.session import store
 
@@ -29,7 +30,6 @@ MOST_LABELLED = 200_000
 FIT_TASKS = 16
 # Scores are counted in so many steps for the calibration.
 STEPS = 2_000
-# Lines of a text beyond this number are compared for repeats by their hashes all the same.
 STATISTICS = (
     "log_bytes", "log_words", "word_bytes", "word_spread", "long_words", "short_words",
     "upper", "digit", "space", "newline", "stop", "comma", "exclaim", "hash_signs", "pipe",
@@ -90,12 +90,12 @@ def statistics(text: str | None) -> list[float]:
     cuts = np.flatnonzero(kind == 4)
     line_starts = np.concatenate([[0], cuts + 1])
     line_starts = line_starts[line_starts < n]
-    line_sums = np.add.reduceat((data.astype(np.uint64) + np.uint64(1)) * (weights >> np.uint64(7)), line_starts)
+    line_lengths = np.diff(np.concatenate([line_starts, [n]]))
     # A line's own sum: its bytes weighted by their place in the line.
-    place = np.arange(n) - np.repeat(line_starts, np.diff(np.concatenate([line_starts, [n]])))
+    place = np.arange(n) - np.repeat(line_starts, line_lengths)
     line_sums = np.add.reduceat((data.astype(np.uint64) + np.uint64(1)) * (weights[place] | np.uint64(1)), line_starts)
     lines = len(line_starts)
-    line_lengths = np.diff(np.concatenate([line_starts, [n]]))
+    closing = kind[np.concatenate([cuts, [n]]) - 1][np.concatenate([cuts, [n]]) > 0]
     share = counts / n
     seen = same / max(words, 1)
     entropy = float(-(seen[seen > 0] * np.log(seen[seen > 0])).sum()) / max(np.log(max(words, 2)), 1.0)
@@ -109,14 +109,14 @@ def statistics(text: str | None) -> list[float]:
         len(same) / max(words, 1), float(same.max()) / max(words, 1), float(top_pair),
         float(np.log1p(words / lines)), float(np.log1p(line_lengths.std())),
         len(np.unique(line_sums)) / lines, float(upper_words), float(marked),
-        float(kind[cuts - 1][cuts > 0].__eq__(5).mean()) if len(cuts) else float(kind[-1] == 5),
+        float(np.mean(closing == 5)),
         entropy,
     ]
 
 
 def with_statistics(docs: DataFrame, keep: list[str], text: str = "text") -> DataFrame:
     """The columns of ``keep`` and ``x``, array<double>, of every row. Null counts as empty."""
-    schema = docs.select(*keep).schema.add("x", "array<double>")
+    schema = docs.select(*keep).schema.add("x", ArrayType(DoubleType()))
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa

@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from turnwise.llm import bpe, chat, mixing, secrets, winnowing
+from turnwise.llm import bpe, chat, mixing, quality, secrets, winnowing
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -87,3 +87,9 @@ def op5_format_chats(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def op9_fingerprints(spark: SparkSession, sf: str) -> DataFrame:
     return winnowing.compare_edited(table(spark, sf, "documents"))
+
+
+@query
+def op10_quality(spark: SparkSession, sf: str) -> DataFrame:
+    scored = quality.score_documents(table(spark, sf, "documents"), table(spark, sf, "labels"))
+    return scored.drop("_row")
