@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from turnwise.llm import bpe, chat, mixing, quality, secrets, winnowing
+from turnwise.llm import bpe, chat, chosenpath, mixing, quality, secrets, winnowing
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -93,3 +93,8 @@ def op9_fingerprints(spark: SparkSession, sf: str) -> DataFrame:
 def op10_quality(spark: SparkSession, sf: str) -> DataFrame:
     scored = quality.score_documents(table(spark, sf, "documents"), table(spark, sf, "labels"))
     return scored.drop("_row")
+
+
+@query
+def op8_near_duplicates(spark: SparkSession, sf: str) -> DataFrame:
+    return chosenpath.near_duplicates(table(spark, sf, "documents"), size=4)
