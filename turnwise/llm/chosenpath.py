@@ -27,7 +27,7 @@ PERCENT = 80
 COORDINATES = 64
 TREES = 16
 # Nodes up to this size are compared exhaustively; larger ones branch, so many levels deep.
-NODE = 256
+NODE = 2_048
 DEPTH = 6
 # Documents of a cluster that are checked against each other at once.
 BLOCK = 750
@@ -203,18 +203,28 @@ def _edge_batch(edges: list[tuple[int, int]]):
     return pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], ["u", "v"])
 
 
+def _connected(alike: np.ndarray) -> list[tuple[int, int]]:
+    """(first, other) for each part that a symmetric table of flags connects."""
+    rest, links = np.ones(len(alike), bool), []
+    for first in range(len(alike)):
+        if not rest[first]:
+            continue
+        rest[first] = False
+        front = np.array([first])
+        while len(front):
+            front = np.flatnonzero(alike[front].any(axis=0) & rest)
+            rest[front] = False
+            links += [(first, x) for x in front.tolist()]
+    return links
+
+
 def _compare_nodes(batches: Iterator) -> Iterator:
-    """Small nodes, exhaustively on sketches: a forest of the pairs that may be similar."""
+    """Small nodes, exhaustively on sketches: what the pairs that may be similar connect."""
     edges: list = []
     for run in _runs(batches, ["node"], ["rep", "minima"]):
         m = np.frombuffer(b"".join(run["minima"]), np.uint16).reshape(-1, COORDINATES)
-        forest = _Forest(len(m))
-        a, b = np.nonzero(np.triu(_alike(m, m) >= ESTIMATE * COORDINATES, 1))
-        while len(a):
-            forest.link(a[0], b[0])
-            keep = forest.apart(a, b)
-            a, b = a[keep], b[keep]
-        edges += [(run["rep"][x], run["rep"][y]) for x, y in forest.links]
+        links = _connected(_alike(m, m) >= ESTIMATE * COORDINATES)
+        edges += [(run["rep"][x], run["rep"][y]) for x, y in links]
         if len(edges) > 10_000:
             yield _edge_batch(edges)
             edges = []
@@ -371,10 +381,13 @@ def keep_one(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT, id: s
     """The documents without the near copies of another: one of each group stays. Of several
     rows with the kept id one stays if it has shingles; rows without any all stay."""
     found = near_duplicates(docs, size, percent, id).where("kept and n_shingles > 0")
-    ids = found.groupBy(F.col(id).alias("_id")).agg(F.count("*").alias("_n"))
-    empty = F.coalesce(F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)) == 0
-    joined = docs.join(ids, F.col(id) == F.col("_id"), "left")
-    once = joined.where(empty | (F.col("_n") == 1)).select(*docs.columns)
-    several = joined.where(~empty & (F.col("_n") > 1))
-    place = F.row_number().over(Window.partitionBy("_id").orderBy("text"))
-    return once.unionByName(several.withColumn("_r", place).where("_r = 1").select(*docs.columns))
+    ids = store(found.groupBy(F.col(id).alias("_tw_id")).agg(F.count("*").alias("_tw_n")), "kept")
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    empty = ~F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    joined = docs.join(ids, F.col(id) == F.col("_tw_id"), "left")
+    once = joined.where(empty | (F.col("_tw_n") == 1)).select(*columns)
+    if ids.where("_tw_n > 1").isEmpty():
+        return once
+    several = joined.where(~empty & (F.col("_tw_n") > 1))
+    place = F.row_number().over(Window.partitionBy("_tw_id").orderBy("text"))
+    return once.unionByName(several.withColumn("_tw_r", place).where("_tw_r = 1").select(*columns))

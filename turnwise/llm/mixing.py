@@ -213,21 +213,27 @@ def mix_documents(
     docs: DataFrame, weights=WEIGHTS, share: float = SHARE, cap: float = CAP, id: str = "doc_id"
 ) -> DataFrame:
     """The mix itself: every document as many times as it is taken, with its own columns."""
-    decided = mix_copies(docs, weights, share, cap, id).where("copies > 0").select(
-        F.col(id).alias("_id"), F.col("source").alias("_source"), F.col("h").alias("_h"),
-        F.col("m").alias("_m"), F.col("copies").alias("_copies"),
+    decided = store(
+        mix_copies(docs, weights, share, cap, id).where("copies > 0").select(
+            F.col(id).alias("_tw_id"), F.col("source").alias("_tw_source"), F.col("h").alias("_tw_h"),
+            F.col("m").alias("_tw_m"), F.col("copies").alias("_tw_copies"),
+        ),
+        "decided",
     )
-    joined = docs.withColumn("_hash", F.xxhash64("text")).join(
+    joined = docs.withColumn("_tw_hash", F.xxhash64("text")).join(
         decided,
-        F.col(id).eqNullSafe(F.col("_id")) & F.col("source").eqNullSafe(F.col("_source"))
-        & (F.col("_hash") == F.col("_h")),
-    )
-    # Only repeated rows need a number; m is 1 for all others and the order is free.
-    place = F.row_number().over(Window.partitionBy("_id", "_source", "_h").orderBy("_h")) - 1
-    share_of = F.floor(F.col("_copies") / F.col("_m")) + (place < F.col("_copies") % F.col("_m")).cast("int")
-    return (
-        joined.withColumn("_take", share_of)
-        .where("_take > 0")
-        .select(*docs.columns, F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_take"))).alias("_copy"))
-        .drop("_copy")
+        F.col(id).eqNullSafe(F.col("_tw_id")) & F.col("source").eqNullSafe(F.col("_tw_source"))
+        & (F.col("_tw_hash") == F.col("_tw_h")),
     )
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    copies = F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_tw_take"))).alias("_tw_copy")
+    once = joined.where("_tw_m = 1").withColumn("_tw_take", F.col("_tw_copies"))
+    if not decided.where("_tw_m > 1").isEmpty():
+        # Repeated rows are alike, so any order deals the copies of a unit to them.
+        place = F.row_number().over(Window.partitionBy("_tw_id", "_tw_source", "_tw_h").orderBy("_tw_m")) - 1
+        part = F.floor(F.col("_tw_copies") / F.col("_tw_m")) + (
+            place < F.col("_tw_copies") % F.col("_tw_m")
+        ).cast("int")
+        several = joined.where("_tw_m > 1").withColumn("_tw_take", part).where("_tw_take > 0")
+        once = once.unionByName(several)
+    return once.select(*columns, copies).drop("_tw_copy")

@@ -9,7 +9,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from turnwise.llm import bpe, chat, chosenpath, mixing, quality, secrets, winnowing
+import corpus_pipeline
+from turnwise.llm import (
+    bpe, chat, chosenpath, covertree, mixing, packing, quality, secrets, styletree, winnowing,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -98,3 +101,24 @@ def op10_quality(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def op8_near_duplicates(spark: SparkSession, sf: str) -> DataFrame:
     return chosenpath.near_duplicates(table(spark, sf, "documents"), size=4)
+
+
+@query
+def op3_embedding_duplicates(spark: SparkSession, sf: str) -> DataFrame:
+    return covertree.near_duplicates(table(spark, sf, "embeddings"))
+
+
+@query
+def op6_pack_tokens(spark: SparkSession, sf: str) -> DataFrame:
+    return packing.pack_texts(table(spark, sf, "documents"))
+
+
+@query
+def op7_extract_html(spark: SparkSession, sf: str) -> DataFrame:
+    found = styletree.extract_text(table(spark, sf, "pages").select("page_id", "url", "html"))
+    return found.select("page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars"))
+
+
+@query
+def pipeline(spark: SparkSession, sf: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf)

@@ -184,19 +184,21 @@ def mask_spans(text: Column, spans: Column, mask: str = MASK) -> Column:
 def mask_documents(docs: DataFrame) -> DataFrame:
     """The documents with all their spans masked, and n_chars counted anew where the column
     is there. All documents stay."""
-    found = scan(docs).where("size(spans) > 0").select(
-        F.col("doc_id").alias("_id"), F.col("row").alias("_row"), F.col("spans").alias("_spans")
-    ).dropDuplicates(["_id", "_row"])
-    joined = docs.withColumn("_h", F.xxhash64("text", "source", "source", "lang")).join(
-        found, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_h") == F.col("_row")), "left"
+    # Written, so that the planner knows how small it is.
+    found = store(
+        scan(docs).where("size(spans) > 0").select(
+            F.col("doc_id").alias("_tw_id"), F.col("row").alias("_tw_row"), F.col("spans").alias("_tw_spans")
+        ).dropDuplicates(["_tw_id", "_tw_row"]),
+        "masked",
     )
-    masked = F.when(F.col("_spans").isNotNull(), mask_spans(F.col("text"), F.col("_spans"))).otherwise(
-        F.col("text")
+    joined = docs.withColumn("_tw_hash", F.xxhash64("text", "source", "source", "lang")).join(
+        found, F.col("doc_id").eqNullSafe(F.col("_tw_id")) & (F.col("_tw_hash") == F.col("_tw_row")), "left"
     )
-    changed = joined.withColumn("_text", masked)
-    columns = {"text": F.col("_text")}
+    held = F.col("_tw_spans").isNotNull()
+    masked = F.when(held, mask_spans(F.col("text"), F.col("_tw_spans"))).otherwise(F.col("text"))
+    changed = joined.withColumn("_tw_text", masked)
+    columns = {"text": F.col("_tw_text")}
     if "n_chars" in docs.columns:
-        columns["n_chars"] = F.when(
-            F.col("_spans").isNotNull(), F.length("_text").cast(docs.schema["n_chars"].dataType)
-        ).otherwise(F.col("n_chars"))
+        counted = F.length("_tw_text").cast(docs.schema["n_chars"].dataType)
+        columns["n_chars"] = F.when(held, counted).otherwise(F.col("n_chars"))
     return changed.select(*[columns.get(c, F.col(f"`{c}`")).alias(c) for c in docs.columns])
