@@ -16,6 +16,8 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from turnwise.session import store
+
 # A branch below this importance is cut, if it stands on at least so many pages.
 IMPORTANCE = 0.3
 PAGES = 5
@@ -221,7 +223,9 @@ def extract_text(pages: DataFrame, name: str = "text") -> DataFrame:
     """Adds the main text of every page; '' for null, empty or all-noise pages. Other columns
     stay; a column of that name is replaced. Nothing but noise is left out."""
     kept = [c for c in pages.columns if c != name]
-    low = low_branches(pages)
+    # Written, so that the planner knows its size: it is broadcast if small, and else joined
+    # by a shuffle whose large hosts AQE splits.
+    low = store(low_branches(pages), "branches")
     joined = pages.select(*kept, _host().alias("_tw_host")).join(
         low.withColumnRenamed("host", "_tw_of").withColumnRenamed("low", "_tw_low"), F.col("_tw_host") == F.col("_tw_of"), "left"
     )
