@@ -21,12 +21,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType, StructType
 
 # Bounds of memory, not of results: documents at a time, words in one query, words kept.
-ROWS = 1_000
-WORDS_PER_QUERY = 50_000
-WORDS_KEPT = 600_000
+ROWS = 500
+WORDS_PER_QUERY = 30_000
+WORDS_KEPT = 220_000
 # From so many bytes on, a word contracts all places of its lowest pair in one step.
 LONG_WORD = 64
-DUCKDB = {"threads": 1, "memory_limit": "300MB"}
+DUCKDB = {"threads": 1, "memory_limit": "160MB"}
 
 _CONTRACT_ONE = """
 WITH RECURSIVE step(w, ids, live) AS (
