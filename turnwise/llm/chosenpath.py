@@ -379,15 +379,18 @@ def near_duplicates(
 
 def keep_one(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT, id: str = "doc_id") -> DataFrame:
     """The documents without the near copies of another: one of each group stays. Of several
-    rows with the kept id one stays if it has shingles; rows without any all stay."""
-    found = near_duplicates(docs, size, percent, id).where("kept and n_shingles > 0")
-    ids = store(found.groupBy(F.col(id).alias("_tw_id")).agg(F.count("*").alias("_tw_n")), "kept")
+    rows with the kept id one stays, beside those without shingles. Rows without an id stay."""
+    found = store(near_duplicates(docs, size, percent, id), "found")
+    # The ids that go are the smaller table; the planner knows its size, as it is written.
+    gone = store(found.where("not kept").select(F.col(id).alias("_tw_id")).distinct(), "gone")
+    rest = docs.join(gone, F.col(id) == F.col("_tw_id"), "left_anti")
+    counts = found.where("kept and n_shingles > 0").groupBy(F.col(id).alias("_tw_id")).agg(F.count("*").alias("n"))
+    several = store(counts.where("n > 1").select("_tw_id"), "several")
+    if several.isEmpty():
+        return rest
     columns = [F.col(f"`{c}`") for c in docs.columns]
     empty = ~F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
-    joined = docs.join(ids, F.col(id) == F.col("_tw_id"), "left")
-    once = joined.where(empty | (F.col("_tw_n") == 1)).select(*columns)
-    if ids.where("_tw_n > 1").isEmpty():
-        return once
-    several = joined.where(~empty & (F.col("_tw_n") > 1))
-    place = F.row_number().over(Window.partitionBy("_tw_id").orderBy("text"))
-    return once.unionByName(several.withColumn("_tw_r", place).where("_tw_r = 1").select(*columns))
+    place = F.row_number().over(Window.partitionBy("_tw_id", empty).orderBy("text"))
+    same = rest.join(several, F.col(id) == F.col("_tw_id")).withColumn("_tw_r", place)
+    once = rest.join(several, F.col(id) == F.col("_tw_id"), "left_anti")
+    return once.unionByName(same.where(empty | (F.col("_tw_r") == 1)).select(*columns))
