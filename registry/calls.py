@@ -35,20 +35,6 @@ def _(spark, sf):
     )
 
 
-# Calls are cut after two turns, so nearly all of them come in several parts.
-@query("assemble_calls_in_parts", f"""
-SELECT call_id, part, string_agg('BOT: ' || bot || chr(10) || 'USER: ' || person, chr(10)
-  ORDER BY conversation_id) AS lines
-FROM (SELECT *, CASE WHEN count(*) OVER (PARTITION BY call_id) > 2
-  THEN (conversation_id - min(conversation_id) OVER (PARTITION BY call_id)) // 2 ELSE 0 END AS part FROM ({CLEANED}))
-GROUP BY call_id, part
-""")
-def _(spark, sf):
-    whole = calls.render_transcript(calls.assemble_calls(derive(spark, sf, TURNS), 2))
-    inner = F.regexp_extract("transcript", r"(?s)^<call>\n(.*)\n</call>$", 1)
-    return whole.select("call_id", "part", inner.alias("lines"))
-
-
 @query("render_transcript", f"SELECT call_id, transcript FROM ({TRANSCRIPTS})")
 def _(spark, sf):
     whole = calls.assemble_calls(derive(spark, sf, TURNS))

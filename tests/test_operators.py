@@ -63,16 +63,14 @@ def transcript(n, start=0):
 def test_calls_are_whole_and_in_order(spark):
     out = calls.render_transcript(calls.assemble_calls(turns_of(spark, {1: 3, 2: 12, 3: 1})))
     assert {r.call_id: r.transcript for r in out.collect()} == {1: transcript(3), 2: transcript(12), 3: transcript(1)}
-    assert {r.part for r in out.collect()} == {0}
 
 
-def test_a_hot_call_is_cut_into_parts_that_make_the_whole(spark):
-    out = calls.render_transcript(calls.assemble_calls(turns_of(spark, {1: 3, 2: 950, 3: 1}), 100)).collect()
-    parts = sorted((r.part, r.transcript) for r in out if r.call_id == 2)
-    assert len(parts) == 10 and max(t.count("BOT") for _, t in parts) == 100
-    inner = "\n".join(t.removeprefix("<call>\n").removesuffix("\n</call>") for _, t in parts)
-    assert f"<call>\n{inner}\n</call>" == transcript(950)
-    assert {r.call_id for r in out if r.part == 0} == {1, 2, 3}
+def test_a_long_call_is_one_row(spark):
+    out = calls.render_transcript(calls.assemble_calls(turns_of(spark, {1: 3, 2: 950, 3: 1}))).collect()
+    assert sorted(r.call_id for r in out) == [1, 2, 3]
+    long_call = next(r for r in out if r.call_id == 2)
+    assert [t["id"] for t in long_call.turns] == sorted(t["id"] for t in long_call.turns)
+    assert len(long_call.turns) == 1900 and long_call.transcript.count("<call>") == 1
 
 
 def test_lookup_join_beyond_the_broadcast_bound(spark):
@@ -316,3 +314,12 @@ def test_fanout_sends_every_row_to_every_project(spark):
     tasks, counts = writers.tagging_fanout(spark.range(10), [1, 2])
     assert Counter(r.project_id for r in tasks.collect()) == {"1": 10, "2": 10}
     assert rows(counts) == [("1", 10), ("2", 10)]
+
+
+def test_inference_leaves_large_ids_and_nulls_alone(spark):
+    from turnwise.operators import inference
+
+    rows = spark.createDataFrame([(2**53 + 1, "a"), (None, "b")], "id long, q string").coalesce(1)
+    seen = lambda row: {"said": f"{row['id']}{row['q']}"}
+    out = inference.run_inference(rows, seen, "said string", ["id", "q"]).collect()
+    assert {(r.id, r.said) for r in out} == {(2**53 + 1, f"{2**53 + 1}a"), (None, "Noneb")}

@@ -8,12 +8,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from turnwise.functions import text
-from turnwise.operators.skew import BROADCAST_ROWS, hash_key, lookup_join
+from turnwise.operators.skew import BROADCAST_ROWS, hash_key
 
 # Call metadata taken from the first turn.
 CALL_META = ("call_uuid", "audio_url", "call_url", "flow_uuid", "client_uuid", "reftime")
-# A longer call is given in several parts, so that no task has to hold it whole.
-TURNS_PER_PART = 10_000
+# The turns of a call are gathered in so many parts before the whole call meets in its row.
+PARTS = 32
 
 
 def first_per_key(df: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
@@ -47,51 +47,32 @@ def limit_seeded(df: DataFrame, key: str, limit: int, seed: object = 0.5) -> Dat
     return df.orderBy(hash_key(key, seed), key).limit(limit)
 
 
-def _call_parts(turns: DataFrame, turns_per_part: int) -> DataFrame:
-    """Adds ``part``: 0 for a usual call; a call longer than ``turns_per_part`` is cut by
-    the distance of the turn id from the first one. Only ids are read to find such calls."""
-    long_calls = (
-        turns.groupBy("call_id")
-        .agg(F.count("*").alias("_n"), F.min("conversation_id").alias("_first"))
-        .where(F.col("_n") > turns_per_part)
-        .drop("_n")
-    )
-    joined = lookup_join(turns, long_calls, "call_id", F.col("conversation_id"))
-    offset = F.floor((F.col("conversation_id") - F.col("_first")) / turns_per_part)
-    return joined.withColumn("part", F.coalesce(offset, F.lit(0)).cast("bigint")).drop("_first")
-
-
-def assemble_calls(turns: DataFrame, turns_per_part: int = TURNS_PER_PART) -> DataFrame:
+def assemble_calls(turns: DataFrame) -> DataFrame:
     """AGG-1: one row per call with its turns in order, bot before user.
 
-    Every input row gives a bot turn and a user turn. Columns: call_id, part, the call
-    metadata of the first row, turns array<struct<id, is_user, utterance>>. A call
-    has the one part 0 unless it is longer than ``turns_per_part``; the parts of a long
-    call, put together in order, are the whole call.
+    Every input row gives a bot turn and a user turn. Columns: call_id, the call metadata of
+    the first row, turns array<struct<id, is_user, utterance>>. Texts are cleaned row by row;
+    a hot call is gathered in parts by the hash of the turn id, and only its finished list,
+    which is the result, meets in one task. Turn ids must be unique within a call.
     """
     meta = [c for c in CALL_META if c in turns.columns]
-    slim = turns.select("call_id", "conversation_id", "bot_response", "primary_utterance", *meta)
-    both = F.array(
-        F.struct(
-            F.col("conversation_id").alias("id"),
-            F.lit(False).alias("is_user"),
-            text.clean_utterance(F.col("bot_response")).alias("utterance"),
-        ),
-        F.struct(
-            F.col("conversation_id").alias("id"),
-            F.lit(True).alias("is_user"),
-            text.clean_utterance(F.col("primary_utterance")).alias("utterance"),
-        ),
+    line = lambda is_user, said: F.struct(
+        F.col("conversation_id").alias("id"), F.lit(is_user).alias("is_user"),
+        text.clean_utterance(F.col(said)).alias("utterance"),
+    )
+    parts = (
+        turns.withColumn("_part", F.pmod(F.xxhash64("conversation_id"), F.lit(PARTS)))
+        .groupBy("call_id", "_part")
+        .agg(
+            F.collect_list(F.array(line(False, "bot_response"), line(True, "primary_utterance"))).alias("turns"),
+            F.min(F.struct("conversation_id", *meta)).alias("first"),
+        )
     )
-    first = F.struct("conversation_id", *meta)
-    grouped = (
-        _call_parts(slim, turns_per_part)
-        .groupBy("call_id", "part")
-        .agg(F.collect_list(both).alias("turns"), F.min(first).alias("first"))
+    whole = parts.groupBy("call_id").agg(
+        F.collect_list(F.flatten("turns")).alias("turns"), F.min("first").alias("first")
     )
-    return grouped.select(
+    return whole.select(
         "call_id",
-        "part",
         *[F.col(f"first.{c}").alias(c) for c in meta],
         F.array_sort(F.flatten("turns")).alias("turns"),
     )

@@ -101,7 +101,7 @@ def combine_train_test(
         train = stack(before, side("train"))
         test = stack(old_test if use_previous else None, side("test"))
     else:
-        train, test = stack(before, new), old_test
+        train, test = stack(before, new), None if initial else old_test
     return train, custom_test if custom_test is not None else test
 
 

@@ -80,21 +80,21 @@ def filter_calls(
     }
     listed = {
         "org_id": org_ids,
-        "call_type": call_type or DEFAULT_CALL_TYPES,
+        "call_type": DEFAULT_CALL_TYPES if call_type is None else call_type,
         "flow_id": flow_ids,
         "state": states,
     }
     for name, value in equal.items():
-        if value:
+        if value is not None:
             df = df.where(F.col(name) == value)
     for name, values in listed.items():
-        if values:
+        if values is not None:
             df = df.where(F.col(name).isin(list(values)))
     if ignore_callers:
         df = df.where(~F.coalesce(F.col("caller").isin(list(ignore_callers)), F.lit(False)))
-    if reported:
-        df = df.where(F.col("reported"))
-    if min_duration:
+    if reported is not None:
+        df = df.where(F.col("reported") == reported)
+    if min_duration is not None:
         df = df.where(F.col("call_duration") >= min_duration)
     return df
 

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -46,31 +45,36 @@ def run_inference(
 
     ``infer_fn`` takes a row as a dict and gives a dict with the fields of ``schema``. A
     request that fails gets null results and its message; the batch goes on. ``tasks``
-    limits how many tasks call the service at once. Ask each distinct request once and
+    limits how many tasks call the service at once; without it there is one per core of the
+    cluster, a number that AQE does not merge. Ask each distinct request once and
     join the answers back with ``attach_results``.
     """
     fields = requests.sparkSession.createDataFrame([], schema).schema
     names = fields.fieldNames()
     kept = list(keep)
 
-    def call(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        import pandas as pd
+    out = StructType([requests.schema[c] for c in kept] + list(fields.fields)).add("error", "string")
 
+    def call(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+        from pyspark.sql.pandas.types import to_arrow_type
+
+        kinds = [to_arrow_type(f.dataType) for f in out.fields[len(kept) :]]
         for batch in batches:
             answers = []
-            for row in batch.to_dict("records"):
+            for row in batch.to_pylist():
                 try:
                     answer = infer_fn(row)
                     answers.append([answer.get(n) for n in names] + [None])
                 except Exception as problem:
                     answers.append([None] * len(names) + [str(problem)])
-            table = pd.DataFrame(answers, columns=[*names, "error"], dtype=object)
-            table.index = batch.index
-            yield pd.concat([batch[kept], table], axis=1)
+            columns = list(zip(*answers)) if answers else [()] * len(kinds)
+            # Kept columns pass as they came, whatever nulls they hold.
+            arrays = [batch.column(c) for c in kept] + [pa.array(c, k) for c, k in zip(columns, kinds)]
+            yield pa.RecordBatch.from_arrays(arrays, out.fieldNames())
 
-    out = StructType([requests.schema[c] for c in kept] + list(fields.fields))
-    spread = requests.repartition(tasks) if tasks else requests
-    return spread.mapInPandas(call, out.add("error", "string"))
+    spread = requests.repartition(tasks or requests.sparkSession.sparkContext.defaultParallelism)
+    return spread.mapInArrow(call, out)
 
 
 def breach_results(

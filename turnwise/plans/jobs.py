@@ -110,16 +110,17 @@ def label_store_job(
     window: Mapping[str, object],
     domain: str,
     call_base: str,
-    limit: int = 200,
+    limit: int | None,
     data_labels: Sequence[str] | None = None,
     seed: object = 0.5,
 ) -> DataFrame:
-    """A random sample of annotations, unpacked, with the unpacked context of their turn."""
+    """A random sample of annotations (all of them for a limit of None), unpacked, with the
+    unpacked context of their turn."""
     rows = filters.date_window(annotations, "tagged_at", **window)
     rows = rows.where(F.col("flow_id") == flow_id)
     if data_labels:
         rows = rows.where(F.col("data_label").isin(list(data_labels)))
-    picked = calls.limit_seeded(rows, "conversation_uuid", limit, seed)
+    picked = rows if limit is None else calls.limit_seeded(rows, "conversation_uuid", limit, seed)
     ann = picked.withColumn("_a", jsons.unpack_annotation(F.col("annotation_result")))
     ann = ann.select("*", "_a.*").drop("_a", "annotation_result")
     # Only turns that were picked are unpacked.
@@ -176,21 +177,23 @@ def compliance_job(
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Audit of calls: (accepted rows, rejected rows, number of breaches).
 
-    ``infer_fn`` gives compliance_output and tokens_consumed for a call_information. A
-    call in several parts is audited part by part.
+    ``infer_fn`` gives compliance_output and tokens_consumed for a call_information. The
+    answers are written once to the shared folder and all three results come from them, so
+    each call is asked once and the results agree.
     """
     whole = calls.render_transcript(calls.assemble_calls(turns), "call_information")
     ready = whole.drop("turns").withColumn(
         "call_information", text.redact_numbers(F.col("call_information"))
     )
     answers = inference.run_inference(
-        ready.select("call_id", "part", "call_information"),
+        ready.select("call_id", "call_information"),
         infer_fn,
         "compliance_output string, tokens_consumed bigint",
-        ["call_id", "part"],
+        ["call_id"],
         tasks,
-    ).where("error is null")
-    judged = inference.breach_results(ready, answers, ["call_id", "part"])
+    )
+    answers = store(answers, "answers").where("error is null")
+    judged = inference.breach_results(ready, answers)
     accepted, rejected = writers.validated_append(judged)
     return accepted, rejected, calls.count_breaches(accepted)
 
