@@ -6,6 +6,7 @@ from datetime import date, datetime
 import pytest
 from pyspark.sql import functions as F
 
+from turnwise.functions import text
 from turnwise.operators import calls, columns, datasets, dimensions, evaluation, filters, inference, joins, skew
 from turnwise.sources import readers, writers
 
@@ -73,16 +74,16 @@ def test_a_long_call_is_one_row(spark):
     assert len(long_call.turns) == 1900 and long_call.transcript.count("<call>") == 1
 
 
-def test_lookup_join_beyond_the_broadcast_bound(spark):
+def test_lookup_join_beyond_the_broadcast_size(spark):
     left = spark.range(3000).select("id", F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 50).alias("k"))
     right = spark.range(40).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
     try:
-        joined = skew.lookup_join(left, right, "k", F.col("id"), broadcast_rows=10)
+        joined = skew.lookup_join(left, right, "k")
         text = plan(joined)
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert "SortMergeJoin [k" in text and "_salt" in text
+    assert "SortMergeJoin [k" in text
     want = [(7 if i % 3 == 0 else i % 50, i) for i in range(3000)]
     assert rows(joined.select("k", "id", F.coalesce("v", F.lit(-1)))) == sorted(
         (k, i, 2 * k if k < 40 else -1) for k, i in want
@@ -159,6 +160,46 @@ def test_get_or_create(spark):
     assert {r.id for r in gone.where("is_valid").collect()} == {4, 5}
 
 
+def test_get_or_create_keeps_null_keys_and_attributes(spark):
+    dim = spark.createDataFrame([(1, "a", None, 5)], "id long, k string, l string, client_id long")
+    asked = spark.createDataFrame(
+        [("a", None, 7, "x"), ("a", "b", 8, "y"), (None, "b", 9, "z"), (None, "b", None, "z")],
+        "k string, l string, client_id long, note string",
+    )
+    ids, after = dimensions.get_or_create(dim, asked, ["k", "l"])
+    got = {(r.k, r.l): r.id for r in ids.collect()}
+    assert ids.count() == 4 and got["a", None] == 1 and {got["a", "b"], got[None, "b"]} == {2, 3}
+    assert {(r.k, r.l): r.client_id for r in after.collect()} == {("a", None): 5, ("a", "b"): 8, (None, "b"): 9}
+
+
+def test_sample_of_calls_by_hash(spark):
+    turns = spark.range(900).select(F.when(F.col("id") >= 9, F.col("id") % 300).alias("call_id"), "id")
+    first = spark.range(300).orderBy(skew.hash_key("id", 3), "id")
+    for n in (0, 1, 70, 299, 300, 1000):
+        got = {r.call_id for r in calls.sample_calls(turns, n, seed=3).collect()}
+        assert got == {r.id for r in first.limit(n).collect()}
+
+
+def test_first_per_key_with_a_map(spark):
+    df = spark.sql("SELECT 1 AS k, 2 AS o, map('a', v) AS m FROM VALUES (3), (1), (2) AS t(v)")
+    assert [r.m for r in calls.first_per_key(df, "k", ["o"]).collect()] == [{"a": 1}]
+
+
+def test_date_window_in_a_zone(spark):
+    df = spark.sql(
+        "SELECT i, timestamp'2024-03-09 18:00:00Z' + make_dt_interval(0, i) AS ts FROM range(0, 30) AS t(i)"
+    )
+    near = filters.date_window(df, "ts", today=date(2024, 3, 10), zone="Asia/Kolkata")
+    # The day there starts at 18:30 and ends before 18:30 of the next day.
+    assert sorted(r.i for r in near.collect()) == list(range(1, 25))
+
+
+def test_redaction_keeps_odd_characters(spark):
+    text_in = "\ufdd0 a \ufdd0\ufdd2 b \ufdd1 12345 (212) 555-0123"
+    got = spark.createDataFrame([(text_in,)], "t string").select(text.redact_numbers(F.col("t"))).first()[0]
+    assert got == "\ufdd0 a \ufdd0\ufdd2 b \ufdd1 11115 5555555555"
+
+
 def test_foreign_keys(spark):
     one = lambda *ids: spark.createDataFrame([(i,) for i in ids], "id long")
     facts = spark.createDataFrame([(1, 9), (2, 9), (3, 8)], "situation_id long, prompt_id long")

@@ -24,9 +24,9 @@ def test_first_row_is_limited_before_the_shuffle(spark):
     assert "WindowGroupLimit" in text and text.count("Exchange hashpartitioning") == 1
 
 
-def test_samples_are_a_top_k(spark):
+def test_samples_of_calls_are_a_filter_and_of_rows_a_top_k(spark):
     turns = spark.read.parquet(f"{SF}/conversations.parquet")
-    assert "TakeOrderedAndProject" in plan(calls.sample_calls(turns, 5, call="conv_id"))
+    assert "TakeOrderedAndProject" not in plan(calls.sample_calls(turns, 5, call="conv_id"))
     assert "TakeOrderedAndProject" in plan(calls.limit_seeded(turns, "conv_id", 5))
 
 
@@ -61,4 +61,3 @@ def test_calls_are_assembled_without_a_join(spark):
         F.lit("x").alias("bot_response"), F.lit("y").alias("primary_utterance"),
     )
     assert "Join" not in plan(calls.assemble_calls(turns))
-    assert skew.BROADCAST_ROWS <= 100_000

@@ -22,8 +22,8 @@ STATE_SLOT = "{{state}}"
 
 # A telephone number: optional country code, three digits (maybe in brackets), three, four.
 PHONE = r"(?:\+[0-9]{1,3}[-. ]?)?(?:\([0-9]{3}\)|\b[0-9]{3})[-. ]?[0-9]{3}[-. ]?[0-9]{4}\b"
-# A character that no text may hold, so it can stand for a number already replaced.
-_HELD = "\ufdd0"
+# These stand for a number already replaced, and for their first character in a text.
+_HELD, _ESCAPED = "\ufdd0\ufdd2", "\ufdd0\ufdd1"
 
 
 def strip(c: Column) -> Column:
@@ -81,9 +81,11 @@ def call_link(base: str, client: Column, flow: Column, call: Column) -> Column:
 
 def redact_numbers(c: Column) -> Column:
     """STR-8: telephone numbers first, then any four digits in a row."""
-    held = F.regexp_replace(c, PHONE, _HELD)
+    escaped = F.replace(c, F.lit(_HELD[0]), F.lit(_ESCAPED))
+    held = F.regexp_replace(escaped, PHONE, _HELD)
     masked = F.regexp_replace(held, r"\p{Nd}{4}", DIGITS_SUBSTITUTE)
-    return F.replace(masked, F.lit(_HELD), F.lit(PHONE_SUBSTITUTE))
+    phoned = F.replace(masked, F.lit(_HELD), F.lit(PHONE_SUBSTITUTE))
+    return F.replace(phoned, F.lit(_ESCAPED), F.lit(_HELD[0]))
 
 
 def split_list(c: Column, sep: str = ",", cast: str | None = None) -> Column:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from turnwise.functions import text
-from turnwise.operators.skew import BROADCAST_ROWS, hash_key
+from turnwise.operators.skew import cut_points, hash_key
 
 # Call metadata taken from the first turn.
 CALL_META = ("call_uuid", "audio_url", "call_url", "flow_uuid", "client_uuid", "reftime")
@@ -22,8 +22,11 @@ def first_per_key(df: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
     The rank limit is applied in every task before the shuffle, so a hot key sends one
     row per task.
     """
-    ties = [c for c in df.columns if c not in order and c != key]
-    ranked = Window.partitionBy(key).orderBy(*order, *[F.col(f"`{c}`") for c in ties])
+    ties = [f for f in df.schema if f.name not in order and f.name != key]
+    # Maps and variants have no order, their JSON text has.
+    unordered = lambda f: any(kind in f.dataType.simpleString() for kind in ("map<", "variant"))
+    placed = lambda f: F.to_json(F.struct(F.col(f"`{f.name}`"))) if unordered(f) else F.col(f"`{f.name}`")
+    ranked = Window.partitionBy(key).orderBy(*order, *[placed(f) for f in ties])
     return df.withColumn("_r", F.row_number().over(ranked)).where("_r = 1").drop("_r")
 
 
@@ -32,14 +35,14 @@ def sample_calls(
 ) -> DataFrame:
     """SRT-1: all turns of ``n + buffer`` randomly chosen calls; the same ones for a seed.
 
-    The ids come from a distributed top-k. They are broadcast only while their number,
-    which the caller sets, is small; a larger sample is joined by a shuffle.
+    The calls are the first in hash order. Where that order is cut comes from counts per
+    hash prefix, so a sample of any size is one filter: nothing gathers it and the turns
+    are not shuffled. Turns without a call id are in no sample.
     """
-    wanted = n + buffer
-    ids = turns.select(call).distinct().orderBy(hash_key(call, seed), call).limit(wanted)
-    if wanted <= BROADCAST_ROWS:
-        ids = F.broadcast(ids)
-    return turns.join(ids, call, "left_semi")
+    ids = turns.select(call).where(F.col(call).isNotNull()).distinct()
+    cut = cut_points(ids, call, None, lambda calls: F.least(calls, F.lit(n + buffer)), seed)
+    place = F.struct(hash_key(call, seed).alias("h"), F.col(call).alias("k"))
+    return turns.where(F.col(call).isNotNull() & (place <= cut.select("cut").scalar()))
 
 
 def limit_seeded(df: DataFrame, key: str, limit: int, seed: object = 0.5) -> DataFrame:

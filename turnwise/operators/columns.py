@@ -46,7 +46,7 @@ def alias_labels(
     if isinstance(alias, DataFrame):
         names = df.columns
         table = alias.select(F.col("source").alias(col), F.col("target").alias("_target"))
-        joined = lookup_join(df, table, col, F.struct(*[F.col(f"`{c}`") for c in names]))
+        joined = lookup_join(df, table, col)
         replaced = joined.withColumn(col, F.coalesce("_target", F.col(col)))
         return replaced.select(*[F.col(f"`{c}`") for c in names])
     pairs = invert_aliases(alias)

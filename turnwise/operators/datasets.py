@@ -51,7 +51,9 @@ def split_train_test(
     """
     if not 0 <= train_percent <= 100:
         raise ValueError(f"train_percent is {train_percent}")
-    cuts = cut_points(df, key, stratify, train_percent, seed)
+    cuts = cut_points(
+        df, key, stratify, lambda n: F.call_function("div", n * train_percent, F.lit(100)), seed
+    )
     place = F.struct(hash_key(key, seed).alias("h"), F.col(key).alias("k"))
     side = lambda cut: F.when(F.coalesce(place <= cut, F.lit(False)), "train").otherwise("test")
     if stratify is None:
@@ -60,7 +62,7 @@ def split_train_test(
     marked = lambda c: F.struct(F.col(c).isNull().alias("n"), F.coalesce(
         F.col(c).cast("string"), F.lit("")).alias("v"))
     table = cuts.select(marked("stratum").alias("_stratum"), F.col("cut").alias("_cut"))
-    joined = lookup_join(df.withColumn("_stratum", marked(stratify)), table, "_stratum", F.col(key))
+    joined = lookup_join(df.withColumn("_stratum", marked(stratify)), table, "_stratum")
     return joined.withColumn(name, side(F.col("_cut"))).drop("_stratum", "_cut")
 
 

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from turnwise.functions import text
 from turnwise.operators.filters import LONG_LIST, literal_table
-from turnwise.operators.skew import lookup_join, serial_numbers
+from turnwise.operators.skew import serial_numbers
 from turnwise.session import store
 
 
@@ -48,6 +49,14 @@ def allocate_ids(
     return serial_numbers(new, key, first, name)
 
 
+def _key_of(table: DataFrame, keys: Sequence[str], *others: str) -> tuple[DataFrame, Column]:
+    """``table`` with its keys renamed, and the condition that they are those of another
+    table; null is a key like any other."""
+    named = [F.col(k).alias(f"_tw_key{i}") for i, k in enumerate(keys)]
+    same = [F.col(k).eqNullSafe(F.col(f"_tw_key{i}")) for i, k in enumerate(keys)]
+    return table.select(*named, *others), reduce(lambda a, b: a & b, same)
+
+
 def get_or_create(
     dim: DataFrame,
     rows: DataFrame,
@@ -59,12 +68,20 @@ def get_or_create(
 
     ``ids`` is ``rows`` with the id of every row; a key given twice gets one id. Only
     valid dimension rows match (where there is ``is_valid``); of several the lowest id
-    counts. Missing keys are inserted. Running it again inserts nothing.
+    counts. Missing keys are inserted, with what ``rows`` says about other columns of the
+    dimension (the largest values where rows of a key differ). A null key part equals
+    another null. Running it again inserts nothing.
     """
     keys = list(natural_key)
     live = dim.where("is_valid") if "is_valid" in dim.columns else dim
     known = live.groupBy(*keys).agg(F.min(id_col).alias(id_col))
-    fresh = rows.select(*keys).dropna(subset=keys).distinct().join(known, keys, "left_anti")
+    own = {*keys, id_col, "is_valid", "created_at", "updated_at"}
+    more = [c for c in rows.columns if c in dim.columns and c not in own]
+    asked = rows.select(*keys).distinct()
+    if more:
+        asked = rows.groupBy(*keys).agg(F.max(F.struct(*more)).alias("_more")).select(*keys, "_more.*")
+    seen, same = _key_of(known, keys)
+    fresh = asked.join(seen, same, "left_anti")
     # Numbering reads the new keys twice, and both results below need the same ids even if
     # the dimension has changed by then. So each is written once.
     fresh = store(fresh, "fresh")
@@ -77,11 +94,10 @@ def get_or_create(
     }
     full = inserted.withColumns({c: v for c, v in filled.items() if c in dim.columns})
     after = dim.unionByName(full, allowMissingColumns=True)
-    # One situation may be asked for very often, so this join must not follow its key alone.
-    found = known.unionByName(inserted.select(*keys, id_col))
-    spread = F.struct(*[F.col(f"`{c}`") for c in rows.columns])
-    ids = lookup_join(rows, found, keys, spread).where(F.col(id_col).isNotNull())
-    return ids, after
+    # One situation may be asked for very often: AQE splits its partition of this join.
+    found, same = _key_of(known.unionByName(inserted.select(*keys, id_col)), keys, id_col)
+    ids = rows.join(found, same, "left")
+    return ids.drop(*[f"_tw_key{i}" for i in range(len(keys))]), after
 
 
 def record_generated(

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from datetime import date, datetime, time, timedelta
+from zoneinfo import ZoneInfo
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,9 +27,14 @@ def date_bounds(
     start_hours: int = 0,
     end_hours: int = 0,
     today: date | None = None,
+    zone: str | None = None,
 ) -> tuple[datetime, datetime]:
-    """The two ends of a date window; offsets count only for an end that is not given."""
-    today = today or date.today()
+    """The two ends of a date window; offsets count only for an end that is not given.
+
+    The window lies in ``zone``: today is the day there, and both ends carry the zone.
+    """
+    there = ZoneInfo(zone) if zone else None
+    today = today or datetime.now(there).date()
     first = start or datetime.combine(today, time.min) + timedelta(
         days=start_days, hours=start_hours
     )
@@ -38,13 +44,19 @@ def date_bounds(
         last = datetime.combine(today, time.max) + timedelta(days=end_days, hours=end_hours)
     if first > last:
         raise ValueError(f"window starts at {first}, after its end {last}")
-    return first, last
+    return (first.replace(tzinfo=there), last.replace(tzinfo=there)) if zone else (first, last)
 
 
 def date_window(df: DataFrame, ts: str, **bounds) -> DataFrame:
-    """FLT-1: rows of a date window; two literals, so the filter reaches the scan."""
+    """FLT-1: rows of a date window; two literals, so the filter reaches the scan.
+
+    With a ``zone`` the ends are moments of that zone; columns without one (dates, texts,
+    timestamp_ntz) are taken to hold its local time.
+    """
     first, last = date_bounds(**bounds)
     kind = df.schema[ts].dataType.simpleString()
+    if kind != "timestamp":
+        first, last = first.replace(tzinfo=None), last.replace(tzinfo=None)
     literal = lambda moment: F.lit(moment.isoformat(sep=" ")).cast(kind)
     return df.where(F.col(ts).between(literal(first), literal(last)))
 

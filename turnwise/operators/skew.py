@@ -2,15 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from turnwise.session import store
-
-# A table of at most this many short rows (keys and a few numbers) is a few MB: safe to broadcast.
-BROADCAST_ROWS = 50_000
 # Hash prefixes: 16 ** 4 buckets, so the table of bucket counts has a fixed upper size per stratum.
 PREFIX_DIGITS = 4
 
@@ -22,34 +18,20 @@ def hash_key(key: str | Sequence[str], seed: object) -> Column:
     return F.md5(F.concat_ws("|", *[F.col(c).cast("string") for c in columns], F.lit(str(seed))))
 
 
-def lookup_join(
-    df: DataFrame,
-    small: DataFrame,
-    key: str | Sequence[str],
-    spread_by: Column,
-    salts: int = 64,
-    broadcast_rows: int = BROADCAST_ROWS,
-) -> DataFrame:
+def lookup_join(df: DataFrame, small: DataFrame, key: str | Sequence[str]) -> DataFrame:
     """Left join to a lookup table with one row per key; a null key finds nothing.
 
-    The lookup table is written once and counted. Up to ``broadcast_rows`` it is sent to
-    every executor; beyond that both sides are shuffled on (key, salt), so the rows of
-    one hot key are shared by ``salts`` tasks.
+    A plain join: the planner broadcasts the lookup table by its measured bytes, and AQE
+    splits the partition of a hot key of ``df`` (``spark.sql.adaptive.skewJoin``).
     """
-    keys = [key] if isinstance(key, str) else list(key)
-    small = store(small, "lookup")
-    if small.limit(broadcast_rows + 1).count() <= broadcast_rows:
-        return df.join(F.broadcast(small), keys, "left")
-    salted = df.withColumn("_salt", F.pmod(F.xxhash64(spread_by), F.lit(salts)).cast("int"))
-    copies = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return salted.join(copies, [*keys, "_salt"], "left").drop("_salt")
+    return df.join(small, [key] if isinstance(key, str) else list(key), "left")
 
 
 def cut_points(
-    df: DataFrame, key: str, strata: str | None, percent: int, seed: object
+    df: DataFrame, key: str, strata: str | None, quota: Callable[[Column], Column], seed: object
 ) -> DataFrame:
     """Per stratum, the (hash, key) of the last row that belongs to the first
-    floor(rows * percent / 100) rows in hash order. One row per stratum: (stratum, cut).
+    ``quota(rows)`` rows in hash order. One row per stratum: (stratum, cut).
 
     Counts per hash prefix (combined before the shuffle) tell in which prefix the cut
     lies; only the rows of that prefix, one in 65536, are ranked. So no task ever sorts a
@@ -63,15 +45,15 @@ def cut_points(
     per_prefix = slim.groupBy("stratum", "prefix").agg(F.count("*").alias("n"))
     upto = Window.partitionBy("stratum").orderBy("prefix")
     whole = Window.partitionBy("stratum")
-    quota = per_prefix.select(
+    filled = per_prefix.select(
         "stratum",
         "prefix",
         "n",
         F.sum("n").over(upto).alias("upto"),
-        F.floor(F.sum("n").over(whole) * percent / F.lit(100)).alias("quota"),
+        quota(F.sum("n").over(whole)).alias("quota"),
     )
     # The prefix in which the quota is reached, and the rows to take from it.
-    edge = quota.where("quota > 0 and upto >= quota and upto - n < quota").select(
+    edge = filled.where("quota > 0 and upto >= quota and upto - n < quota").select(
         "stratum", "prefix", (F.col("quota") - (F.col("upto") - F.col("n"))).alias("take")
     )
     within = slim.alias("s").join(

@@ -284,16 +284,19 @@ def conversation_tagging_job(
     prompt_link: str,
     facts: Mapping[str, object],
     now: Column | None = None,
+    prompt: Mapping[str, object] | None = None,
 ) -> dict[str, DataFrame]:
     """Situations get ids, their conversation files become tagging tasks, and one fact row
-    per situation is recorded. ``wanted``: situation, scenario, scenario_category."""
+    per situation is recorded. ``wanted``: situation, scenario, scenario_category. A new
+    prompt is stored with the values of ``prompt`` (client, template)."""
     key = ["situation", "scenario", "scenario_category"]
     rows = dimensions.situation_rows(wanted, *key).select(*key)
     ids, situations = dimensions.get_or_create(dim, rows, key, now=now)
     ids = ids.withColumnRenamed("id", "situation_id")
     docs = readers.read_text_documents(spark, folder)
     tasks, counts = writers.tagging_fanout(joins.attach_documents(ids, docs), project_ids)
-    link = spark.range(1).select(F.lit(prompt_link).alias("links_to_prompt_in_s3"))
+    about = {"links_to_prompt_in_s3": prompt_link, **(prompt or {})}
+    link = spark.range(1).select(*[F.lit(v).alias(c) for c, v in about.items()])
     prompt_ids, prompts_after = dimensions.get_or_create(
         prompts, link, ["links_to_prompt_in_s3"], now=now
     )
