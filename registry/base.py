@@ -99,9 +99,9 @@ RECORDINGS = """
 SELECT page_id, replace(replace(url, '?', '/'), '#', '/') || CASE page_id % 4
   WHEN 0 THEN '/u-' || CAST(page_id AS STRING) || '.flac?Sig=a%2Fb&Expires='
     || CAST(1600000000 + (page_id % 100) * 1000000 AS STRING)
-  WHEN 1 THEN '/v-' || CAST(page_id % 50 AS STRING) || '.mp3'
+  WHEN 1 THEN '/v-' || CAST(page_id - page_id % 12 AS STRING) || '.mp3'
   WHEN 2 THEN '/w.tar-' || CAST(page_id AS STRING) || '.gz?Expires=&Expires=soon'
-  ELSE '/x-' || CAST(page_id % 50 AS STRING) || '.wav' END AS audio_url
+  ELSE '/x-' || CAST(page_id - page_id % 12 AS STRING) || '.wav' END AS audio_url
 FROM {pages}
 """
 

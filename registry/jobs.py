@@ -301,7 +301,11 @@ def _(spark, sf):
     return jobs.intent_eval_job(derive(spark, sf, SCORED), ALIAS, ["error"])["confusion"]
 
 
-WANTED = "SELECT conv_id, 'Case ' || CAST(conv_id AS STRING) || ' :: other ' || role AS situation, role AS scenario, 'cat' AS scenario_category FROM {conversations} WHERE turn = 0"
+# One row per conversation, from all of its turns.
+WANTED = """
+SELECT conv_id, 'Case ' || CAST(conv_id AS STRING) || ' :: other ' || role AS situation, role AS scenario, 'cat' AS scenario_category
+FROM (SELECT conv_id, coalesce(max(role), 'none') AS role FROM {conversations} GROUP BY conv_id)
+"""
 CASES = "SELECT CAST(n_nationkey + 1 AS BIGINT) AS id, lower(n_name) AS situation, 'user' AS scenario, 'CAT' AS scenario_category, n_nationkey >= 0 AS is_valid FROM {nation}"
 ASKED = f"SELECT lower(trim(unnest(string_split(situation, '::')))) AS situation, lower(scenario) AS scenario FROM ({WANTED})"
 # Every case is new, so it gets an id after the known ones.

@@ -11,7 +11,7 @@ from turnwise.operators import columns, joins
 
 RESULTS = """
 SELECT replace(replace(url, '?', '/'), '#', '/') || CASE page_id % 4 WHEN 0 THEN '/u-' || CAST(page_id AS STRING) || '.wav'
-  WHEN 1 THEN '/v-' || CAST(page_id % 50 AS STRING) || '.flac?x=1' ELSE '/x-' || CAST(page_id % 50 AS STRING) || '.mp3' END AS filename,
+  WHEN 1 THEN '/v-' || CAST(page_id - page_id % 12 AS STRING) || '.flac?x=1' ELSE '/x-' || CAST(page_id - page_id % 12 AS STRING) || '.mp3' END AS filename,
   '[[{"transcript": "page ' || CAST(page_id AS STRING) || '"}]]' AS asr_predictions, page_id AS run, 'r' AS page_id
 FROM {pages}
 """
