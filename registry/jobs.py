@@ -315,17 +315,19 @@ SELECT situation, scenario, (SELECT max(id) FROM ({CASES})) + row_number() OVER
 """
 
 
-def tagged_conversations(spark, sf):
+def tagged_conversations(spark, sf, link="ASIA"):
     # Ids are given by the job, so the files carry the conversation number as id.
     root = scratch_path(spark, "generated")
     write_files(conversation_files(spark, sf), root)
     prompts = table(spark, sf, "region").select(
-        (F.col("r_regionkey") + 1).cast("bigint").alias("id"), F.col("r_name").alias("links_to_prompt_in_s3")
+        (F.col("r_regionkey") + 1).cast("bigint").alias("id"), F.col("r_name").alias("links_to_prompt_in_s3"),
+        F.col("r_regionkey").cast("bigint").alias("client_id"), F.lit(None).cast("bigint").alias("template_id"),
     )
     generated = table(spark, sf, "nation").select(F.col("n_nationkey").cast("bigint").alias("id"))
     return jobs.conversation_tagging_job(
         spark, derive(spark, sf, CASES), prompts, generated, derive(spark, sf, WANTED), root,
-        ["41", "42"], "ASIA", {"client_id": 1, "template_id": 2, "project_name": "p"},
+        ["41", "42"], link, {"client_id": 1, "template_id": 2, "project_name": "p"},
+        prompt={"client_id": 1, "template_id": 2},
     )
 
 
@@ -349,6 +351,15 @@ def _(spark, sf):
     return facts.select("situation_id", "prompt_id", "id", "project_name")
 
 
+@query("conversation_tagging_job_prompts", """
+SELECT CAST(r_regionkey + 1 AS BIGINT) AS id, r_name AS links_to_prompt_in_s3, CAST(r_regionkey AS BIGINT) AS client_id, CAST(NULL AS BIGINT) AS template_id
+FROM {region} UNION ALL SELECT max(r_regionkey) + 2, 'prompts/new', 1, 2 FROM {region}
+""")
+def _(spark, sf):
+    prompts = tagged_conversations(spark, sf, "prompts/new")["prompts"]
+    return prompts.select("id", "links_to_prompt_in_s3", "client_id", "template_id")
+
+
 @query("generation_requests_job", """
 SELECT p_partkey, pos, CASE pos WHEN 0 THEN p_name ELSE p_brand END AS situation, iteration, choice
 FROM {part}, (SELECT unnest([0, 1]) AS pos), (SELECT unnest([1, 2]) AS iteration), (SELECT unnest([1, 2, 3]) AS choice)
