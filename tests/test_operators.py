@@ -260,6 +260,24 @@ def test_report(spark):
     assert rows(wide) == [("a", 3, 1, 0), ("b", 0, 2, 2)]
 
 
+def test_report_counts_abstentions_where_asked(spark):
+    df = spark.createDataFrame([("a", "a"), ("a", None), ("b", "a"), ("b", "b")], "y string, p string")
+    recall = lambda report: {r.label: (r.precision, r.recall, r.support) for r in report.collect()}
+    plain, whole = (recall(evaluation.classification_report(df, "y", "p", x)) for x in (False, True))
+    assert plain["a"] == (0.5, 1.0, 1) and whole["a"] == (0.5, 0.5, 2)
+    assert whole["accuracy"] == (0.5, 0.5, 4) and None not in whole
+
+
+def test_entity_truth_without_a_locale(spark):
+    rows = spark.sql(
+        "SELECT 1L AS id, 5L AS ref_ms, CAST(NULL AS STRING) AS locale, array(named_struct('type', 'date', 'text', 'today')) AS entities"
+    )
+    asked = inference.entity_requests(rows, "UTC")
+    answers = asked.withColumn("value", F.lit('"2024-01-01"'))
+    got = inference.entity_truth(rows, answers).first()
+    assert "2024-01-01" in got.truth_entities_with_duckling
+
+
 def test_report_comparison(spark):
     schema = "label string, precision double, recall double, `f1-score` double, support double"
     r1 = spark.createDataFrame([("b", 1.0, 1.0, 1.0, 1.0), (None, 0.0, 0.0, 0.0, 0.0), ("accuracy", 0.5, 0.5, 0.5, 2.0)], schema)

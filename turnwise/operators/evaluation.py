@@ -18,11 +18,16 @@ METRICS = ("precision", "recall", "f1-score", "support")
 MAX_SYMBOLS = 1_000_000
 
 
-def confusion_matrix(df: DataFrame, actual: str, predicted: str) -> DataFrame:
-    """AGG-5: (actual, predicted, n); counts are combined in every task before the shuffle."""
+def confusion_matrix(
+    df: DataFrame, actual: str, predicted: str, abstentions: bool = False
+) -> DataFrame:
+    """AGG-5: (actual, predicted, n); counts are combined in every task before the shuffle.
+
+    With ``abstentions`` rows without a prediction are counted, under a null prediction.
+    """
+    both = df.select(F.col(actual).alias("actual"), F.col(predicted).alias("predicted"))
     return (
-        df.select(F.col(actual).alias("actual"), F.col(predicted).alias("predicted"))
-        .where("actual is not null and predicted is not null")
+        both.where("actual is not null" if abstentions else "actual is not null and predicted is not null")
         .groupBy("actual", "predicted")
         .agg(F.count("*").alias("n"))
     )
@@ -38,13 +43,17 @@ def _ratio(part: Column, whole: Column) -> Column:
     return F.when(whole > 0, part / whole).otherwise(F.lit(0.0))
 
 
-def classification_report(df: DataFrame, actual: str, predicted: str) -> DataFrame:
+def classification_report(
+    df: DataFrame, actual: str, predicted: str, abstentions: bool = False
+) -> DataFrame:
     """AGG-4: label, precision, recall, f1-score, support, and the three special rows.
 
     The rows are read once: pair counts, then label sums, then label rows and total in
-    one rollup. ``accuracy`` stands in all three score columns of its row.
+    one rollup. ``accuracy`` stands in all three score columns of its row. With
+    ``abstentions`` a row without a prediction counts in the support of its label, so it
+    lowers recall and accuracy, and in no precision; else it is left out.
     """
-    pairs = confusion_matrix(df, actual, predicted)
+    pairs = confusion_matrix(df, actual, predicted, abstentions)
     hit = F.when(F.col("actual") == F.col("predicted"), F.col("n")).otherwise(0)
     sides = F.array(
         F.struct(
@@ -58,6 +67,7 @@ def classification_report(df: DataFrame, actual: str, predicted: str) -> DataFra
     )
     per_label = (
         pairs.select(F.inline(sides))
+        .where("label is not null")
         .groupBy("label")
         .agg(*[F.sum(c).alias(c) for c in ("support", "guessed", "hits")])
         .withColumn("precision", _ratio(F.col("hits"), F.col("guessed")))

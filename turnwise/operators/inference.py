@@ -194,8 +194,16 @@ def entity_truth(rows: DataFrame, values: DataFrame) -> DataFrame:
         F.posexplode_outer(F.when(sound, shaped)).alias("pos", "e"),
     ).select("id", "pos", "ref_ms", "locale", F.col("e.type").alias("dim"), "e.text",
              F.col("e.value").alias("plain"))
-    answers = values.select("text", "dim", "ref_ms", "locale", F.col("value").alias("answer"))
-    joined = listed.join(answers, ["text", "dim", "ref_ms", "locale"], "left")
+    answers = values.select(
+        F.col("text").alias("a_text"), F.col("dim").alias("a_dim"), F.col("ref_ms").alias("a_ms"),
+        F.col("locale").alias("a_locale"), F.col("value").alias("answer"),
+    )
+    # A row without a language is asked without a locale, and gets that answer.
+    asked = (
+        (F.col("text") == F.col("a_text")) & (F.col("dim") == F.col("a_dim"))
+        & (F.col("ref_ms") == F.col("a_ms")) & F.col("locale").eqNullSafe(F.col("a_locale"))
+    )
+    joined = listed.join(answers, asked, "left")
     value = F.when(_dated(F.col("dim")), F.col("answer")).otherwise(
         jsons.quoted(F.nullif(F.col("plain"), F.lit("")))
     )
