@@ -50,6 +50,23 @@ def test_mixing_keeps_number_of_copies_through_levels(documents, monkeypatch):
     assert sum(r.copies for r in a) * 2 == round(a[0].target)
 
 
+def test_taken_words_meet_the_target_with_few_uneven_documents(documents, monkeypatch):
+    for group in (8, 128):
+        monkeypatch.setattr(mixing, "GROUP", group)
+        rows = [(50 * s + i, "w " * (20 + 9 * i + s), f"s{s}") for s in range(9) for i in range(50)]
+        out = mixing.mixed_rows(mixing.mix_copies(documents(rows))).collect()
+        for s in range(9):
+            own = [r for r in out if r.source == f"s{s}"]
+            assert abs(sum(r.copies * r.size for r in own) - own[0].target) <= 0.01 * own[0].target
+
+
+def test_rounding_keeps_every_chance(spark):
+    rows = [(f"s{i}", 3, 10 * i + j, size, p) for i in range(3000) for j, (size, p) in enumerate([(40, 0.3), (9, 0.6), (5, 0.5)])]
+    items = spark.createDataFrame(rows, "source string, n int, key bigint, size bigint, p double")
+    means = {r.j: r.m for r in mixing.round_copies(items).groupBy((F.col("key") % 10).alias("j")).agg(F.avg("copy").alias("m")).collect()}
+    assert all(abs(means[j] - p) < 0.04 for j, p in enumerate([0.3, 0.6, 0.5]))
+
+
 def test_mixing_odd_rows(odd, spark):
     assert mixing.mixed_rows(mixing.mix_copies(odd)).count() == odd.count()
     mixed = mixing.mix_documents(odd)

@@ -2,12 +2,13 @@
 
 A document of a source whose target is ``r`` times its size is wanted ``r`` times. The whole
 part of ``r`` is taken as it is; the rest is a copy probability. Within a group, two open
-probabilities at a time pass mass from one to the other until one of them is 0 or 1. What is
+probabilities at a time pass words from one to the other until one of them is 0 or 1. What is
 left open in a group meets the rest of the other groups on the next level, so a source of any
 size is a tree of small groups and no task ever holds a source.
 
-Groups go through their documents from the largest to the smallest, so the words taken stay
-near the target as well as the number of copies does.
+Words move, not copies, so the words of a source stay at its target but for the one document
+that is open at the end. Groups go from the largest document to the smallest, so that one is
+small as a rule.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from turnwise.functions import let
 from turnwise.session import store
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -82,41 +84,44 @@ def _chance(*parts: Column) -> Column:
 
 
 def _round_group(items: Column, level: int) -> Column:
-    """Folds an ordered array of (key, p) to struct(open, done): at most one open item, and
-    for all others (key, copy 0 or 1)."""
-    item = "struct<key:bigint,p:double>"
+    """Folds an ordered array of (key, p, s) to struct(open, done): at most one open item, and
+    for all others (key, copy 0 or 1).
+
+    Two items pass words to each other: what one gains times its size the other loses times
+    its own, up to where one of them is whole. The direction is drawn so that every
+    probability keeps its mean.
+    """
+    item = "struct<key:bigint,p:double,s:double>"
     none = F.lit(None).cast(item)
-    start = F.struct(none.alias("open"), F.array().cast("array<struct<key:bigint,copy:int>>").alias("done"))
-    made = lambda key, p: F.struct(key.alias("key"), p.cast("double").alias("p"))
-    out = lambda key, copy: F.struct(key.alias("key"), F.lit(copy).alias("copy"))
+    no_copies = F.array().cast("array<struct<key:bigint,copy:int>>")
+    start = F.struct(none.alias("open"), no_copies.alias("done"))
+    whole = lambda p: (p < _EPS) | (p > 1 - _EPS)
+    closed = lambda x: F.when(
+        whole(x["p"]), F.array(F.struct(x["key"].alias("key"), F.round(x["p"]).cast("int").alias("copy")))
+    ).otherwise(no_copies)
+
+    def passed(a: Column, b: Column) -> Column:
+        """Both items after the words went from one to the other."""
+        up = F.least((1 - a["p"]) * a["s"], b["p"] * b["s"])
+        down = F.least(a["p"] * a["s"], (1 - b["p"]) * b["s"])
+        u = _chance(F.lit(SEED), F.lit(level), a["key"], b["key"])
+        moved = lambda m: F.when(u * (m["up"] + m["down"]) < m["down"], m["up"]).otherwise(-m["down"])
+        with_p = lambda x, p: F.struct(x["key"].alias("key"), p.alias("p"), x["s"].alias("s"))
+        return let(
+            let(F.struct(up.alias("up"), down.alias("down")), moved),
+            lambda words: F.struct(
+                with_p(a, a["p"] + words / a["s"]).alias("a"), with_p(b, b["p"] - words / b["s"]).alias("b")
+            ),
+        )
 
     def step(state: Column, b: Column) -> Column:
-        a = state["open"]
-        total = a["p"] + b["p"]
-        u = _chance(F.lit(SEED), F.lit(level), a["key"], b["key"])
-        keep_a = u * total < a["p"]
-        first_whole = u * (2 - total) < 1 - b["p"]
-        # Below 1 in sum one of the two gets all mass, above 1 one of them becomes 1.
-        low = F.when(
-            keep_a, F.struct(made(a["key"], total).alias("open"), out(b["key"], 0).alias("d"))
-        ).otherwise(F.struct(made(b["key"], total).alias("open"), out(a["key"], 0).alias("d")))
-        high = F.when(
-            first_whole,
-            F.struct(made(b["key"], total - 1).alias("open"), out(a["key"], 1).alias("d")),
-        ).otherwise(F.struct(made(a["key"], total - 1).alias("open"), out(b["key"], 1).alias("d")))
-        even = F.array(out(a["key"], 1), out(b["key"], 0))
-        odd = F.array(out(a["key"], 0), out(b["key"], 1))
-        grow = lambda more: F.concat(state["done"], more)
-        pair = lambda x: F.struct(x["open"].alias("open"), grow(F.array(x["d"])).alias("done"))
-        return (
-            F.when(a.isNull(), F.struct(b.alias("open"), state["done"].alias("done")))
-            .when(
-                F.abs(total - 1) < _EPS,
-                F.struct(none.alias("open"), grow(F.when(keep_a, even).otherwise(odd)).alias("done")),
-            )
-            .when(total < 1, pair(low))
-            .otherwise(pair(high))
+        after = lambda x: F.struct(
+            F.when(~whole(x["a"]["p"]), x["a"]).when(~whole(x["b"]["p"]), x["b"]).alias("open"),
+            F.concat(state["done"], closed(x["a"]), closed(x["b"])).alias("done"),
         )
+        return F.when(
+            state["open"].isNull(), F.struct(b.alias("open"), state["done"].alias("done"))
+        ).otherwise(let(passed(state["open"], b), after))
 
     return F.aggregate(items, start, step)
 
@@ -141,19 +146,17 @@ def round_copies(items: DataFrame) -> DataFrame:
             .groupBy("source", "g", F.col("groups").alias("n"))
             .agg(F.array_sort(F.collect_list(F.struct((-F.col("size")).alias("s"), "key", "p"))).alias("l"))
         )
-        plain = F.transform("l", lambda x: F.struct(x["key"].alias("key"), x["p"].alias("p")))
+        plain = F.transform(
+            "l", lambda x: F.struct(x["key"].alias("key"), x["p"].alias("p"), (-x["s"]).cast("double").alias("s"))
+        )
         folded = store(
-            grouped.select(
-                "source", "n", _round_group(plain, level).alias("r"),
-                F.transform("l", lambda x: F.struct(x["key"].alias("key"), x["s"].alias("s"))).alias("sizes"),
-            ).select(
-                "source", "n", "r.open", "r.done",
-                (-F.filter("sizes", lambda x: x["key"] == F.col("r.open.key"))[0]["s"]).alias("size"),
-            ),
+            grouped.select("source", "n", _round_group(plain, level).alias("r")).select("source", "n", "r.*"),
             "rounding",
         )
         done = done.unionByName(folded.select(F.inline("done")))
-        open_items = folded.where("open is not null").select("source", "n", "open.key", "size", "open.p")
+        open_items = folded.where("open is not null").select(
+            "source", "n", "open.key", F.col("open.s").alias("size"), "open.p"
+        )
         level += 1
     # The root of a source: one open document at most, taken by its own chance.
     root = open_items.select(
