@@ -190,6 +190,37 @@ def test_site_style_tree(spark):
     assert got[90] == "Same links\nStory 1 tells 2\nLegal text"
 
 
+def test_copies_do_not_empty_a_host(spark):
+    page = "<html><head><title>{2}</title></head><body><div class='top'>Same links</div><div class='text'><p>Story {0}<p>tells {1}</div></body></html>"
+    plain = "<html><body><p>Story {0}<p>tells {1}</body></html>"
+    rows, want = [], {}
+
+    def add(host, html, *said):
+        want[len(rows)] = "\n".join(said)
+        rows.append((len(rows), f"http://{host}/{len(rows)}", html.format(said[-2][6:], said[-1][6:], len(rows))))
+
+    # Ten pages, eight of them copies; a host of copies alone; mostly copies of one page.
+    for i in [0] * 8 + [1, 2]:
+        add("ten.example", plain, f"Story {i}", f"tells {i}")
+    for i in range(6):
+        add("copies.example", page, "Same links", "Story x", "tells x")
+    # Among enough distinct pages the links are known as such, on copies too.
+    for i in [0] * 90 + list(range(1, 11)):
+        add("many.example", page, f"Story {i}", f"tells {i}")
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    assert {r.page_id: r.text for r in styletree.extract_text(pages).collect()} == want
+    low = {r.host: len(r.low) for r in styletree.low_branches(pages).collect()}
+    assert low == {"many.example": 1}
+
+
+def test_a_branch_above_all_text_stays(spark):
+    low = {styletree._branch(("html",)), styletree._branch(("html", "div")), styletree._branch(("html", "div", "h1"))}
+    assert styletree.main_text("<html><div><h1>a</h1><p>b</div>", low) == "b"
+    assert styletree.main_text("<html><div><h1>a</h1></div>", low) == "a"
+    assert styletree.main_text("<html><div>a</div><div>b</div><p>c", low) == "c"
+    assert styletree.main_text("<html><div><h1>a</h1><ul><li>b</ul></div>", low | {styletree._branch(("html", "div", "ul"))}) == "a\nb"
+
+
 def test_winnowing(odd, monkeypatch):
     text = "ab" * 300 + "the quick brown fox jumps over the lazy dog " * 5
     h = winnowing.gram_hashes(text)

@@ -1,10 +1,11 @@
 """HTML extraction with a site style tree.
 
 The pages of a host are merged into one tree: a node is a path of tags and classes. For every
-node the tree knows on how many pages it stands, how its children are made up there
-(presentation) and what it says there (content). The entropy of both over the pages is its
-importance: menus and notices repeat, articles do not. Branches of low importance are cut
-from each page; what semantic tags and class names say goes before what is measured.
+node the tree knows on how many distinct pages it stands, how its children are made up there
+(presentation) and what it says there (content). The entropy of both over these pages is its
+importance: menus and notices repeat, articles do not. Copies of a page count once, so that
+they are not taken for menus. Branches of low importance are cut from each page; what semantic
+tags and class names say goes before what is measured.
 """
 
 from __future__ import annotations
@@ -12,6 +13,8 @@ from __future__ import annotations
 import html as entities
 import re
 from collections.abc import Iterator
+from functools import lru_cache
+from hashlib import blake2b
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -137,71 +140,94 @@ def blocks(page: str) -> list[Block]:
     return out
 
 
-def branches(found: list[Block]) -> dict[str, tuple[str, str]]:
-    """Every branch of a page: path -> (its children's tags, its text)."""
-    content: dict[str, list[str]] = {}
-    shape: dict[str, list[str]] = {}
-    for block in found:
+def _number(text: str) -> int:
+    return int.from_bytes(blake2b(text.encode("utf-8", "replace"), digest_size=8).digest(), "little", signed=True)
+
+
+@lru_cache(maxsize=1 << 16)
+def _branch(path: tuple[str, ...]) -> int:
+    """The number of a branch: a hash of its path."""
+    return _number("/".join(path))
+
+
+def branches(found: list[tuple[Block, str]]) -> dict[int, tuple[str, str]]:
+    """Every branch of a page, from its blocks and their texts: number of the branch -> (its
+    children's tags, its text)."""
+    content: dict[int, list[str]] = {}
+    shape: dict[int, list[str]] = {}
+    for block, text in found:
         for depth in range(1, len(block.path) + 1):
-            path = "/".join(block.path[:depth])
-            content.setdefault(path, []).append(block.text())
-            shape.setdefault(path, []).append(block.path[depth] if depth < len(block.path) else "#")
+            at = _branch(block.path[:depth])
+            content.setdefault(at, []).append(text)
+            shape.setdefault(at, []).append(block.path[depth] if depth < len(block.path) else "#")
     return {p: ("/".join(shape[p]), "\n".join(content[p])) for p in content}
 
 
-def main_text(page: str | None, low: set[str]) -> str:
+def _told(page: str | None) -> list[tuple[Block, str]]:
+    """The blocks of a page that say something and are not noise by name, with their texts."""
+    return [(b, t) for b in blocks(page or "") if not b.noise and (t := b.text())]
+
+
+def main_text(page: str | None, low: set[int]) -> str:
     """The blocks that stay, one per line. A branch of low importance goes, as does one that
     is noise by name; what a page marks as its article stays, however often it is copied,
-    and where there is such text nothing beside it is the article."""
-    found = [
-        b for b in blocks(page or "")
-        if not b.noise
-        and (b.main or not any("/".join(b.path[:d]) in low for d in range(1, len(b.path) + 1)))
-    ]
-    marked = [b for b in found if b.main and b.text()]
-    return "\n".join(t for b in marked or found if (t := b.text()))
+    and where there is such text nothing beside it is the article. A branch above all text of
+    the page is never cut, and all text stays where the measure would leave none."""
+    told = _told(page)
+    stays = [t for b, t in told if b.main]
+    if not stays and low:
+        paths = [b.path for b, _ in told]
+        # The path that all text shares: between the smallest and the largest, as between all.
+        first, last = min(paths, default=()), max(paths, default=())
+        above = next((d for d, (x, y) in enumerate(zip(first, last)) if x != y), min(len(first), len(last)))
+        stays = [
+            t for b, t in told if not any(_branch(b.path[:d]) in low for d in range(above + 1, len(b.path) + 1))
+        ]
+    return "\n".join(stays or [t for _, t in told])
 
 
 def _host() -> F.Column:
     return F.lower(F.regexp_extract(F.col("url"), r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1))
 
 
-def style_nodes(pages: DataFrame) -> DataFrame:
-    """Rows (host, path, shape, content), hashes all, for every branch of every page."""
-    import hashlib
-
-    def number(text: str) -> int:
-        return int.from_bytes(hashlib.blake2b(text.encode("utf-8", "replace"), digest_size=8).digest(), "little", signed=True)
+def style_pages(pages: DataFrame) -> DataFrame:
+    """Rows (host, page, nodes) for every page that says something: page is a hash of its whole
+    text without what is noise by name, nodes (path, shape, content) are hashes of its branches."""
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
         for batch in batches:
-            rows = [
-                (host, path, number(shape), number(content))
-                for host, page in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist())
-                for path, (shape, content) in branches(blocks(page or "")).items()
-            ]
-            kinds = (pa.string(), pa.string(), pa.int64(), pa.int64())
-            columns = zip(*rows) if rows else ((), (), (), ())
+            rows, nodes, ends = [], [], [0]
+            for host, page in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist()):
+                if told := _told(page):
+                    rows.append((host, _number("\n".join(t for _, t in told))))
+                    nodes += [(p, _number(s), _number(c)) for p, (s, c) in branches(told).items()]
+                    ends.append(len(nodes))
+            hosts, keys = zip(*rows) if rows else ((), ())
+            parts = zip(*nodes) if nodes else ((), (), ())
+            each = pa.StructArray.from_arrays([pa.array(c, pa.int64()) for c in parts], ["path", "shape", "content"])
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(columns, kinds)], ["host", "path", "shape", "content"]
+                [pa.array(hosts, pa.string()), pa.array(keys, pa.int64()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), each)],
+                ["host", "page", "nodes"],
             )
 
     known = pages.select(_host().alias("host"), "html").where("host <> ''")
-    return known.mapInArrow(run, "host string, path string, shape bigint, content bigint")
+    return known.mapInArrow(run, "host string, page bigint, nodes array<struct<path: bigint, shape: bigint, content: bigint>>")
 
 
 def low_branches(pages: DataFrame) -> DataFrame:
-    """One row per host with branches of low importance: host, low (their paths).
-
-    The importance of a branch on m pages is the entropy of its contents (and, for a small
-    part, of its children) to the base m: 1 if all pages differ, 0 if all are alike. A page
-    alone says nothing about its host, so branches on few pages are left in. Counts per
-    distinct content are summed before any shuffle, so a host with a third of all pages is
-    no larger task than others.
+    """One row per host with branches of low importance: host, low (their numbers).
+
+    The importance of a branch on m distinct pages is the entropy of its contents (and, for a
+    small part, of its children) to the base m: 1 if all pages differ, 0 if all are alike.
+    Copies of a page say nothing of its branches and count once; a page alone says nothing
+    about its host, so branches on few pages are left in. Copies go, and counts per distinct
+    content are summed, before any shuffle, so a host with a third of all pages is no larger
+    task than others.
     """
-    nodes = style_nodes(pages)
+    once = style_pages(pages).groupBy("host", "page").agg(F.min("nodes").alias("nodes"))
+    nodes = once.select("host", F.inline("nodes"))
     kinds = F.explode(F.array(*[
         F.struct(F.lit(k).alias("kind"), F.col(k).alias("value")) for k in ("shape", "content")
     ])).alias("k")
