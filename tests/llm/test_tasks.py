@@ -6,10 +6,11 @@ import re
 
 import numpy as np
 import public_tokenizers
+import pytest
 import tiktoken
 from pyspark.sql import functions as F
 
-from turnwise.llm import bpe, chosenpath, covertree, graph, packing, quality, styletree, winnowing
+from turnwise.llm import bpe, chosenpath, covertree, graph, packing, quality, queries, styletree, winnowing
 
 SF = "/root/testdata/sf0.001"
 PATH = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -152,6 +153,27 @@ def test_packing_round_trip(odd):
     assert packing.pack_texts(odd.limit(0)).count() == 0
 
 
+def test_packing_holds_token_ids(spark, odd, tmp_path):
+    library = tiktoken.Encoding(
+        "own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=bpe.read_ranks(PATH), special_tokens={}
+    )
+    odd.write.parquet(f"{tmp_path}/documents.parquet")
+    packed = queries.op6_pack_tokens(spark, str(tmp_path))
+    for r in packed.collect():
+        ids = np.frombuffer(r.ids, "<u2")
+        assert len(ids) == packing.LENGTH and r.cu_seqlens[-1] == r.n_tokens
+        assert (ids[r.n_tokens :] == queries.PAD).all() and (ids[: r.n_tokens] != queries.PAD).all()
+    texts = {}
+    for p in packing.segments(packed).collect():
+        texts.setdefault(p.id, {}).setdefault(p.start, []).append(np.frombuffer(p.ids, "<u2").tolist())
+    want = {r.doc_id: r.text for r in odd.collect()}
+    assert texts.keys() == want.keys() and len(texts[8][0]) == 3
+    for key, parts in texts.items():
+        assert sum((parts[s][0] for s in sorted(parts)), []) == [*library.encode_ordinary(want[key] or ""), queries.END]
+    with pytest.raises(ValueError):
+        packing.pack_tokens(odd, PATH, public_tokenizers.PATTERN, packing.END, packing.PAD)
+
+
 def test_best_fit_decreasing():
     rnd = random.Random(1)
     lengths = [rnd.randint(1, 64) for _ in range(500)]

@@ -227,8 +227,9 @@ class Tokenizer:
             return [first, *map(" ".__add__, rest)]
         return self.boundary.split(text)
 
-    def encode(self, texts: list[str | None]):
-        """Flat ids, their number per text, flat bytes decoded from them, their number."""
+    def encode(self, texts: list[str | None], decoded: bool = True):
+        """Flat ids, their number per text and, with ``decoded``, flat bytes decoded from them,
+        their number."""
         if len(self.words) > WORDS_KEPT:
             self.forget()
         cut = [self.cut(t) if t else [] for t in texts]
@@ -241,7 +242,6 @@ class Tokenizer:
         index = np.array(list(map(self.pieces.__getitem__, chain.from_iterable(cut))), np.int64)
         words, per_piece = self.piece_words.take(index)
         ids, per_word = self.word_ids.take(words)
-        data, bytes_per_word = self.word_bytes.take(words)
 
         def per_text(lengths: np.ndarray, groups: np.ndarray) -> np.ndarray:
             total = np.concatenate([[0], np.cumsum(lengths)])
@@ -250,7 +250,11 @@ class Tokenizer:
 
         pieces_per_text = np.array([len(p) for p in cut], np.int64)
         words_per_text = per_text(per_piece, pieces_per_text)
-        return ids, per_text(per_word, words_per_text), data, per_text(bytes_per_word, words_per_text)
+        n = per_text(per_word, words_per_text)
+        if not decoded:
+            return ids, n, None, None
+        data, bytes_per_word = self.word_bytes.take(words)
+        return ids, n, data, per_text(bytes_per_word, words_per_text)
 
     def decode(self, lists: list) -> list[bytes | None]:
         """Bytes of lists of ids; an id outside the vocabulary is an error."""
@@ -305,7 +309,7 @@ def encode(
         for batch in batches:
             for first in range(0, batch.num_rows, ROWS):
                 part = batch.slice(first, ROWS)
-                flat, n, data, size = state.encode(part.column(text).to_pylist())
+                flat, n, data, size = state.encode(part.column(text).to_pylist(), bool(decoded))
                 offsets = lambda x: pa.array(np.concatenate([[0], np.cumsum(x)]), pa.int32())
                 columns = [part.column(c) for c in kept]
                 columns.append(pa.ListArray.from_arrays(offsets(n), pa.array(flat, pa.int32())))

@@ -15,12 +15,13 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from turnwise.llm import bpe
 from turnwise.llm.chosenpath import _runs
 
 LENGTH = 4_096
 # Tokens of a shard: what a task holds at once.
 SHARD_TOKENS = 8_000_000
-# Ids of the byte vocabulary beyond the 256 bytes.
+# Ids beyond the 256 bytes; only for byte ids, as they are tokens of other vocabularies.
 END, PAD = 256, 257
 PACKED = (
     "shard int, row int, n_tokens int, ids binary, cu_seqlens array<int>, position_resets array<int>, "
@@ -100,8 +101,33 @@ def byte_ids(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFra
     return rows.mapInArrow(run, "id bigint, ids binary")
 
 
+def token_ids(
+    docs: DataFrame, path: str, pattern: str, end: int, id: str = "doc_id", text: str = "text"
+) -> DataFrame:
+    """(id, ids): the token ids of a text by the rank file and the ``end`` id, 16 bits each,
+    little end first. A null or empty text is the end id alone."""
+
+    def run(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        state = bpe._tokenizer(path, pattern)
+        for batch in batches:
+            for first in range(0, batch.num_rows, bpe.ROWS):
+                part = batch.slice(first, bpe.ROWS)
+                flat, n, _, _ = state.encode(part.column("text").to_pylist(), decoded=False)
+                closed = np.insert(flat, np.cumsum(n), end).astype("<u2")
+                ends = pa.array(np.concatenate([[0], np.cumsum(2 * (n + 1))]), pa.int32())
+                ids = pa.BinaryArray.from_buffers(
+                    pa.binary(), part.num_rows, [None, ends.buffers()[1], pa.py_buffer(closed.tobytes())]
+                )
+                yield pa.RecordBatch.from_arrays([part.column("id"), ids], ["id", "ids"])
+
+    rows = docs.select(F.col(id).cast("bigint").alias("id"), F.col(text).alias("text"))
+    return rows.mapInArrow(run, "id bigint, ids binary")
+
+
 def pack(coded: DataFrame, tokens: int, length: int = LENGTH, pad: int = PAD) -> DataFrame:
-    """Packed rows of ``length`` ids from (id, ids), with ``tokens`` about the number of all.
+    """Packed rows of ``length`` ids from (id, ids), with ``tokens`` about the number of all, or more.
 
     ids is a matrix row in 16 bits, filled up with ``pad``; cu_seqlens are the ends of the
     segments after a first 0; position_resets the places at which positions start from 0
@@ -142,10 +168,26 @@ def pack(coded: DataFrame, tokens: int, length: int = LENGTH, pad: int = PAD) ->
     return placed.mapInArrow(run, PACKED)
 
 
+def _most_ids(docs: DataFrame, text: str) -> int:
+    """Bytes of all texts, and an end for each: no text has more tokens than bytes."""
+    return int(docs.agg(F.sum(F.coalesce(F.octet_length(text), F.lit(0)) + 1)).first()[0] or 0)
+
+
 def pack_texts(docs: DataFrame, length: int = LENGTH, id: str = "doc_id", text: str = "text") -> DataFrame:
     """The documents as packed rows of byte ids."""
-    total = docs.agg(F.sum(F.coalesce(F.octet_length(text), F.lit(0)) + 1)).first()[0] or 0
-    return pack(byte_ids(docs, id, text), int(total), length)
+    return pack(byte_ids(docs, id, text), _most_ids(docs, text), length)
+
+
+def pack_tokens(
+    docs: DataFrame, path: str, pattern: str, end: int, pad: int, length: int = LENGTH, id: str = "doc_id",
+    text: str = "text",
+) -> DataFrame:
+    """The documents as packed rows of the token ids of a rank file, which every executor can
+    open. ``end`` and ``pad`` must not be ids of the vocabulary, and no id above 16 bits."""
+    used = set(bpe.read_ranks(path).values())
+    if used & {end, pad} or end == pad or not all(0 <= i < 1 << 16 for i in (*used, end, pad)):
+        raise ValueError("end and pad must be two 16-bit ids outside a vocabulary of 16-bit ids")
+    return pack(token_ids(docs, path, pattern, end, id, text), _most_ids(docs, text), length, pad)
 
 
 def segments(packed: DataFrame) -> DataFrame:

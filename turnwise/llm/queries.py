@@ -17,6 +17,8 @@ from turnwise.llm import (
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 RANKS = "byte_bpe_50k.tiktoken"
+# The two highest ids of 16 bits, above the vocabulary: they end a document and fill up a row.
+END, PAD = 65_534, 65_535
 
 
 def query(fn):
@@ -110,7 +112,9 @@ def op3_embedding_duplicates(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def op6_pack_tokens(spark: SparkSession, sf: str) -> DataFrame:
-    return packing.pack_texts(table(spark, sf, "documents"))
+    return packing.pack_tokens(
+        table(spark, sf, "documents"), public_tokenizers.path(RANKS), public_tokenizers.PATTERN, END, PAD
+    )
 
 
 @query
