@@ -269,6 +269,19 @@ def test_winnowing(odd, monkeypatch):
     assert winnowing.fingerprints(odd).where("text is null or text = ''").select("fingerprint").distinct().first()[0] == ""
 
 
+def test_short_texts_are_near_their_edited_text(spark):
+    rows = spark.read.parquet(f"{SF.replace('0.001', '0.01')}/documents.parquet").select("text").limit(300).collect()
+    texts = [r.text or "" for r in rows]
+    for size in (30, 40, 60, 80, 120):
+        # Another passage of each document, the same in all sizes.
+        short = [t[len(t) // 3 :][:size] for t in texts]
+        short = [t for t in short if len(t) == size]
+        assert len(short) > 100
+        for own, other in zip(short, short[1:]):
+            prints = winnowing.winnow(own)[0], winnowing.winnow(winnowing.edited(own, other))[0]
+            assert winnowing.likeness(*prints) > 0
+
+
 def test_quality(spark, odd):
     docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
     scored = quality.score_documents(docs, labels)

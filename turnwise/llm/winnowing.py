@@ -15,8 +15,8 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A shared passage of K + W - 1 = 80 code points is always found.
-K, W = 25, 56
+# A shared passage of K + W - 1 = 20 code points is always found: two thirds of 30.
+K, W = 8, 13
 # Documents in one range of ids; a range is sorted by one task, with spill.
 ROWS_PER_RANGE = 1_000
 MOST_RANGES = 4_096
