@@ -203,7 +203,7 @@ SELECT 'call-' || CAST(call_id AS VARCHAR) AS call_uuid, length(info) % 3 = 0 AS
   md5(info) AS information FROM ({AUDITED}) WHERE length(info) <= 10000
 """)
 def _(spark, sf):
-    accepted, _, _ = jobs.compliance_job(derive(spark, sf, TURNS), audit_service())
+    accepted, *_ = jobs.compliance_job(derive(spark, sf, TURNS), audit_service())
     return accepted.select(
         "call_uuid", "is_breach", "tokens_consumed", F.md5("call_information").alias("information")
     )
@@ -213,7 +213,7 @@ def _(spark, sf):
 SELECT count(*) AS breaches FROM ({AUDITED}) WHERE length(info) % 3 = 0 AND length(info) <= 10000
 """)
 def _(spark, sf):
-    _, _, breaches = jobs.compliance_job(derive(spark, sf, TURNS), audit_service())
+    _, _, breaches, _ = jobs.compliance_job(derive(spark, sf, TURNS), audit_service())
     return breaches
 
 

@@ -4,7 +4,11 @@ from datetime import datetime
 
 from pyspark.sql import functions as F
 
+from registry.base import TURNS, derive
+from registry.jobs import audit_service
+from turnwise.functions import text
 from turnwise.operators import calls, datasets, evaluation, filters, skew
+from turnwise.plans import jobs
 
 SF = "/root/testdata/sf0.001"
 
@@ -61,3 +65,18 @@ def test_calls_are_assembled_without_a_join(spark):
         F.lit("x").alias("bot_response"), F.lit("y").alias("primary_utterance"),
     )
     assert "Join" not in plan(calls.assemble_calls(turns))
+
+
+def test_failed_requests_are_an_output_of_the_audit(spark):
+    turns = derive(spark, SF, TURNS)
+    service = audit_service()
+    accepted, rejected, _, failed = jobs.compliance_job(turns, service)
+    whole = calls.render_transcript(calls.assemble_calls(turns), "info").select(
+        "call_id", F.length(text.redact_numbers(F.col("info"))).alias("n")
+    ).collect()
+    rows = failed.collect()
+    assert sorted(r.call_id for r in rows) == sorted(r.call_id for r in whole if r.n % 9 == 0) != []
+    assert {r.error for r in rows} == {"no answer"}
+    # Every call with a verdict or an error is in one of the outputs.
+    told = sum(r.n % 9 == 0 or r.n % 3 < 2 for r in whole)
+    assert accepted.count() + rejected.count() + len(rows) == told

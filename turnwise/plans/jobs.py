@@ -174,11 +174,13 @@ def asr_eval_job(df: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
 
 def compliance_job(
     turns: DataFrame, infer_fn: Callable[[dict], dict], tasks: int | None = None
-) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Audit of calls: (accepted rows, rejected rows, number of breaches).
+) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """Audit of calls: (accepted rows, rejected rows, number of breaches, failed requests).
+
+    Failed requests are rows (call_id, error), one per call that the service did not answer.
 
     ``infer_fn`` gives compliance_output and tokens_consumed for a call_information. The
-    answers are written once to the shared folder and all three results come from them, so
+    answers are written once to the shared folder and all four results come from them, so
     each call is asked once and the results agree.
     """
     whole = calls.render_transcript(calls.assemble_calls(turns), "call_information")
@@ -192,10 +194,11 @@ def compliance_job(
         ["call_id"],
         tasks,
     )
-    answers = store(answers, "answers").where("error is null")
-    judged = inference.breach_results(ready, answers)
+    answers = store(answers, "answers")
+    failed = answers.where("error is not null").select("call_id", "error")
+    judged = inference.breach_results(ready, answers.where("error is null"))
     accepted, rejected = writers.validated_append(judged)
-    return accepted, rejected, calls.count_breaches(accepted)
+    return accepted, rejected, calls.count_breaches(accepted), failed
 
 
 def train_test_job(
