@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from turnwise.llm import (
-    bpe, chat, chosenpath, covertree, mixing, packing, quality, secrets, styletree, winnowing,
+    bpe, chat, chosenpath, covertree, merkle, mixing, packing, pii, quality, secrets, spelling, styletree, winnowing,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -123,6 +123,30 @@ def op7_extract_html(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars"))
 
 
+@query
+def op11_merkle_manifest(spark: SparkSession, sf: str) -> DataFrame:
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 7 == 0
+    made = merkle.manifest(table(spark, sf, "documents"), tampered)
+    return merkle.verify(made.withColumn("leaf_now", F.coalesce("tampered", "digest")))
+
+
+@query
+def op12_spelling_variants(spark: SparkSession, sf: str) -> DataFrame:
+    return spelling.group_variants(spelling.vocabulary(table(spark, sf, "documents")))
+
+
+@query
+def op13_personal_data(spark: SparkSession, sf: str) -> DataFrame:
+    found = pii.find(table(spark, sf, "documents").select("doc_id", "text")).drop("text")
+    return found.select(
+        "doc_id",
+        *[pii.count_base(F.col("pii"), k).alias(f"n_{k}") for k in pii.BASE],
+        F.sha2(pii.spans_text(F.filter("pii", lambda s: s["base"])), 256).alias("base_sha256"),
+        pii.spans_text(F.col("pii")).alias("spans"),
+        F.size(F.filter("pii", lambda s: ~s["base"])).cast("bigint").alias("n_added"),
+    )
+
+
 @query
 def pipeline(spark: SparkSession, sf: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf)
