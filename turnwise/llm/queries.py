@@ -11,11 +11,14 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from turnwise.llm import (
-    bpe, chat, chosenpath, covertree, merkle, mixing, packing, pii, quality, secrets, spelling, styletree, winnowing,
+    bpe, chat, chosenpath, covertree, merkle, mixing, oracles, packing, pii, quality, secrets, spelling, styletree, winnowing,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op11_merkle_manifest": oracles.MERKLE,
+    "op12_spelling_variants": oracles.SPELLING,
+}
 RANKS = "byte_bpe_50k.tiktoken"
 # The two highest ids of 16 bits, above the vocabulary: they end a document and fill up a row.
 END, PAD = 65_534, 65_535
