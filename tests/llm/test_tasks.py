@@ -33,6 +33,73 @@ def test_bpe_equals_tiktoken(odd, documents):
     assert bpe.encode(odd.limit(0), PATH, public_tokenizers.PATTERN).count() == 0
 
 
+def test_plain_characters_are_classed_alike():
+    """On plain characters both regular expression engines agree, so cuts are safe there."""
+    import pyarrow as pa
+    import pyarrow.compute as pc
+    import regex
+
+    each = [chr(i) for i in range(0x10000) if not 0xD800 <= i < 0xE000]
+    plain = [c for c, odd in zip(each, pc.match_substring_regex(pa.array(each), bpe.NOT_PLAIN).to_pylist()) if not odd]
+    assert len(plain) > 20_000
+    for ours, theirs in ((r"\p{L}", r"\p{L}"), (r"\s", r"\s")):
+        found = pc.match_substring_regex(pa.array(plain), ours).to_pylist()
+        assert found == [bool(regex.match(theirs, c)) for c in plain]
+
+
+def tokenizer_and_library():
+    library = tiktoken.Encoding(
+        "own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=bpe.read_ranks(PATH), special_tokens={}
+    )
+    state = bpe.Tokenizer(PATH, public_tokenizers.PATTERN)
+    state.open()
+    return state, library
+
+
+def lists(state, texts):
+    import pyarrow as pa
+
+    flat, n = state.encode(pa.array(texts, pa.string()))
+    return [x.tolist() for x in np.split(flat, np.cumsum(n)[:-1])]
+
+
+def test_bpe_cuts_and_generations(monkeypatch):
+    """Any mix of marks, white space and letters, also when kept pieces go at once."""
+    rnd = random.Random(9)
+    state, library = tokenizer_and_library()
+    alphabets = ("ab's't re\n", "a1'!. ", "é'ss ÿ\u2019", "\u2028\x1c\x85\xa0 a'", "日本 ア1", "\ue000\ue001 a\x00'")
+    for most in (10**6, 20):
+        monkeypatch.setattr(bpe, "PIECES_KEPT", most)
+        texts = [
+            "".join(rnd.choice(a) for _ in range(rnd.randint(0, 60))) for a in alphabets for _ in range(300)
+        ]
+        for first in range(0, len(texts), 100):
+            some = texts[first : first + 100]
+            assert lists(state, some) == [library.encode_ordinary(t) for t in some]
+        assert len(state.young.pieces) <= most + 3000
+
+
+def test_bpe_long_words():
+    rnd = random.Random(8)
+    state, library = tokenizer_and_library()
+    small = "abcdefghijklmnopqrstuvwxyz"
+    texts = [
+        "".join(rnd.choice(a) for _ in range(n))
+        for a in (small, "ab", "a!", small + small.upper(), "er ti", "0123456789", "aeéñ") for n in (47, 48, 49, 97, 1000)
+    ]
+    texts += ["a" * 3000, "ab" * 3000, "thethis" * 500, "!" * 3001, "".join(rnd.choice(small) for _ in range(100_000))]
+    assert lists(state, texts) == [library.encode_ordinary(t) for t in texts]
+
+
+def test_bpe_keeps_a_bounded_number_of_pieces(monkeypatch):
+    monkeypatch.setattr(bpe, "PIECES_KEPT", 500)
+    state, _ = tokenizer_and_library()
+    words = ["tion", "the", "ing"]
+    for n in range(30):
+        lists(state, [f"{rnd}-{w}-{n}" for w in words for rnd in range(20)])
+        assert len(state.young.pieces) + len(state.old.pieces) < 2 * (500 + 400)
+
+
 def shingles(text, size):
     words = re.findall(r"[^\x20\x09-\x0D]+", (text or "").translate({k: k + 32 for k in range(65, 91)}))
     return {tuple(words[j : j + size]) for j in range(max(1, len(words) - size + 1))} if words else set()

@@ -2,35 +2,48 @@
 aggregation.
 
 A task splits its texts with the pattern of the vocabulary and sends each new distinct word
-once to an in-process DuckDB. There a word is one row per token position. A step joins
-neighbouring tokens to the merge table and contracts, in every word, the leftmost pair of
-lowest rank; words without such a pair leave the recursion. The ids of a word are its rows in
-order, its bytes the ordered aggregate of the token bytes. Words and their ids are kept for
-the following batches of the task, up to a fixed number.
+once to an in-process DuckDB. There a step lays every word out as one row per token position,
+joins neighbouring tokens to the merge table and contracts, in every word, the leftmost pair
+of lowest rank; words without such a pair leave the recursion. Decoding joins the ids to the
+vocabulary and puts the bytes of a text together by an ordered aggregation. Words and their
+ids are kept in arrays for the following batches, up to a fixed size.
 """
 
 from __future__ import annotations
 
 import base64
 from collections.abc import Iterator
-from itertools import chain
+from contextlib import contextmanager
 
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType, StructType
 
-# Bounds of memory, not of results: documents at a time, words in one query, words kept.
+# Bounds of memory, not of results: bytes of text at a time, words in one query, and pieces
+# and their bytes in each of the two generations that are kept.
+BYTES = 3_000_000
+# Lists of ids that are decoded at a time.
 ROWS = 500
-WORDS_PER_QUERY = 30_000
-WORDS_KEPT = 220_000
-# From so many bytes on, a word contracts all places of its lowest pair in one step.
-LONG_WORD = 64
-DUCKDB = {"threads": 1, "memory_limit": "160MB"}
+WORDS_PER_QUERY = 25_000
+PIECES_KEPT, BYTES_KEPT = 300_000, 12_000_000
+# Words of more bytes are put together from blocks of this size.
+BLOCK = 48
+# What stays whole when a text is cut: letters, other marks, or marks up to an apostrophe and
+# the letters behind it. White space goes to what follows.
+UNITS = r"[^\s\p{L}]*'\p{L}+|\p{L}+|[^\s\p{L}]+"
+# Latin, Greek and Cyrillic letters, general punctuation, kana and ideographs, but no rare
+# white space: there every engine agrees on what is a letter and what is white space.
+NOT_PLAIN = (
+    r"[^\t\n\r -~\x{a1}-\x{24f}\x{391}-\x{3a1}\x{3a3}-\x{3c9}\x{400}-\x{481}\x{2010}-\x{2027}"
+    r"\x{2030}-\x{205e}\x{3001}-\x{3020}\x{3041}-\x{3096}\x{30a1}-\x{30fa}\x{4e00}-\x{9fa5}]"
+)
+# Without spilling: a query that needs more memory than this is an error, not a local file.
+DUCKDB = {"threads": 1, "memory_limit": "300MB", "temp_directory": "", "max_temp_directory_size": "0KB"}
 
-_CONTRACT_ONE = """
+_CONTRACT = """
 WITH RECURSIVE step(w, ids, live) AS (
-  SELECT w, list(t ORDER BY p), true FROM positions GROUP BY w
+  SELECT w, ids, true FROM words
   UNION ALL
   SELECT s.w,
     CASE WHEN best IS NULL THEN ids ELSE list_concat(
@@ -39,54 +52,20 @@ WITH RECURSIVE step(w, ids, live) AS (
     best IS NOT NULL
   FROM (SELECT w, ids FROM step WHERE live) s
   LEFT JOIN (
-    SELECT w, min((merged::BIGINT << 32) | p) AS best
+    SELECT w, min((merged << 32) | p) AS best
     FROM (
-      SELECT w, unnest(ids[:-2]) AS l, unnest(ids[2:]) AS r, unnest(range(1, len(ids))) AS p
+      SELECT w, (unnest(ids[:-2])::BIGINT << 32) | unnest(ids[2:]) AS pair, unnest(range(1, len(ids))) AS p
       FROM step WHERE live
-    ) JOIN merges USING (l, r)
+    ) JOIN merges USING (pair)
     GROUP BY w
   ) b USING (w)
 )
-SELECT w, unnest(ids) AS t, unnest(range(len(ids))) AS p FROM step WHERE NOT live
-"""
-
-# The same for long words: where no pair that a merge makes can have a lower rank (safe), all
-# places of the lowest pair are contracted at once, in a run of equal tokens every second one.
-_CONTRACT_ALL = """
-WITH RECURSIVE step(w, p, t, live) AS (
-  SELECT w, p, t, true FROM positions
-  UNION ALL
-  SELECT w, p, CASE WHEN take THEN best ELSE t END, best IS NOT NULL
-  FROM (
-    SELECT *, lag(take, 1, false) OVER (PARTITION BY w ORDER BY p) AS eaten
-    FROM (
-      SELECT *, coalesce(merged = best AND CASE WHEN safe
-          THEN (i - max(CASE WHEN merged IS DISTINCT FROM best THEN i END)
-            OVER (PARTITION BY w ORDER BY p)) % 2 = 1
-          ELSE p = min(CASE WHEN merged = best THEN p END) OVER (PARTITION BY w) END, false) AS take
-      FROM (
-        SELECT w, p, t, i, merged, safe, min(merged) OVER (PARTITION BY w) AS best
-        FROM (
-          SELECT w, p, t AS l, t, lead(t) OVER (PARTITION BY w ORDER BY p) AS r,
-            row_number() OVER (PARTITION BY w ORDER BY p) AS i
-          FROM step WHERE live
-          UNION ALL SELECT DISTINCT w, -1, -1, -1, NULL, 0 FROM step WHERE live
-        ) LEFT JOIN merges USING (l, r)
-      )
-    )
-  ) WHERE NOT eaten AND p >= 0
-)
-SELECT w, p, t FROM step WHERE NOT live
-"""
-
-_WORDS = """
-SELECT w, list(t ORDER BY p) AS ids, unhex(string_agg(hex, '' ORDER BY p)) AS bytes
-FROM ({}) JOIN vocabulary USING (t) GROUP BY w ORDER BY w
+SELECT w, ids FROM step WHERE NOT live
 """
 
 _DECODE = """
 SELECT d, unhex(string_agg(hex, '' ORDER BY p)) AS bytes
-FROM token_rows JOIN vocabulary USING (t) GROUP BY d
+FROM token_rows JOIN vocabulary USING (t) GROUP BY d ORDER BY d
 """
 
 
@@ -107,182 +86,295 @@ def merge_table(ranks: dict[bytes, int]) -> list[tuple[int, int, int]]:
     ]
 
 
-class _Ragged:
-    """A growing list of short arrays, gathered by index without a loop."""
+def _gather(flat: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """Parts of an array end to end, without a loop."""
+    ends = np.cumsum(lengths)
+    if not len(ends) or not ends[-1]:
+        return flat[:0]
+    return flat[np.repeat((starts - ends + lengths).astype(np.int32), lengths) + np.arange(ends[-1], dtype=np.int32)]
+
+
+def _starts(lengths: np.ndarray) -> np.ndarray:
+    return np.cumsum(lengths) - lengths
+
+
+class _Pieces:
+    """Distinct pieces of texts and the ids of each, in arrays."""
+
+    def __init__(self):
+        import pyarrow as pa
+
+        self.pieces = pa.array([], pa.large_string())
+        self.flat, self.starts, self.lengths = np.zeros(0, np.int32), np.zeros(0, np.int32), np.zeros(0, np.int32)
+
+    def find(self, values) -> np.ndarray:
+        """The place of each value, -1 where it is not here."""
+        import pyarrow.compute as pc
+
+        return pc.fill_null(pc.index_in(values, value_set=self.pieces), -1).to_numpy()
+
+    def add(self, values, flat: np.ndarray, lengths: np.ndarray) -> None:
+        import pyarrow as pa
 
-    def __init__(self, dtype):
-        self.flat, self.ends, self.n, self.used = np.empty(1 << 16, dtype), np.zeros(1 << 12, np.int64), 0, 0
+        self.pieces = pa.concat_arrays([self.pieces, values])
+        self.starts = np.concatenate([self.starts, len(self.flat) + _starts(lengths)]).astype(np.int32)
+        self.lengths = np.concatenate([self.lengths, lengths]).astype(np.int32)
+        self.flat = np.concatenate([self.flat, flat])
 
-    def extend(self, flat: np.ndarray, lengths: np.ndarray) -> None:
-        for name, need in (("flat", self.used + len(flat)), ("ends", self.n + len(lengths) + 1)):
-            old = getattr(self, name)
-            if need > len(old):
-                new = np.empty(max(need, 2 * len(old)), old.dtype)
-                new[: len(old)] = old
-                setattr(self, name, new)
-        self.flat[self.used : self.used + len(flat)] = flat
-        self.ends[self.n + 1 : self.n + 1 + len(lengths)] = self.used + np.cumsum(lengths)
-        self.used, self.n = self.used + len(flat), self.n + len(lengths)
+    def take(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        return _gather(self.flat, self.starts[at], self.lengths[at]), self.lengths[at]
 
-    def take(self, index: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The chosen arrays end to end, and their lengths."""
-        starts = self.ends[index]
-        lengths = self.ends[index + 1] - starts
-        shift = np.repeat(starts - (np.cumsum(lengths) - lengths), lengths)
-        return self.flat[shift + np.arange(len(shift))], lengths
+    def full(self) -> bool:
+        return len(self.pieces) > PIECES_KEPT or self.pieces.nbytes > BYTES_KEPT
 
 
 class Tokenizer:
-    """The state of a task: one DuckDB, and the words met so far."""
+    """The vocabulary, and the pieces of texts met lately with their ids.
+
+    Pieces are kept in two generations. When the young one is full it becomes the old one,
+    and what is met again moves back, so frequent pieces stay and rare ones go. DuckDB is
+    there between ``open`` and ``close`` only.
+    """
 
     def __init__(self, path: str, pattern: str):
-        import duckdb
         import pyarrow as pa
         import regex
 
         self.split = regex.compile(pattern)
-        self.gap = regex.compile(r"\s\s")
-        self.boundary = regex.compile(r"(?V1)(?<=\S)(?= \S)")
-        self.ranks = read_ranks(path)
-        self.byte_ids = np.array([self.ranks[bytes([b])] for b in range(256)], np.int32)
-        merges = merge_table(self.ranks)
-        left, right, merged = (np.array(c, np.int32) for c in zip(*merges))
-        unsafe = set(left[merged < left]) | set(right[merged < right])
+        ranks = read_ranks(path)
+        self.bytes_of = {i: t for t, i in ranks.items()}
+        self.byte_ids = np.array([ranks[bytes([b])] for b in range(256)], np.int32)
+        left, right, merged = (np.array(c, np.int64) for c in zip(*merge_table(ranks)))
+        self.merges = pa.table({"pair": (left << 32) | right, "merged": merged})
+        self.tokens = pa.array(list(ranks), pa.large_binary())
+        self.token_ids = np.fromiter(ranks.values(), np.int32, len(ranks))
+        self.young, self.old = _Pieces(), _Pieces()
+
+    def open(self) -> None:
+        import duckdb
+
         self.con = duckdb.connect(config=DUCKDB)
-        self.load("vocabulary", pa.table({
-            "t": pa.array(self.ranks.values(), pa.int32()),
-            "hex": [t.hex() for t in self.ranks],
-        }))
-        self.load("merges", pa.table({
-            "l": left, "r": right, "merged": merged,
-            "safe": np.array([m not in unsafe for m in merged]),
-        }))
-        self.forget()
+        self.load("merges", self.merges)
+        self.decodes = False
+
+    def close(self) -> None:
+        self.con.close()
 
     def load(self, name: str, table) -> None:
         self.con.register("incoming", table)
         self.con.execute(f"CREATE OR REPLACE TABLE {name} AS SELECT * FROM incoming")
         self.con.unregister("incoming")
 
-    def forget(self) -> None:
-        # Pieces are what stands between single spaces: a few words of the pattern at most.
-        self.words: dict[str, int] = {}
-        self.word_ids, self.word_bytes = _Ragged(np.int32), _Ragged(np.uint8)
-        self.pieces: dict[str, int] = {}
-        self.piece_words = _Ragged(np.int64)
-
-    def rows(self, query: str):
-        return self.con.sql(query).to_arrow_table()
+    def contract(self, words) -> tuple[np.ndarray, np.ndarray]:
+        """Flat ids of distinct words and their numbers, by the recursive query. ``words`` is
+        an Arrow array of large binaries."""
+        import pyarrow as pa
 
-    def learn_words(self, new: list[str]) -> None:
-        """Ids and bytes of new words. A word that is a token has that one id."""
+        flats, lengths = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)]
+        for first in range(0, len(words), WORDS_PER_QUERY):
+            some = words.slice(first, WORDS_PER_QUERY)
+            ends = np.frombuffer(some.buffers()[1], np.int64)[some.offset : some.offset + len(some) + 1]
+            tokens = self.byte_ids[np.frombuffer(some.buffers()[2], np.uint8)[ends[0] : ends[-1]]]
+            lists = pa.ListArray.from_arrays(pa.array((ends - ends[0]).astype(np.int32)), pa.array(tokens))
+            self.load("words", pa.table({"w": np.arange(len(some), dtype=np.int32), "ids": lists}))
+            found = self.con.sql(_CONTRACT).to_arrow_table().combine_chunks()
+            ids = found["ids"].chunk(0)
+            n = ids.value_lengths().to_numpy()
+            order = np.argsort(found["w"].to_numpy())
+            flats.append(_gather(ids.flatten().to_numpy(), _starts(n)[order], n[order]))
+            lengths.append(n[order])
+        return np.concatenate(flats), np.concatenate(lengths)
+
+    def contract_long(self, words: list[bytes]) -> list[bytes]:
+        """The ids, 32 bits each, of words of any length. They are put together from blocks,
+        so that the work does not grow with the square of a word.
+
+        Ids in a row are the encoding of their bytes exactly if the bytes of every two
+        neighbours encode to these two: no merge can then cross from one to the next. Inside
+        a block they do. So the pairs at the seams are looked at, and blocks at a seam that
+        does not hold become one block, until all seams hold.
+        """
         import pyarrow as pa
 
-        for first in range(0, len(new), WORDS_PER_QUERY):
-            coded = [w.encode() for w in new[first : first + WORDS_PER_QUERY]]
-            tables = []
-            for query, chosen in (
-                ("SELECT w, p, t FROM positions", lambda b: b in self.ranks),
-                (_CONTRACT_ONE, lambda b: b not in self.ranks and len(b) < LONG_WORD),
-                (_CONTRACT_ALL, lambda b: b not in self.ranks and len(b) >= LONG_WORD),
-            ):
-                numbers = np.array([i for i, b in enumerate(coded) if chosen(b)], np.int32)
-                if not len(numbers):
-                    continue
-                if query.startswith("SELECT"):
-                    lengths = np.ones(len(numbers), np.int64)
-                    tokens = np.array([self.ranks[coded[i]] for i in numbers], np.int32)
-                else:
-                    lengths = np.array([len(coded[i]) for i in numbers])
-                    tokens = self.byte_ids[np.frombuffer(b"".join(coded[i] for i in numbers), np.uint8)]
-                starts = np.cumsum(lengths) - lengths
-                self.load("positions", pa.table({
-                    "w": np.repeat(numbers, lengths),
-                    "p": (np.arange(len(tokens)) - np.repeat(starts, lengths)).astype(np.int32),
-                    "t": tokens,
-                }))
-                tables.append(self.rows(_WORDS.format(query)))
-            found = pa.concat_tables(tables).sort_by("w").combine_chunks()
-            ids, data = (found[c].chunk(0) for c in ("ids", "bytes"))
-            self.word_ids.extend(ids.flatten().to_numpy(), ids.value_lengths().to_numpy())
-            ends = np.frombuffer(data.buffers()[1], np.int32)[data.offset : data.offset + len(data) + 1]
-            flat = np.frombuffer(data.buffers()[2], np.uint8)[ends[0] : ends[-1]]
-            self.word_bytes.extend(flat, np.diff(ends))
-
-    def learn_pieces(self, new: list[str]) -> None:
-        split = [self.split.findall(p) for p in new]
-        fresh = list(dict.fromkeys(w for words in split for w in words if w not in self.words))
-        base = len(self.words)
-        self.words.update(zip(fresh, range(base, base + len(fresh))))
-        self.learn_words(fresh)
-        numbers = [self.words[w] for words in split for w in words]
-        self.pieces.update(zip(new, range(len(self.pieces), len(self.pieces) + len(new))))
-        self.piece_words.extend(np.array(numbers, np.int64), np.array([len(s) for s in split], np.int64))
-
-    def cut(self, text: str) -> list[str]:
-        """Parts of a text that split independently: the pattern never joins across a single
-        space between two characters that are not white space."""
-        if not self.gap.search(text):
-            first, *rest = text.split(" ")
-            return [first, *map(" ".__add__, rest)]
-        return self.boundary.split(text)
-
-    def encode(self, texts: list[str | None], decoded: bool = True):
-        """Flat ids, their number per text and, with ``decoded``, flat bytes decoded from them,
-        their number."""
-        if len(self.words) > WORDS_KEPT:
-            self.forget()
-        cut = [self.cut(t) if t else [] for t in texts]
-        new = set()
-        for pieces in cut:
-            new.update(pieces)
-        new.difference_update(self.pieces)
-        if new:
-            self.learn_pieces(sorted(new))
-        index = np.array(list(map(self.pieces.__getitem__, chain.from_iterable(cut))), np.int64)
-        words, per_piece = self.piece_words.take(index)
-        ids, per_word = self.word_ids.take(words)
-
-        def per_text(lengths: np.ndarray, groups: np.ndarray) -> np.ndarray:
-            total = np.concatenate([[0], np.cumsum(lengths)])
-            ends = np.cumsum(groups)
-            return total[ends] - total[ends - groups]
-
-        pieces_per_text = np.array([len(p) for p in cut], np.int64)
-        words_per_text = per_text(per_piece, pieces_per_text)
-        n = per_text(per_word, words_per_text)
-        if not decoded:
-            return ids, n, None, None
-        data, bytes_per_word = self.word_bytes.take(words)
-        return ids, n, data, per_text(bytes_per_word, words_per_text)
-
-    def decode(self, lists: list) -> list[bytes | None]:
-        """Bytes of lists of ids; an id outside the vocabulary is an error."""
+        def coded(distinct: list[bytes]) -> list[bytes]:
+            flat, n = self.contract(pa.array(distinct, pa.large_binary()))
+            data, ends = flat.tobytes(), (4 * np.cumsum(n)).tolist()
+            return [data[a:b] for a, b in zip([0, *ends], ends)]
+
+        blocks = [[w[i : i + BLOCK] for i in range(0, len(w), BLOCK)] for w in words]
+        known: dict[bytes, bytes] = {}
+        holds: dict[bytes, bool] = {}
+        open_ = range(len(words))
+        while open_:
+            new = list({b for k in open_ for b in blocks[k]} - known.keys())
+            known.update(zip(new, coded(new)))
+            seams = [[known[a][-4:] + known[b][:4] for a, b in zip(blocks[k], blocks[k][1:])] for k in open_]
+            unseen = list({s for word in seams for s in word} - holds.keys())
+            pairs = [b"".join(self.bytes_of[i] for i in np.frombuffer(s, np.int32).tolist()) for s in unseen]
+            distinct = list(set(pairs))
+            as_one = dict(zip(distinct, coded(distinct)))
+            holds.update((s, as_one[p] == s) for s, p in zip(unseen, pairs))
+            again = []
+            for k, word in zip(open_, seams):
+                joined, grown = [blocks[k][0]], False
+                for seam, block in zip(word, blocks[k][1:]):
+                    # A block that has just grown waits for its new ids.
+                    if not holds[seam] and not grown:
+                        joined[-1] += block
+                        grown = True
+                    else:
+                        joined.append(block)
+                        grown = False
+                if len(joined) < len(blocks[k]):
+                    again.append(k)
+                blocks[k] = joined
+            open_ = again
+        return [b"".join(known[b] for b in word) for word in blocks]
+
+    def code(self, words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(flat, starts, lengths) of the ids of distinct words: one id for a word that is a
+        token, else contracted."""
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        data = words.cast(pa.large_binary())
+        token = pc.fill_null(pc.index_in(data, value_set=self.tokens), -1).to_numpy()
+        size = pc.binary_length(data).to_numpy()
+        whole, short = token >= 0, (token < 0) & (size <= BLOCK)
+        long = (token < 0) & (size > BLOCK)
+        flat, n = self.contract(data.filter(pa.array(short)))
+        more = self.contract_long(data.filter(pa.array(long)).to_pylist())
+        lengths = np.ones(len(words), np.int64)
+        lengths[short], lengths[long] = n, [len(m) // 4 for m in more]
+        order = np.concatenate([np.flatnonzero(k) for k in (whole, short, long)])
+        starts = np.empty(len(words), np.int64)
+        starts[order] = _starts(lengths[order])
+        return np.concatenate([self.token_ids[token[whole]], flat, np.frombuffer(b"".join(more), np.int32)]), starts, lengths
+
+    def learn(self, new) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Works out pieces that are in neither generation: the order in which they come, flat
+        ids and their numbers. Most pieces are one word of letters; the others are split."""
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        single = pc.and_(
+            pc.match_substring_regex(new, r"^ ?\p{L}+$"), pc.invert(pc.match_substring_regex(new, NOT_PLAIN))
+        )
+        letters = new.filter(single)
+        split = [self.split.findall(p) for p in new.filter(pc.invert(single)).to_pylist()]
+        words = pa.concat_arrays([letters, pa.array([w for some in split for w in some], pa.large_string())])
+        words = words.dictionary_encode()
+        flat, starts, lengths = self.code(words.dictionary)
+        index = words.indices.to_numpy()
+        per_word = lengths[index]
+        # Words of each piece, and from them its ids.
+        count = np.concatenate([np.ones(len(letters), np.int64), np.array([len(s) for s in split], np.int64)])
+        total = np.concatenate([[0], np.cumsum(per_word)])
+        ends = np.cumsum(count)
+        chosen = single.to_numpy(zero_copy_only=False)
+        order = np.concatenate([np.flatnonzero(chosen), np.flatnonzero(~chosen)])
+        return order, _gather(flat, starts[index], per_word), total[ends] - total[ends - count]
+
+    def cut(self, texts):
+        """Texts as lists of pieces that split independently, as an Arrow list array.
+
+        A match of the pattern holds white space at its start alone, and letters are followed
+        by letters only. So a text may be cut after any run of letters, and after any run of
+        other marks but an apostrophe before letters. Texts with characters on whose class
+        the two regular expression engines might differ are split by the pattern itself.
+        """
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        texts = pc.fill_null(texts, "").cast(pa.large_string())
+        odd = pc.match_substring_regex(texts, NOT_PLAIN)
+        others = texts.filter(odd).to_pylist()
+        mark = next(m for m in map(chr, range(0xE000, 0xF900)) if not any(m in t for t in others))
+        marked = pc.replace_substring_regex(texts, UNITS, "\\0" + mark)
+        if others:
+            split = pa.array([mark.join(self.split.findall(t)) for t in others], pa.large_string())
+            marked = pc.replace_with_mask(marked, odd, split)
+        return pc.split_pattern(marked, mark)
+
+    def encode(self, texts) -> tuple[np.ndarray, np.ndarray]:
+        """Flat ids and their number per text, of an Arrow array of texts."""
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        if self.young.full():
+            self.young, self.old = _Pieces(), self.young
+        cut = self.cut(texts)
+        pieces = pc.list_flatten(cut).dictionary_encode()
+        at = self.young.find(pieces.dictionary).copy()
+        missing = np.flatnonzero(at < 0)
+        if len(missing):
+            lost = pieces.dictionary.take(pa.array(missing))
+            back = self.old.find(lost)
+            there = back >= 0
+            new = lost.filter(pa.array(~there))
+            order, flat, lengths = self.learn(new)
+            base = len(self.young.pieces)
+            at[missing[there]] = base + np.arange(there.sum())
+            at[missing[~there][order]] = base + there.sum() + np.arange(len(order))
+            self.young.add(lost.filter(pa.array(there)), *self.old.take(back[there]))
+            self.young.add(new.take(pa.array(order)), flat, lengths)
+        index = at[pieces.indices.to_numpy()]
+        ids, per_piece = self.young.take(index)
+        total = np.concatenate([[0], np.cumsum(per_piece, dtype=np.int64)])
+        ends = np.concatenate([[0], np.cumsum(pc.list_value_length(cut).to_numpy())])
+        return ids, np.diff(total[ends])
+
+    def decode(self, flat: np.ndarray, n: np.ndarray) -> list[bytes]:
+        """The bytes of each list of ids; an id outside the vocabulary is an error."""
         import pyarrow as pa
 
-        numbers = [i for i, ids in enumerate(lists) if ids]
-        out: list = [None if ids is None else b"" for ids in lists]
-        if numbers:
-            lengths = np.array([len(lists[i]) for i in numbers])
-            flat = np.concatenate([np.asarray(lists[i], np.int64) for i in numbers])
-            if flat.min() < 0 or not np.isin(flat, np.fromiter(self.ranks.values(), np.int64)).all():
-                raise ValueError("an id is not in the vocabulary")
-            self.load("token_rows", pa.table({
-                "d": np.repeat(np.array(numbers), lengths), "p": np.arange(len(flat)), "t": flat,
-            }))
-            for d, data in self.con.execute(_DECODE).fetchall():
-                out[d] = data
+        if not self.decodes:
+            hexes = [self.bytes_of[i].hex() for i in self.token_ids.tolist()]
+            self.load("vocabulary", pa.table({"t": self.token_ids, "hex": hexes}))
+            self.decodes = True
+        if not np.isin(flat, self.token_ids).all():
+            raise ValueError("an id is not in the vocabulary")
+        out = [b""] * len(n)
+        self.load("token_rows", pa.table({
+            "d": np.repeat(np.arange(len(n)), n), "p": np.arange(len(flat)), "t": flat,
+        }))
+        found = self.con.sql(_DECODE).to_arrow_table()
+        for d, data in zip(found["d"].to_pylist(), found["bytes"].to_pylist()):
+            out[d] = data
         return out
 
 
+def parts(batch, column: str, most: int = 0) -> Iterator:
+    """A record batch in slices of about ``most`` bytes of a column; a longer value stands alone."""
+    import pyarrow.compute as pc
+
+    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+    number = np.cumsum(sizes.astype(np.int64) + 1) // (most or BYTES)
+    starts = [0, *(np.flatnonzero(np.diff(number)) + 1).tolist(), batch.num_rows]
+    for first, end in zip(starts, starts[1:]):
+        if end > first:
+            yield batch.slice(first, end - first)
+
+
 _TOKENIZERS: dict[tuple[str, str], Tokenizer] = {}
 
 
-def _tokenizer(path: str, pattern: str) -> Tokenizer:
-    """One per worker process, kept from task to task."""
+@contextmanager
+def tokenizer(path: str, pattern: str) -> Iterator[Tokenizer]:
+    """The state of one task. A worker keeps the arrays of pieces for its next task, some 40
+    MB at most, but no DuckDB."""
+    import pyarrow as pa
+
     if (path, pattern) not in _TOKENIZERS:
+        _TOKENIZERS.clear()
         _TOKENIZERS[path, pattern] = Tokenizer(path, pattern)
-    return _TOKENIZERS[path, pattern]
+    state = _TOKENIZERS[path, pattern]
+    state.open()
+    try:
+        yield state
+    finally:
+        state.close()
+        pa.default_memory_pool().release_unused()
 
 
 def encode(
@@ -290,7 +382,7 @@ def encode(
     decoded: str | None = None,
 ) -> DataFrame:
     """Adds the token ids of a text, array<int>; with ``decoded``, also the bytes decoded
-    from these ids, by the ordered aggregation of each distinct word.
+    from these ids.
 
     Null and empty texts give an empty array. Strings of special tokens are ordinary text.
     ``path`` is a rank file that every executor can open. Rows keep their columns; a column
@@ -305,20 +397,15 @@ def encode(
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        state = _tokenizer(path, pattern)
-        for batch in batches:
-            for first in range(0, batch.num_rows, ROWS):
-                part = batch.slice(first, ROWS)
-                flat, n, data, size = state.encode(part.column(text).to_pylist(), bool(decoded))
-                offsets = lambda x: pa.array(np.concatenate([[0], np.cumsum(x)]), pa.int32())
-                columns = [part.column(c) for c in kept]
-                columns.append(pa.ListArray.from_arrays(offsets(n), pa.array(flat, pa.int32())))
-                if decoded:
-                    ends = offsets(size)
-                    columns.append(pa.BinaryArray.from_buffers(
-                        pa.binary(), part.num_rows, [None, ends.buffers()[1], pa.py_buffer(data.tobytes())]
-                    ))
-                yield pa.RecordBatch.from_arrays(columns, [*kept, ids, *([decoded] if decoded else [])])
+        with tokenizer(path, pattern) as state:
+            for batch in batches:
+                for part in parts(batch, text):
+                    flat, n = state.encode(part.column(text))
+                    ends = pa.array(np.concatenate([[0], np.cumsum(n)]), pa.int32())
+                    columns = [*(part.column(c) for c in kept), pa.ListArray.from_arrays(ends, pa.array(flat))]
+                    if decoded:
+                        columns.append(pa.array(state.decode(flat, n), pa.binary()))
+                    yield pa.RecordBatch.from_arrays(columns, [*kept, ids, *([decoded] if decoded else [])])
 
     return docs.select(*kept, *([] if text in kept else [text])).mapInArrow(run, schema)
 
@@ -334,12 +421,16 @@ def decode(
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        state = _tokenizer(path, pattern)
-        for batch in batches:
-            for first in range(0, batch.num_rows, ROWS):
-                part = batch.slice(first, ROWS)
-                data = pa.array(state.decode(part.column(ids).to_pylist()), pa.binary())
-                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in kept), data], [*kept, decoded])
+        with tokenizer(path, pattern) as state:
+            for batch in batches:
+                for first in range(0, batch.num_rows, ROWS):
+                    part = batch.slice(first, ROWS)
+                    lists = part.column(ids)
+                    n = np.array([len(x or ()) for x in lists.to_pylist()], np.int64)
+                    data = state.decode(lists.drop_null().flatten().to_numpy(zero_copy_only=False), n)
+                    data = [None if null else d for null, d in zip(lists.is_null().to_pylist(), data)]
+                    columns = [*(part.column(c) for c in kept), pa.array(data, pa.binary())]
+                    yield pa.RecordBatch.from_arrays(columns, [*kept, decoded])
 
     return df.select(*kept).mapInArrow(run, schema)
 

@@ -110,17 +110,16 @@ def token_ids(
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        state = bpe._tokenizer(path, pattern)
-        for batch in batches:
-            for first in range(0, batch.num_rows, bpe.ROWS):
-                part = batch.slice(first, bpe.ROWS)
-                flat, n, _, _ = state.encode(part.column("text").to_pylist(), decoded=False)
-                closed = np.insert(flat, np.cumsum(n), end).astype("<u2")
-                ends = pa.array(np.concatenate([[0], np.cumsum(2 * (n + 1))]), pa.int32())
-                ids = pa.BinaryArray.from_buffers(
-                    pa.binary(), part.num_rows, [None, ends.buffers()[1], pa.py_buffer(closed.tobytes())]
-                )
-                yield pa.RecordBatch.from_arrays([part.column("id"), ids], ["id", "ids"])
+        with bpe.tokenizer(path, pattern) as state:
+            for batch in batches:
+                for part in bpe.parts(batch, "text"):
+                    flat, n = state.encode(part.column("text"))
+                    closed = np.insert(flat, np.cumsum(n), end).astype("<u2")
+                    ends = pa.array(np.concatenate([[0], np.cumsum(2 * (n + 1))]), pa.int32())
+                    ids = pa.BinaryArray.from_buffers(
+                        pa.binary(), part.num_rows, [None, ends.buffers()[1], pa.py_buffer(closed.tobytes())]
+                    )
+                    yield pa.RecordBatch.from_arrays([part.column("id"), ids], ["id", "ids"])
 
     rows = docs.select(F.col(id).cast("bigint").alias("id"), F.col(text).alias("text"))
     return rows.mapInArrow(run, "id bigint, ids binary")
