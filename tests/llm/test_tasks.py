@@ -3,6 +3,7 @@
 import math
 import random
 import re
+import zlib
 
 import numpy as np
 import public_tokenizers
@@ -363,3 +364,55 @@ def test_quality(spark, odd):
     assert quality.score_documents(odd.limit(0), labels).count() == 0
     values = quality.isotonic(np.array([1.0, 0.0, 2.0, 1.5]), np.ones(4))
     assert values.tolist() == [0.5, 0.5, 1.75, 1.75]
+
+
+def test_quality_equals_plain_numpy(spark):
+    """Features, normal equations, calibration and scores, worked out again in one piece."""
+    docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    known = [(r.doc_id, float(r.quality)) for r in labels.collect() if zlib.crc32(str(r.doc_id).encode()) % 4 != 2]
+    known = [(i, y) for i, y in known if i in texts]
+    x, y = np.array([quality.statistics(texts[i]) for i, _ in known]), np.array([y for _, y in known])
+    fold = np.array([zlib.crc32(str(i).encode()) % 4 for i, _ in known])
+    rng = np.random.default_rng(quality.SEED)
+    projection = rng.normal(0, np.sqrt(2 * quality.GAMMA), (x.shape[1], quality.FEATURES))
+    phase = rng.uniform(0, 2 * np.pi, quality.FEATURES)
+    mean, scale = x.mean(0), np.maximum(x.std(0), 1e-6)
+
+    def features(x):
+        z = np.clip((x - mean) / scale, -8, 8)
+        return np.hstack([np.cos(z @ projection + phase) * np.sqrt(2 / quality.FEATURES), z, np.ones((len(z), 1))])
+
+    def ridge(z, y):
+        # The same least squares, with the penalty as further rows.
+        more = np.sqrt(quality.RIDGE) * np.eye(z.shape[1])
+        return np.linalg.lstsq(np.vstack([z, more]), np.concatenate([y, np.zeros(len(more))]), rcond=None)[0]
+
+    z = features(x)
+    raw = np.zeros(len(y))
+    for k in set(fold):
+        raw[fold == k] = z[fold == k] @ ridge(z[fold != k], y[fold != k])
+    step = np.floor(np.clip(raw, -0.5, 1.5) * (quality.STEPS // 2)).astype(int)
+    steps = np.unique(step)
+    level = np.array([y[step == s].mean() for s in steps])
+    weight = np.array([(step == s).sum() for s in steps])
+    # The nearest rising sequence as the largest of the smallest means over stretches.
+    stretch = lambda i, j: (level[i : j + 1] * weight[i : j + 1]).sum() / weight[i : j + 1].sum()
+    rising = [max(min(stretch(i, j) for j in range(k, len(level))) for i in range(k + 1)) for k in range(len(level))]
+    every = features(np.array([quality.statistics(t) for t in texts.values()])) @ ridge(z, y)
+    flat = np.interp(every, [raw[step == s].mean() for s in steps], rising)
+    want = dict(zip(texts, np.clip(0.999 * flat + 0.001 / (1 + np.exp(-every)), 0, 1)))
+    for r in quality.score_documents(docs, labels).collect():
+        assert abs(r.score - want[r.doc_id]) < 1e-5
+
+
+def test_quality_of_odd_labels(spark):
+    """Repeated label rows, one fold, null labels and ids."""
+    docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
+    some = labels.where("doc_id % 50 <> 3").first().doc_id
+    for rows in ([(0, 1)] * 250, [(0, 1)] * 250 + [(0, 0)] * 250, [(None, 1), (1, None), (some, 1)], [(10**9, 1)]):
+        own = spark.createDataFrame([(i, q, 0) for i, q in rows], "doc_id long, quality int, toxic int")
+        scores = quality.score_documents(docs, own).collect()
+        assert len(scores) == docs.count() and all(0 <= r.score <= 1 for r in scores)
+        kept = quality.keep_good(docs, own)
+        assert kept.count() == sum(r.predicted for r in scores)

@@ -4,7 +4,7 @@ partition-summed normal equations, isotonic calibration.
 The statistics of a text are numbers about its bytes, words and lines. Cosines of random
 projections of them stand for a Gaussian kernel. Each task sums its part of the normal
 equations; the sums have a fixed size. The fitted score becomes a probability by isotonic
-regression on labelled rows that took no part in the fit.
+regression on scores of labelled rows by weights that were fitted without their fold.
 """
 
 from __future__ import annotations
@@ -27,7 +27,9 @@ THRESHOLD = 0.7
 # Bound of the labelled rows that are used to fit; a hash of the id chooses among more.
 MOST_LABELLED = 200_000
 # The fit runs in so many tasks, so the summed equations are a fixed number of small tables.
-FIT_TASKS = 16
+FIT_TASKS = 8
+# The folds of crc32 modulo 4 whose labels may be seen; the other one is held out.
+FOLDS = (0, 1, 3)
 # Scores are counted in so many steps for the calibration.
 STEPS = 2_000
 STATISTICS = (
@@ -178,21 +180,26 @@ def held_out(id: str = "doc_id") -> Column:
     return F.coalesce(_fold(id) == 2, F.lit(False))
 
 
+def _known(labels: DataFrame, id: str, label: str) -> DataFrame:
+    """(id, y) of the rows to learn from: labelled ones outside the held-out fold, beyond
+    MOST_LABELLED a sample by hash of about that many."""
+    known = labels.where(F.col(label).isNotNull() & F.col(id).isNotNull() & ~held_out(id)).select(
+        id, F.col(label).cast("double").alias("y")
+    )
+    n = known.count()
+    return known if n <= MOST_LABELLED else known.where(F.pmod(F.xxhash64(id, F.lit(SEED)), F.lit(n)) < MOST_LABELLED)
+
+
 def fit(stats: DataFrame, labels: DataFrame, id: str = "doc_id", label: str = "quality") -> Model | None:
-    """Learns from at most about MOST_LABELLED labelled rows outside the held-out fold; two
-    folds fit the weights and one the calibration. None without any such row.
+    """Learns from at most about MOST_LABELLED labelled rows outside the held-out fold. None
+    without any such row.
 
     ``stats`` has id and x. Rows of an id with several labels count with each of them; a null
-    label is no label.
+    label is no label. The weights come from all these rows. The calibration sees each row by
+    weights that were fitted without its fold, at every size; where the other folds are empty
+    these are zero, and the calibration is the mean label.
     """
-    known = labels.where(F.col(label).isNotNull() & ~held_out(id)).select(
-        id, F.col(label).cast("double").alias("y")
-    )
-    n = known.count()
-    if n == 0:
-        return None
-    if n > MOST_LABELLED:
-        known = known.where(F.pmod(F.xxhash64(id, F.lit(SEED)), F.lit(n)) < MOST_LABELLED)
+    known = _known(labels, id, label)
     rows = store(
         known.join(stats, id).select(_fold(id).cast("int").alias("fold"), "y", "x").repartition(FIT_TASKS),
         "labelled",
@@ -217,25 +224,38 @@ def fit(stats: DataFrame, labels: DataFrame, id: str = "doc_id", label: str = "q
     def equations(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        a, b = np.zeros((size, size)), np.zeros(size)
+        a, b = np.zeros((len(FOLDS), size, size)), np.zeros((len(FOLDS), size))
         for batch in batches:
             x = np.array(batch.column("x").to_pylist()).reshape(-1, d)
             z, y = model.features(x), batch.column("y").to_numpy(zero_copy_only=False)
-            a += z.T @ z
-            b += z.T @ y
+            folds = batch.column("fold").to_numpy()
+            for k, fold in enumerate(FOLDS):
+                own = folds == fold
+                a[k] += z[own].T @ z[own]
+                b[k] += z[own].T @ y[own]
         yield pa.RecordBatch.from_arrays([pa.array([a.tobytes()]), pa.array([b.tobytes()])], ["a", "b"])
 
-    # With few labels all of them fit both; the folds only matter when there are enough.
-    part = rows.where("fold <> 3") if sums["n"] >= 200 else rows
-    partial = part.coalesce(FIT_TASKS).mapInArrow(equations, "a binary, b binary").collect()
-    a = sum(np.frombuffer(r["a"]).reshape(size, size) for r in partial)
-    b = sum(np.frombuffer(r["b"]) for r in partial)
-    weights = np.linalg.solve(a + RIDGE * np.eye(size), b)
-    model = Model(model.mean, model.scale, model.projection, model.phase, weights, model.steps, model.levels)
-    rest = rows.where("fold = 3") if sums["n"] >= 200 else rows
+    partial = rows.coalesce(FIT_TASKS).mapInArrow(equations, "a binary, b binary").collect()
+    a = sum(np.frombuffer(r["a"]).reshape(-1, size, size) for r in partial)
+    b = sum(np.frombuffer(r["b"]).reshape(-1, size) for r in partial)
+    solve = lambda a, b: np.linalg.solve(a + RIDGE * np.eye(size), b)
+    weights = solve(a.sum(0), b.sum(0))
+    without = [solve(a.sum(0) - a[k], b.sum(0) - b[k]) for k in range(len(FOLDS))]
+
+    def unseen(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        for batch in batches:
+            z = model.features(np.array(batch.column("x").to_pylist(), float).reshape(-1, d))
+            folds = batch.column("fold").to_numpy()
+            raw = np.zeros(len(folds))
+            for k, fold in enumerate(FOLDS):
+                raw[folds == fold] = z[folds == fold] @ without[k]
+            yield pa.RecordBatch.from_arrays([batch.column("y"), pa.array(raw)], ["y", "raw"])
+
     step = F.floor(F.least(F.greatest(F.col("raw"), F.lit(-0.5)), F.lit(1.5)) * (STEPS // 2)).cast("int")
     counted = (
-        _apply(rest, model, ["y"], "raw").groupBy(step.alias("step"))
+        rows.mapInArrow(unseen, "y double, raw double").groupBy(step.alias("step"))
         .agg(F.avg("y").alias("y"), F.count("*").alias("n"), F.avg("raw").alias("raw"))
         .orderBy("step").collect()
     )
@@ -248,7 +268,7 @@ def fit(stats: DataFrame, labels: DataFrame, id: str = "doc_id", label: str = "q
 
 
 def _apply(rows: DataFrame, model: Model, keep: list[str], name: str) -> DataFrame:
-    """Adds the raw or calibrated score of ``x``."""
+    """Adds the calibrated score of ``x``."""
     schema = rows.select(*keep).schema.add(name, "double")
     d = len(STATISTICS)
 
@@ -257,8 +277,7 @@ def _apply(rows: DataFrame, model: Model, keep: list[str], name: str) -> DataFra
 
         for batch in batches:
             x = np.array(batch.column("x").to_pylist(), float).reshape(-1, d)
-            y = model.raw(x) if name == "raw" else model.score(x)
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), pa.array(y)], [*keep, name])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), pa.array(model.score(x))], [*keep, name])
 
     return rows.select(*keep, "x").mapInArrow(run, schema)
 
@@ -282,8 +301,12 @@ def score_documents(
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, id: str = "doc_id") -> DataFrame:
-    """The documents that the classifier does not reject, with their own columns."""
-    stats = store(with_statistics(docs.withColumn("_row", F.xxhash64("text")), [id, "_row"]), "statistics")
+    """The documents that the classifier does not reject, with their own columns. The first
+    pass over the texts takes the statistics of the labelled ones alone."""
+    # MOST_LABELLED bounds what is sent to all tasks.
+    some = F.broadcast(store(_known(labels, id, "quality").select(F.col(id).alias("_id")).distinct(), "known"))
+    chosen = docs.select(F.col(id).alias("_id"), F.col("text")).join(some, "_id", "left_semi")
+    stats = with_statistics(chosen.withColumnRenamed("_id", id), [id])
     model = fit(stats, labels, id)
     if model is None:
         return docs
