@@ -37,12 +37,11 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Adds the token ids and their number; the text is what the ids decode to."""
     coded = bpe.encode(
-        docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN,
-        decoded="decoded",
-    )
-    return coded.withColumn("text", F.col("decoded").cast("string")).drop("decoded").withColumn(
-        "n_tokens", F.size("token_ids").cast("bigint")
+        docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, decoded="text"
     )
+    decoded = {"text": F.col("text").cast("string"), "n_tokens": F.size("token_ids").cast("bigint")}
+    kept = [c for c in docs.columns if c not in ("token_ids", "n_tokens")]
+    return coded.withColumns(decoded).select(*kept, "token_ids", "n_tokens")
 
 
 STAGES = [

@@ -14,6 +14,7 @@ from __future__ import annotations
 import base64
 from collections.abc import Iterator
 from contextlib import contextmanager
+from itertools import chain
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -22,11 +23,11 @@ from pyspark.sql.types import ArrayType, BinaryType, IntegerType, StructType
 
 # Bounds of memory, not of results: bytes of text at a time, words in one query, and pieces
 # and their bytes in each of the two generations that are kept.
-BYTES = 3_000_000
+BYTES = 1_500_000
 # Lists of ids that are decoded at a time.
 ROWS = 500
-WORDS_PER_QUERY = 25_000
-PIECES_KEPT, BYTES_KEPT = 300_000, 12_000_000
+WORDS_PER_QUERY = 12_000
+PIECES_KEPT, BYTES_KEPT = 150_000, 6_000_000
 # Words of more bytes are put together from blocks of this size.
 BLOCK = 48
 # What stays whole when a text is cut: letters, other marks, or marks up to an apostrophe and
@@ -75,15 +76,13 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(t): int(r) for t, r in map(bytes.split, lines)}
 
 
-def merge_table(ranks: dict[bytes, int]) -> list[tuple[int, int, int]]:
+def merge_table(ranks: dict[bytes, int]) -> Iterator[tuple[int, int, int]]:
     """(left, right, merged) ids of every way to put a token together from two."""
-    return [
-        (left, right, merged)
-        for token, merged in ranks.items()
-        for cut in range(1, len(token))
-        if (left := ranks.get(token[:cut])) is not None
-        and (right := ranks.get(token[cut:])) is not None
-    ]
+    for token, merged in ranks.items():
+        for cut in range(1, len(token)):
+            left, right = ranks.get(token[:cut]), ranks.get(token[cut:])
+            if left is not None and right is not None:
+                yield left, right, merged
 
 
 def _gather(flat: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -144,7 +143,7 @@ class Tokenizer:
         ranks = read_ranks(path)
         self.bytes_of = {i: t for t, i in ranks.items()}
         self.byte_ids = np.array([ranks[bytes([b])] for b in range(256)], np.int32)
-        left, right, merged = (np.array(c, np.int64) for c in zip(*merge_table(ranks)))
+        left, right, merged = np.fromiter(chain.from_iterable(merge_table(ranks)), np.int64).reshape(-1, 3).T
         self.merges = pa.table({"pair": (left << 32) | right, "merged": merged})
         self.tokens = pa.array(list(ranks), pa.large_binary())
         self.token_ids = np.fromiter(ranks.values(), np.int32, len(ranks))
@@ -346,6 +345,7 @@ class Tokenizer:
 
 def parts(batch, column: str, most: int = 0) -> Iterator:
     """A record batch in slices of about ``most`` bytes of a column; a longer value stands alone."""
+    import pyarrow as pa
     import pyarrow.compute as pc
 
     sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
@@ -354,6 +354,8 @@ def parts(batch, column: str, most: int = 0) -> Iterator:
     for first, end in zip(starts, starts[1:]):
         if end > first:
             yield batch.slice(first, end - first)
+            # What the last part took is free now.
+            pa.default_memory_pool().release_unused()
 
 
 _TOKENIZERS: dict[tuple[str, str], Tokenizer] = {}
@@ -361,7 +363,7 @@ _TOKENIZERS: dict[tuple[str, str], Tokenizer] = {}
 
 @contextmanager
 def tokenizer(path: str, pattern: str) -> Iterator[Tokenizer]:
-    """The state of one task. A worker keeps the arrays of pieces for its next task, some 40
+    """The state of one task. A worker keeps the arrays of pieces for its next task, some 25
     MB at most, but no DuckDB."""
     import pyarrow as pa
 
