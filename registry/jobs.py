@@ -12,7 +12,7 @@ from registry.datasets import split_sql
 from registry.dimensions import KNOWN
 from registry.evaluation import HEARD, DISTANCE_SQL, heard, report_sql, rounded
 from registry.inference import (
-    INTENT_ANSWER, PROMPTS, TEMPLATE, TRUTH, entity_service, intent_service, tagged_rows,
+    DATED, INTENT_ANSWER, PROMPTS, TEMPLATE, TRUTH, entity_service, intent_service, tagged_rows,
 )
 from registry.joins import RESULTS
 from registry.jsons import ANNOTATIONS, CONTEXT, FIRST_TAG, UNPACKED_ANNOTATION, UNPACKED_PREDICTION
@@ -68,6 +68,18 @@ def _(spark, sf):
     )
 
 
+@query("tag_turns_job_failed", f"""
+SELECT DISTINCT prompt, 'no answer for ' || CAST(length(prompt) AS VARCHAR) || ' characters' AS error
+FROM ({PROMPTS}) WHERE length(prompt) % 10 = 0
+""")
+def _(spark, sf):
+    out = jobs.tag_turns_and_calls_job(
+        derive(spark, sf, TURNS), ["21"], ["31"], "https://s.example.com", "en",
+        template=TEMPLATE, infer_fn=intent_service(),
+    )
+    return out["failed"]
+
+
 @query("tag_calls_job", f"""
 SELECT call_uuid, 'en' AS language, substr(min(reftime), 1, 10) AS date, '31' AS project_id, 'UAT' AS data_label
 FROM ({TURNS}) GROUP BY call_uuid
@@ -131,7 +143,7 @@ SELECT id, truth_entities_with_duckling, CASE WHEN id % 6 <> 3 THEN (SELECT coun
 FROM ({TRUTH})
 """)
 def _(spark, sf):
-    out = jobs.entity_dataset_job(
+    out, _ = jobs.entity_dataset_job(
         tagged_rows(spark, sf).withColumnRenamed("event_id", "id"), "id", "labelled",
         entity_service(), ZONE,
     )
@@ -142,6 +154,23 @@ def _(spark, sf):
     )
 
 
+@query("entity_dataset_job_failed", f"""
+SELECT DISTINCT text, dim, ref_ms, locale, 'no answer' AS error FROM ({DATED}) WHERE n % 5 = 3
+""")
+def _(spark, sf):
+    service = entity_service()
+
+    def answer(row):
+        if int(row["text"].split(" ")[1]) % 5 == 3:
+            raise RuntimeError("no answer")
+        return service(row)
+
+    _, failed = jobs.entity_dataset_job(
+        tagged_rows(spark, sf).withColumnRenamed("event_id", "id"), "id", "labelled", answer, ZONE,
+    )
+    return failed
+
+
 @query("overlay_transcripts_job", f"""
 SELECT page_id, audio_url, alternatives FROM (SELECT page_id, audio_url, regexp_replace(split_part(split_part(audio_url, '?', 1), '/', -1),
   '\\.(flac|mp3)$', '.wav') AS f FROM ({RECORDINGS})) JOIN (SELECT regexp_replace(split_part(split_part(filename, '?', 1), '/', -1),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import date, datetime
+from urllib.parse import urlparse
 
 from pyspark.sql import functions as F
 
@@ -37,6 +38,17 @@ def _(spark, sf):
     return readers.read_csv_union(spark, path)
 
 
+@query("read_csv_union_headers", "SELECT CAST(doc_id AS VARCHAR) AS doc_id, text FROM {documents}")
+def _(spark, sf):
+    # One folder with two orders of columns, and cells with line breaks.
+    root = scratch_path(spark, "csv")
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    whole = dict(header=True, quoteAll=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+    docs.where("doc_id % 2 = 0").write.csv(root, **whole)
+    docs.where("doc_id % 2 = 1").select("text", "doc_id").write.mode("append").csv(root, **whole)
+    return readers.read_csv_union(spark, root).select("doc_id", "text")
+
+
 @query("read_text_documents", """
 SELECT conv_id AS situation_id, string_agg(role || ': ' || text, chr(10) ORDER BY turn) AS content
 FROM {conversations} WHERE conv_id % 3 <> 2 GROUP BY conv_id
@@ -89,6 +101,49 @@ def _(spark, sf):
     )
 
 
+def write_shards(rows, root: str) -> None:
+    """The rows as SQLite files ``orders``, one per task, in a folder that all tasks can open;
+    a task that runs again replaces its file."""
+    if not root.startswith(("file:", "/")):
+        raise ValueError("SQLite files need a shared folder that is a path")
+    folder = urlparse(root).path
+
+    def save(batches):
+        import os
+        import sqlite3
+        import uuid
+
+        from pyspark import TaskContext
+
+        os.makedirs(folder, exist_ok=True)
+        made = f"{folder}/.{uuid.uuid4().hex}"
+        con = sqlite3.connect(made)
+        con.execute("CREATE TABLE orders (o_orderkey INTEGER PRIMARY KEY, o_orderstatus TEXT, o_totalprice REAL)")
+        for batch in batches:
+            con.executemany("INSERT INTO orders VALUES (?, ?, ?)", zip(*(c.to_pylist() for c in batch.columns)))
+            yield batch
+        con.commit()
+        con.close()
+        os.replace(made, f"{folder}/{TaskContext.get().partitionId()}.db")
+
+    rows.mapInArrow(save, rows.schema).write.format("noop").mode("overwrite").save()
+
+
+@query("read_table_sqlite", """
+SELECT o_orderkey, o_totalprice FROM {orders} WHERE o_orderkey >= 1000 AND o_orderkey < 9000 AND o_orderstatus <> 'F'
+""")
+def _(spark, sf):
+    root = scratch_path(spark, "shards")
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
+    write_shards(orders.repartition(4, "o_orderkey"), root)
+    key = F.col("o_orderkey")
+    return readers.read_table(
+        spark, "orders", ["o_orderkey", "o_totalprice"],
+        (key >= 1000) & (key < 9000) & (F.col("o_orderstatus") != "F"),
+        sqlite={"path": root, "key": "o_orderkey", "partitions": "4"},
+    )
+
+
 @query("read_annotation_jobs", """
 SELECT o_orderkey, o_orderpriority FROM {orders} WHERE o_orderpriority IN ('1-URGENT', '5-LOW')
   AND o_orderdate >= TIMESTAMP '1997-01-01 00:00:00' AND o_orderdate <= TIMESTAMP '1998-12-31 00:00:00'

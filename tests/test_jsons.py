@@ -1,7 +1,5 @@
 import json
 
-from hypothesis import HealthCheck, given, settings
-from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from turnwise.functions import jsons, times
@@ -64,38 +62,26 @@ def test_entities(column):
     assert [tuple(e) for e in got[0]] == [("a/b", "t"), ("", "u")]
 
 
-def normalized(cell):
-    """Plain restatement of the rules for predicted entities."""
-    try:
-        items = json.loads(cell)
-    except (TypeError, ValueError):
-        return None
-    out = []
-    for item in items:
-        if not item:
-            continue
-        value = item.get("value")
-        if isinstance(value, dict) and ("from" in value or "to" in value):
-            ends = {k: {"value": value[k]} for k in ("from", "to") if isinstance(value.get(k), str)}
-            kept = any(isinstance(value.get(k), dict) and value[k].get("value") for k in ("from", "to"))
-            value = ends or (value if kept else None)
-        out.append({"type": item.get("entity_type") or item.get("type"), "value": value, "text": item.get("body")})
-    return out or None
-
-
-end = st.one_of(st.none(), st.integers(-1, 1), st.sampled_from(["", "a", 'q"']), st.fixed_dictionaries({"value": st.sampled_from([0, 1, "", "x"])}))
-value = st.one_of(end, st.dictionaries(st.sampled_from(["from", "to", "k"]), end, max_size=3))
-entity = st.dictionaries(st.sampled_from(["value"]), value).flatmap(
-    lambda d: st.dictionaries(st.sampled_from(["entity_type", "type", "body"]), st.sampled_from(["", "a", "b\n"])).map(lambda e: {**d, **e})
-)
-
-
-@settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
-@given(st.lists(st.lists(entity, max_size=3), min_size=80, max_size=80))
-def test_predicted_entities_against_python(column, rows):
-    cells = [json.dumps(r) for r in rows] + ["bad", None]
-    got = column(cells, jsons.normalize_predicted_entities)
-    assert [json.loads(g) if g else None for g in got] == [normalized(c) for c in cells]
+PREDICTED = [
+    (None, None), ("bad", None), ("[]", None), ("[{}]", None),
+    ('[{"type":"date","value":"soon","body":"b"}]', [("date", "soon", "b")]),
+    ('[{"entity_type":"time","type":"date","value":5,"body":"b\\n"}]', [("time", 5, "b\n")]),
+    ('[{"entity_type":"","type":"date","value":""},{},{"body":"c"}]', [("date", "", None), (None, None, "c")]),
+    ('[{"type":"t","value":{"from":"a"}}]', [("t", {"from": {"value": "a"}}, None)]),
+    ('[{"type":"t","value":{"from":"a","to":"b","k":1}}]', [("t", {"from": {"value": "a"}, "to": {"value": "b"}}, None)]),
+    ('[{"type":"t","value":{"from":"a","to":{"value":"x"}}}]', [("t", {"from": {"value": "a"}}, None)]),
+    ('[{"type":"t","value":{"from":{"value":"x"},"k":1}}]', [("t", {"from": {"value": "x"}, "k": 1}, None)]),
+    ('[{"type":"t","value":{"from":{"value":0},"to":{"value":""}}}]', [("t", None, None)]),
+    ('[{"type":"t","value":{"from":null,"to":{"value":1}}}]', [("t", {"from": None, "to": {"value": 1}}, None)]),
+    ('[{"type":"t","value":{"to":7}}]', [("t", None, None)]),
+    ('[{"type":"t","value":{"k":"a"}}]', [("t", {"k": "a"}, None)]),
+]
+
+
+def test_predicted_entities(column):
+    got = column([cell for cell, _ in PREDICTED], jsons.normalize_predicted_entities)
+    listed = [json.loads(g) if g else None for g in got]
+    assert [e and [(x["type"], x["value"], x["text"]) for x in e] for e in listed] == [want for _, want in PREDICTED]
 
 
 def test_json_key(column):

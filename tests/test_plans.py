@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from registry.base import TURNS, derive
 from registry.jobs import audit_service
 from turnwise.functions import text
-from turnwise.operators import calls, datasets, evaluation, filters, skew
+from turnwise.operators import calls, datasets, evaluation, filters
 from turnwise.plans import jobs
 
 SF = "/root/testdata/sf0.001"
@@ -28,17 +28,20 @@ def test_first_row_is_limited_before_the_shuffle(spark):
     assert "WindowGroupLimit" in text and text.count("Exchange hashpartitioning") == 1
 
 
-def test_samples_of_calls_are_a_filter_and_of_rows_a_top_k(spark):
+def test_samples_are_a_filter(spark):
     turns = spark.read.parquet(f"{SF}/conversations.parquet")
-    assert "TakeOrderedAndProject" not in plan(calls.sample_calls(turns, 5, call="conv_id"))
-    assert "TakeOrderedAndProject" in plan(calls.limit_seeded(turns, "conv_id", 5))
+    for sample in (calls.sample_calls(turns, 5, call="conv_id"), calls.limit_seeded(turns.dropDuplicates(["conv_id"]), "conv_id", 5)):
+        text = plan(sample)
+        assert "TakeOrderedAndProject" not in text and "Subquery" not in text and "Join" not in text
+    assert "Exchange" not in plan(calls.sample_calls(turns, 5, call="conv_id"))
 
 
 def test_split_does_not_shuffle_the_rows(spark):
     events = spark.read.parquet(f"{SF}/events.parquet")
-    text = plan(datasets.split_train_test(events, "event_id", 85))
-    main = text[: text.index("Subquery")] if "Subquery" in text else text
-    assert "Exchange" not in main.split("scalar-subquery")[0]
+    whole = plan(datasets.split_train_test(events, "event_id", 85))
+    assert "Exchange" not in whole and "Subquery" not in whole
+    strata = plan(datasets.split_train_test(events, "event_id", 85, "event_type"))
+    assert "SortMergeJoin" not in strata and "Exchange hashpartitioning" not in strata and strata.count("Scan parquet") == 2
 
 
 def test_counts_are_combined_before_the_shuffle(spark):

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField
 
 from turnwise.functions import text
-from turnwise.operators.skew import cut_points, hash_key
+from turnwise.operators.skew import cut_point, place_of
+from turnwise.session import store
 
 # Call metadata taken from the first turn.
 CALL_META = ("call_uuid", "audio_url", "call_url", "flow_uuid", "client_uuid", "reftime")
@@ -16,6 +18,12 @@ CALL_META = ("call_uuid", "audio_url", "call_url", "flow_uuid", "client_uuid", "
 PARTS = 32
 
 
+def _comparable(f: StructField) -> Column:
+    """A column to order by. Maps and variants have no order, their JSON text has."""
+    unordered = any(kind in f.dataType.simpleString() for kind in ("map<", "variant"))
+    return F.to_json(F.struct(F.col(f"`{f.name}`"))) if unordered else F.col(f"`{f.name}`")
+
+
 def first_per_key(df: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
     """WIN-1: the first row per key by ``order``, ties broken by all columns.
 
@@ -23,10 +31,7 @@ def first_per_key(df: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
     row per task.
     """
     ties = [f for f in df.schema if f.name not in order and f.name != key]
-    # Maps and variants have no order, their JSON text has.
-    unordered = lambda f: any(kind in f.dataType.simpleString() for kind in ("map<", "variant"))
-    placed = lambda f: F.to_json(F.struct(F.col(f"`{f.name}`"))) if unordered(f) else F.col(f"`{f.name}`")
-    ranked = Window.partitionBy(key).orderBy(*order, *[placed(f) for f in ties])
+    ranked = Window.partitionBy(key).orderBy(*order, *[_comparable(f) for f in ties])
     return df.withColumn("_r", F.row_number().over(ranked)).where("_r = 1").drop("_r")
 
 
@@ -35,19 +40,34 @@ def sample_calls(
 ) -> DataFrame:
     """SRT-1: all turns of ``n + buffer`` randomly chosen calls; the same ones for a seed.
 
-    The calls are the first in hash order. Where that order is cut comes from counts per
-    hash prefix, so a sample of any size is one filter: nothing gathers it and the turns
-    are not shuffled. Turns without a call id are in no sample.
+    The calls are the first in hash order. Their ids are written once, and counts per hash
+    prefix tell where that order is cut, so a sample of any size is one filter: nothing
+    gathers it and the turns are not shuffled. Turns without a call id are in no sample.
     """
-    ids = turns.select(call).where(F.col(call).isNotNull()).distinct()
-    cut = cut_points(ids, call, None, lambda calls: F.least(calls, F.lit(n + buffer)), seed)
-    place = F.struct(hash_key(call, seed).alias("h"), F.col(call).alias("k"))
-    return turns.where(F.col(call).isNotNull() & (place <= cut.select("cut").scalar()))
+    ids = store(turns.select(call).where(F.col(call).isNotNull()).distinct(), "ids")
+    cut = cut_point(ids, call, lambda calls: min(calls, n + buffer), seed)
+    if cut is None:
+        return turns.limit(0)
+    return turns.where(F.col(call).isNotNull() & (place_of(call, seed) <= cut.place(turns.schema[call].dataType)))
 
 
 def limit_seeded(df: DataFrame, key: str, limit: int, seed: object = 0.5) -> DataFrame:
-    """SRT-2: at most ``limit`` rows in a repeatable random order."""
-    return df.orderBy(hash_key(key, seed), key).limit(limit)
+    """SRT-2: at most ``limit`` rows in a repeatable random order: the first by the hash of
+    ``key``, as a filter at the place where that order is cut. Nothing gathers the sample.
+
+    Of rows that share the key of the cut, some are taken: by their other columns, and equal
+    rows in any order.
+    """
+    cut = cut_point(df, key, lambda rows: min(rows, limit), seed)
+    if cut is None:
+        return df.limit(0)
+    place, last = place_of(key, seed), cut.place(df.schema[key].dataType)
+    if cut.take == cut.equal:
+        return df.where(place <= last)
+    # A null key has a place too, its hash with null.
+    there = place.eqNullSafe(last)
+    ties = df.where(there).orderBy(*[_comparable(f) for f in df.schema]).limit(cut.take)
+    return df.where((place < last) & ~there).unionByName(ties)
 
 
 def assemble_calls(turns: DataFrame) -> DataFrame:

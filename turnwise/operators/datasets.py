@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from turnwise.functions import jsons
 from turnwise.operators.evaluation import words
-from turnwise.operators.skew import cut_points, hash_key, lookup_join
+from turnwise.operators.skew import cut_point, cut_points, hash_key, lookup_join, place_of
 
 
 def stack(*parts: DataFrame | None) -> DataFrame:
@@ -51,13 +51,12 @@ def split_train_test(
     """
     if not 0 <= train_percent <= 100:
         raise ValueError(f"train_percent is {train_percent}")
-    cuts = cut_points(
-        df, key, stratify, lambda n: F.call_function("div", n * train_percent, F.lit(100)), seed
-    )
-    place = F.struct(hash_key(key, seed).alias("h"), F.col(key).alias("k"))
+    place = place_of(key, seed)
     side = lambda cut: F.when(F.coalesce(place <= cut, F.lit(False)), "train").otherwise("test")
     if stratify is None:
-        return df.withColumn(name, side(cuts.select("cut").scalar()))
+        cut = cut_point(df, key, lambda n: n * train_percent // 100, seed)
+        return df.withColumn(name, side(cut.place(df.schema[key].dataType)) if cut else F.lit("test"))
+    cuts = cut_points(df, key, stratify, lambda n: F.call_function("div", n * train_percent, F.lit(100)), seed)
     # A null label joins too, under a marker that no label can be.
     marked = lambda c: F.struct(F.col(c).isNull().alias("n"), F.coalesce(
         F.col(c).cast("string"), F.lit("")).alias("v"))

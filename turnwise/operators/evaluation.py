@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from turnwise.functions import jsons, let, text
+from turnwise.operators.alignment import operations
 from turnwise.operators.filters import literal_table
 
 # Rows of a report that are no labels, in their order, and its columns.
@@ -203,45 +203,35 @@ def asr_pairs(
 def edit_operations(pairs: DataFrame) -> DataFrame:
     """AGG-6, operations: (id, insertions, deletions, substitutions, hits) per pair.
 
-    The alignment has the fewest errors and, among those, the most hits. Which words are
-    aligned needs a table per pair, so this part runs as a pandas function per batch.
+    The alignment has the fewest errors and, among those, the most hits. The number of errors
+    is worked out inside the JVM first and bounds the band in which whole batches of pairs are
+    aligned, so the work grows with length times errors.
     """
 
-    def align(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def align(batches: Iterator) -> Iterator:
         import numpy as np
-        import pandas as pd
-
-        def counts(ref: list[str], got: list[str]) -> tuple[int, int, int, int]:
-            # One number per cell: errors first, hits as tie-break.
-            weight = len(ref) + len(got) + 1
-            codes = {w: i for i, w in enumerate(set(ref) | set(got))}
-            wanted = np.array([codes[w] for w in ref], dtype=np.int64)
-            heard = np.array([codes[w] for w in got], dtype=np.int64)
-            steps = np.arange(len(got) + 1, dtype=np.int64) * weight
-            row = steps.copy()
-            for word in wanted:
-                best = row + weight
-                diagonal = row[:-1] + np.where(heard == word, -1, weight)
-                best[1:] = np.minimum(best[1:], diagonal)
-                # An insertion costs the same everywhere, so a running minimum does them all.
-                row = np.minimum.accumulate(best - steps) + steps
-            errors = -(-int(row[-1]) // weight)
-            hits = errors * weight - int(row[-1])
-            # len(ref) = hits + subs + dels, len(got) = hits + subs + ins
-            subs = len(ref) + len(got) - 2 * hits - errors
-            return len(got) - hits - subs, len(ref) - hits - subs, subs, hits
+        import pyarrow as pa
 
+        names = ["id", "insertions", "deletions", "substitutions", "hits"]
         for batch in batches:
-            rows = [counts(list(t), list(h)) for t, h in zip(batch["_t"], batch["_h"])]
-            names = ["insertions", "deletions", "substitutions", "hits"]
-            table = pd.DataFrame(rows, columns=names, index=batch.index)
-            yield pd.concat([batch[["id"]], table], axis=1)
+            sides = [batch.column("_t"), batch.column("_h")]
+            codes = pa.concat_arrays([side.flatten() for side in sides]).dictionary_encode().indices.to_numpy()
+            lists = []
+            for side in sides:
+                ends = np.cumsum(side.value_lengths().to_numpy())
+                lists.append(np.split(codes[: ends[-1]], ends[:-1]) if len(ends) else [])
+                codes = codes[ends[-1] :] if len(ends) else codes
+            table = operations(*lists, batch.column("_errors").to_pylist())
+            columns = [pa.array(table[:, k]) for k in range(4)]
+            yield pa.RecordBatch.from_arrays([batch.column("id"), *columns], names)
 
     kind = pairs.schema["id"].dataType.simpleString()
     listed = pairs.select(
         "id", words(F.col("truth")).alias("_t"), words(F.col("hypothesis")).alias("_h")
     )
-    return listed.mapInPandas(
+    usual = F.size("_t") + F.size("_h") <= MAX_SYMBOLS
+    distance = F.when(usual, word_distance(F.col("_t"), F.col("_h"))).cast("bigint")
+    return listed.withColumn("_errors", distance).mapInArrow(
         align,
         f"id {kind}, insertions bigint, deletions bigint, substitutions bigint, hits bigint",
     )

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from turnwise.functions import jsons, let, text, times
+from turnwise.operators.answers import BUCKETS, BucketLog, Pace, PerTask, ask_patiently
 from turnwise.operators.filters import require_present
 
 # Output columns of the breach audit, in their order.
@@ -36,44 +38,89 @@ def intent_requests(df: DataFrame, template: str, name: str = "prompt") -> DataF
 
 def run_inference(
     requests: DataFrame,
-    infer_fn: Callable[[dict], dict],
+    infer_fn: Callable[[dict], dict] | PerTask,
     schema: str | StructType,
     keep: Sequence[str],
     tasks: int | None = None,
+    log: str | None = None,
+    at_once: int = 1,
+    per_second: float | None = None,
+    retries: int = 0,
+    backoff: float = 0.5,
 ) -> DataFrame:
     """INF-2: calls ``infer_fn`` for every request row; adds its results and ``error``.
 
-    ``infer_fn`` takes a row as a dict and gives a dict with the fields of ``schema``. A
-    request that fails gets null results and its message; the batch goes on. ``tasks``
-    limits how many tasks call the service at once; without it there is one per core of the
-    cluster, a number that AQE does not merge. Ask each distinct request once and
-    join the answers back with ``attach_results``.
+    ``infer_fn`` takes a row as a dict and gives a dict with the fields of ``schema``; a
+    ``PerTask`` makes one client in each task. A request that fails gets null results and
+    its message; the batch goes on. ``tasks`` limits how many tasks call the service at
+    once; without it there is one per core of the cluster, a number that AQE does not merge.
+
+    Rows are dealt by the hash of the request, so a task that runs again has the same ones,
+    and equal requests are asked once. With ``log``, a folder that all tasks can open, every
+    answer is written there when it comes, and what stands there is not asked again, by
+    another run of the task or of the job; failed requests are. Answers must then be JSON.
+    ``at_once`` requests of a task run side by side, ``per_second`` is the rate of all tasks
+    together, and a failed request is tried ``retries`` times more, after growing pauses.
     """
     fields = requests.sparkSession.createDataFrame([], schema).schema
     names = fields.fieldNames()
     kept = list(keep)
+    asked = requests.columns
+    count = tasks or requests.sparkSession.sparkContext.defaultParallelism
 
     out = StructType([requests.schema[c] for c in kept] + list(fields.fields)).add("error", "string")
 
     def call(batches: Iterator) -> Iterator:
+        import numpy as np
         import pyarrow as pa
         from pyspark.sql.pandas.types import to_arrow_type
 
         kinds = [to_arrow_type(f.dataType) for f in out.fields[len(kept) :]]
-        for batch in batches:
-            answers = []
-            for row in batch.to_pylist():
-                try:
-                    answer = infer_fn(row)
-                    answers.append([answer.get(n) for n in names] + [None])
-                except Exception as problem:
-                    answers.append([None] * len(names) + [str(problem)])
-            columns = list(zip(*answers)) if answers else [()] * len(kinds)
-            # Kept columns pass as they came, whatever nulls they hold.
-            arrays = [batch.column(c) for c in kept] + [pa.array(c, k) for c, k in zip(columns, kinds)]
-            yield pa.RecordBatch.from_arrays(arrays, out.fieldNames())
-
-    spread = requests.repartition(tasks or requests.sparkSession.sparkContext.defaultParallelism)
+        ask = infer_fn.make() if isinstance(infer_fn, PerTask) else infer_fn
+        pace = Pace(per_second / count if per_second else None)
+        bucket, known, book = None, {}, None
+
+        def answer(key: str, row: dict) -> tuple[str, list]:
+            try:
+                found = ask_patiently(ask, row, pace, retries, backoff)
+                values = [found.get(n) for n in names]
+                if book:
+                    book.add(key, values)
+                return key, values + [None]
+            except Exception as problem:
+                return key, [None] * len(names) + [str(problem)]
+
+        with ThreadPoolExecutor(at_once) as threads:
+            for batch in batches:
+                numbers = batch.column("_bucket").to_numpy()
+                cuts = [0, *(np.flatnonzero(np.diff(numbers)) + 1).tolist(), batch.num_rows]
+                for first, end in zip(cuts, cuts[1:]):
+                    if end == first:
+                        continue
+                    if numbers[first] != bucket:
+                        bucket = numbers[first]
+                        if book:
+                            book.close()
+                        book = BucketLog(log, bucket) if log else None
+                        known = {k: v + [None] for k, v in book.read().items()} if book else {}
+                    part = batch.slice(first, end - first)
+                    keys = part.column("_request").to_pylist()
+                    open_ = dict(zip(keys[::-1], part.select(asked).to_pylist()[::-1]))
+                    open_ = {k: open_[k] for k in dict.fromkeys(keys) if k not in known}
+                    way = threads.map if at_once > 1 else map
+                    known.update(way(lambda item: answer(*item), open_.items()))
+                    columns = list(zip(*[known[k] for k in keys]))
+                    # Kept columns pass as they came, whatever nulls they hold.
+                    arrays = [part.column(c) for c in kept] + [pa.array(c, k) for c, k in zip(columns, kinds)]
+                    yield pa.RecordBatch.from_arrays(arrays, out.fieldNames())
+        if book:
+            book.close()
+
+    request = F.sha2(F.to_json(F.struct(*[F.col(f"`{c}`") for c in asked])), 256)
+    dealt = requests.withColumn("_request", request).withColumn(
+        "_bucket", F.pmod(F.xxhash64("_request"), F.lit(BUCKETS)).cast("int")
+    )
+    spread = dealt.repartition(count, "_bucket").sortWithinPartitions("_bucket", "_request")
     return spread.mapInArrow(call, out)
 
 

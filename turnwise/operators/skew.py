@@ -3,12 +3,22 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType
 
-# Hash prefixes: 16 ** 4 buckets, so the table of bucket counts has a fixed upper size per stratum.
-PREFIX_DIGITS = 4
+from turnwise.session import store
+
+# Digits of the hash that a histogram takes at a time: 16 ** 3 counts, per stratum.
+PREFIX_DIGITS = 3
+# A cut is looked for among so many places; prefixes with more are counted by further digits.
+MOST_PLACES = 4096
+# Strata whose edges, a hash prefix and a number each, are sent to all tasks.
+MOST_STRATA = 100_000
+# Serial numbers: 16 ** 4 prefixes, a table of fixed size.
+SERIAL_DIGITS = 4
 
 
 def hash_key(key: str | Sequence[str], seed: object) -> Column:
@@ -27,45 +37,98 @@ def lookup_join(df: DataFrame, small: DataFrame, key: str | Sequence[str]) -> Da
     return df.join(small, [key] if isinstance(key, str) else list(key), "left")
 
 
+@dataclass(frozen=True)
+class Cut:
+    """The last (hash, key) of the first rows in hash order, how many rows have exactly that
+    place, and how many of these belong to the first ones."""
+
+    h: str
+    k: object
+    equal: int
+    take: int
+
+    def place(self, kind: DataType) -> Column:
+        return F.struct(F.lit(self.h).alias("h"), F.lit(self.k).cast(kind).alias("k"))
+
+
+def place_of(key: str, seed: object) -> Column:
+    return F.struct(hash_key(key, seed).alias("h"), F.col(key).alias("k"))
+
+
+def cut_point(df: DataFrame, key: str, quota: Callable[[int], int], seed: object) -> Cut | None:
+    """The cut after the first ``quota(rows)`` rows in hash order; None if there is no such row.
+
+    A histogram of hash prefixes, summed inside the tasks, tells the prefix in which the cut
+    lies. The next digits of that prefix alone are counted in the same way until few places
+    are left. The driver sees at most 4,096 counts or places at a time, and no row moves.
+    """
+    rows = df.select(F.col(key).alias("k"), hash_key(key, seed).alias("h"))
+    prefix, wanted = "", None
+    while True:
+        within = rows.where(F.col("h").startswith(prefix)) if prefix else rows
+        digits = len(prefix) + PREFIX_DIGITS
+        counts = sorted(within.groupBy(F.substring("h", 1, digits).alias("p")).agg(F.count("*").alias("n")).collect())
+        if wanted is None:
+            wanted = quota(sum(n for _, n in counts))
+        if wanted <= 0 or not counts:
+            return None
+        for prefix, n in counts:
+            if wanted <= n:
+                break
+            wanted -= n
+        if n <= MOST_PLACES or digits >= 32:
+            break
+    places = rows.where(F.col("h").startswith(prefix)).groupBy("h", "k").agg(F.count("*").alias("n"))
+    for place in places.orderBy("h", "k").collect():
+        if wanted <= place.n:
+            return Cut(place.h, place.k, place.n, wanted)
+        wanted -= place.n
+    raise RuntimeError("the rows changed between two scans")
+
+
 def cut_points(
-    df: DataFrame, key: str, strata: str | None, quota: Callable[[Column], Column], seed: object
+    df: DataFrame, key: str, strata: str, quota: Callable[[Column], Column], seed: object
 ) -> DataFrame:
     """Per stratum, the (hash, key) of the last row that belongs to the first
-    ``quota(rows)`` rows in hash order. One row per stratum: (stratum, cut).
+    ``quota(rows)`` rows in hash order: a table (stratum, cut) in the shared folder.
 
-    Counts per hash prefix (combined before the shuffle) tell in which prefix the cut
-    lies; only the rows of that prefix, one in 65536, are ranked. So no task ever sorts a
-    whole stratum. ``key`` must identify a row; copies of a key stay together.
+    As ``cut_point``, for all strata at once: a histogram per stratum gives the prefix of its
+    cut, and rows outside these prefixes are dropped inside the tasks. ``key`` must identify
+    a row; copies of a key stay together.
     """
-    group = F.col(strata) if strata else F.lit(None).cast("string")
-    slim = df.select(
-        group.alias("stratum"), F.col(key).alias("k"), hash_key(key, seed).alias("h")
-    ).withColumn("prefix", F.substring("h", 1, PREFIX_DIGITS))
-
-    per_prefix = slim.groupBy("stratum", "prefix").agg(F.count("*").alias("n"))
-    upto = Window.partitionBy("stratum").orderBy("prefix")
-    whole = Window.partitionBy("stratum")
-    filled = per_prefix.select(
-        "stratum",
-        "prefix",
-        "n",
-        F.sum("n").over(upto).alias("upto"),
-        quota(F.sum("n").over(whole)).alias("quota"),
-    )
-    # The prefix in which the quota is reached, and the rows to take from it.
-    edge = filled.where("quota > 0 and upto >= quota and upto - n < quota").select(
-        "stratum", "prefix", (F.col("quota") - (F.col("upto") - F.col("n"))).alias("take")
-    )
-    within = slim.alias("s").join(
-        edge.alias("e"),
-        F.col("s.stratum").eqNullSafe(F.col("e.stratum")) & (F.col("s.prefix") == F.col("e.prefix")),
-    ).select("s.stratum", "s.prefix", "s.h", "s.k", "e.take")
-    rank = F.row_number().over(Window.partitionBy("stratum", "prefix").orderBy("h", "k"))
-    return (
-        within.withColumn("r", rank)
-        .where("r = take")
-        .select("stratum", F.struct("h", "k").alias("cut"))
-    )
+    rows = df.select(F.col(strata).alias("stratum"), F.col(key).alias("k"), hash_key(key, seed).alias("h"))
+    edges, digits = None, 0
+    while True:
+        digits += PREFIX_DIGITS
+        prefix = F.substring("h", 1, digits).alias("prefix")
+        counted = rows if edges is None else _inside(rows, edges, digits - PREFIX_DIGITS)
+        start = F.lit(None).cast("bigint").alias("take") if edges is None else F.col("take")
+        counts = counted.groupBy("stratum", prefix, start).agg(F.count("*").alias("n"))
+        upto = F.sum("n").over(Window.partitionBy("stratum").orderBy("prefix"))
+        total = F.sum("n").over(Window.partitionBy("stratum"))
+        filled = counts.select("stratum", "prefix", "n", upto.alias("upto"), F.coalesce("take", quota(total)).alias("quota"))
+        edges = store(
+            filled.where("quota > 0 and upto >= quota and upto - n < quota").select(
+                "stratum", "prefix", "n", (F.col("quota") - (F.col("upto") - F.col("n"))).alias("take")
+            ),
+            "edges",
+        )
+        if (edges.agg(F.max("n")).first()[0] or 0) <= MOST_PLACES or digits >= 32:
+            break
+    rank = F.row_number().over(Window.partitionBy("stratum").orderBy("h", "k"))
+    ranked = _inside(rows, edges, digits).withColumn("r", rank)
+    return store(ranked.where("r = take").select("stratum", F.struct("h", "k").alias("cut")), "cuts")
+
+
+def _inside(rows: DataFrame, edges: DataFrame, digits: int) -> DataFrame:
+    """The rows in the prefixes of ``edges``, one per stratum, with their ``take``. Up to
+    MOST_STRATA edges go to all tasks, more are joined as any table."""
+    few = edges.count() <= MOST_STRATA
+    e = edges.select(F.col("stratum").alias("_s"), F.col("prefix").alias("_p"), "take")
+    return rows.join(
+        F.broadcast(e) if few else e,
+        F.col("stratum").eqNullSafe(F.col("_s")) & (F.substring("h", 1, digits) == F.col("_p")),
+    ).drop("_s", "_p")
 
 
 def serial_numbers(df: DataFrame, key: str | Sequence[str], start: Column, name: str) -> DataFrame:
@@ -76,7 +139,7 @@ def serial_numbers(df: DataFrame, key: str | Sequence[str], start: Column, name:
     """
     columns = [key] if isinstance(key, str) else list(key)
     hashed = df.withColumn("_h", hash_key(columns, "")).withColumn(
-        "_prefix", F.substring("_h", 1, PREFIX_DIGITS)
+        "_prefix", F.substring("_h", 1, SERIAL_DIGITS)
     )
     counts = hashed.groupBy("_prefix").agg(F.count("*").alias("_n"))
     # One task, but over the prefixes only; the filler partition key keeps the intent explicit.

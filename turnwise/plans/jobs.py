@@ -12,7 +12,8 @@ from turnwise.functions import jsons, text, times
 from turnwise.operators import (
     calls, columns, datasets, dimensions, evaluation, filters, inference, joins,
 )
-from turnwise.session import store
+from turnwise.operators.answers import PerTask
+from turnwise.session import answer_log, store
 from turnwise.sources import readers, writers
 
 # Fixed value: calls drawn beyond the wanted number, as some have no usable recording.
@@ -38,22 +39,32 @@ def sample_calls_job(
 
 
 def predict_intents(
-    turns: DataFrame, template: str, infer_fn: Callable[[dict], dict], tasks: int | None = None
-) -> DataFrame:
-    """Adds the predicted intent, its probability, tokens and the agreement flag.
+    turns: DataFrame,
+    template: str,
+    infer_fn: Callable[[dict], dict] | PerTask,
+    tasks: int | None = None,
+    log: str | None = None,
+    **calls_options,
+) -> tuple[DataFrame, DataFrame]:
+    """(turns, failed): the turns with the predicted intent, its probability, tokens and the
+    agreement flag, and (prompt, error) of the requests that failed.
 
-    Every distinct prompt is asked once. ``infer_fn`` gives text, logprobs and tokens.
+    Every distinct prompt is asked once, whatever is made of the result: the answers are
+    logged as they come and then written to the shared folder. ``infer_fn`` gives text,
+    logprobs and tokens; ``calls_options`` are those of ``run_inference``.
     """
     request_id = F.sha2("prompt", 256)
     asked = inference.intent_requests(turns.select("utterances", "context", "state"), template)
-    answers = inference.run_inference(
+    answers = store(inference.run_inference(
         asked.select(request_id.alias("request_id"), "prompt").distinct(),
         infer_fn,
         "text string, logprobs array<double>, tokens bigint",
-        ["request_id"],
+        ["request_id", "prompt"],
         tasks,
-    ).where("error is null")
-    results = answers.select(
+        log or answer_log(turns.sparkSession),
+        **calls_options,
+    ), "answers")
+    results = answers.where("error is null").select(
         "request_id",
         F.col("text").alias("gpt_intent"),
         times.sequence_probability(F.col("logprobs")).alias("gpt_prob"),
@@ -67,7 +78,8 @@ def predict_intents(
         keyed.drop("prompt"), results, "request_id", columns.INTENT_DEFAULTS
     ).drop("request_id")
     stripped = joined.withColumn("gpt_intent", text.strip(F.col("gpt_intent")))
-    return columns.agreement_flag(stripped, "intent", "gpt_intent")
+    flagged = columns.agreement_flag(stripped, "intent", "gpt_intent")
+    return flagged, answers.where("error is not null").select("prompt", "error")
 
 
 def tag_turns_and_calls_job(
@@ -78,21 +90,25 @@ def tag_turns_and_calls_job(
     language: str,
     data_label: str = writers.DEFAULT_DATA_LABEL,
     template: str | None = None,
-    infer_fn: Callable[[dict], dict] | None = None,
+    infer_fn: Callable[[dict], dict] | PerTask | None = None,
+    **calls_options,
 ) -> dict[str, DataFrame]:
     """Sampled turns to turn projects (with predicted intents where a service is given),
-    and one row per call to call projects."""
-    tagged = predict_intents(turns, template, infer_fn) if infer_fn and template else turns
+    and one row per call to call projects. With a service, ``failed`` has its failed requests."""
+    tagged, failed = turns, None
+    if infer_fn and template:
+        tagged, failed = predict_intents(turns, template, infer_fn, **calls_options)
     turn_tasks, turn_counts = writers.tagging_fanout(tagged, turn_projects, data_label)
     view = columns.call_level_view(turns, base_url, language)
     call_tasks, call_counts = writers.tagging_fanout(view, call_projects, data_label)
-    return {
+    outputs = {
         "turn_tasks": turn_tasks,
         "call_tasks": call_tasks,
         "counts": turn_counts.withColumn("level", F.lit("turn")).unionByName(
             call_counts.withColumn("level", F.lit("call"))
         ),
     }
+    return outputs | ({"failed": failed} if failed is not None else {})
 
 
 def tagged_dataset_job(
@@ -135,24 +151,31 @@ def entity_dataset_job(
     rows: DataFrame,
     id: str,
     source: str,
-    infer_fn: Callable[[dict], dict],
+    infer_fn: Callable[[dict], dict] | PerTask,
     tz: str = "Asia/Kolkata",
     tasks: int | None = None,
-) -> DataFrame:
-    """Adds the tagged entities with resolved values and the predicted ones, reshaped.
+    log: str | None = None,
+    **calls_options,
+) -> tuple[DataFrame, DataFrame]:
+    """(rows, failed): the rows with the tagged entities with resolved values and the
+    predicted ones, reshaped, and the requests that failed, with their error. A date whose
+    request failed has no value.
 
-    ``infer_fn`` gives ``response``, the JSON list of the entity service.
+    ``infer_fn`` gives ``response``, the JSON list of the entity service; the answers are
+    logged as they come and written to the shared folder, so each request is asked once.
     """
     tagged = inference.entity_rows(rows, id, tz, source)
     asked = inference.entity_requests(tagged, tz)
-    answered = inference.run_inference(
-        asked, infer_fn, "response string", ["text", "dim", "ref_ms", "locale"], tasks
-    )
-    truth = inference.entity_truth(tagged, inference.entity_values(answered, tz))
+    key = ["text", "dim", "ref_ms", "locale"]
+    answered = store(inference.run_inference(
+        asked, infer_fn, "response string", key, tasks, log or answer_log(rows.sparkSession), **calls_options
+    ), "answers")
+    truth = inference.entity_truth(tagged, inference.entity_values(answered.where("error is null"), tz))
     predicted = jsons.normalize_predicted_entities(F.col("`raw.entities`"))
-    return rows.join(truth.withColumnRenamed("id", id), id, "left").withColumn(
+    whole = rows.join(truth.withColumnRenamed("id", id), id, "left").withColumn(
         "predicted_entities_with_modifications", predicted
     )
+    return whole, answered.where("error is not null").select(*key, "error")
 
 
 def overlay_transcripts_job(
@@ -173,15 +196,16 @@ def asr_eval_job(df: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
 
 
 def compliance_job(
-    turns: DataFrame, infer_fn: Callable[[dict], dict], tasks: int | None = None
+    turns: DataFrame, infer_fn: Callable[[dict], dict] | PerTask, tasks: int | None = None, log: str | None = None,
+    **calls_options,
 ) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
     """Audit of calls: (accepted rows, rejected rows, number of breaches, failed requests).
 
     Failed requests are rows (call_id, error), one per call that the service did not answer.
 
     ``infer_fn`` gives compliance_output and tokens_consumed for a call_information. The
-    answers are written once to the shared folder and all four results come from them, so
-    each call is asked once and the results agree.
+    answers are logged as they come and written once to the shared folder, and all four
+    results come from them, so each call is asked once and the results agree.
     """
     whole = calls.render_transcript(calls.assemble_calls(turns), "call_information")
     ready = whole.drop("turns").withColumn(
@@ -193,6 +217,8 @@ def compliance_job(
         "compliance_output string, tokens_consumed bigint",
         ["call_id"],
         tasks,
+        log or answer_log(turns.sparkSession),
+        **calls_options,
     )
     answers = store(answers, "answers")
     failed = answers.where("error is not null").select("call_id", "error")

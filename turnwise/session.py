@@ -15,6 +15,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # Filters reach sources that are written in Python (SQLite files).
+    "spark.sql.python.filterPushdown.enabled": "true",
 }
 
 
@@ -54,6 +56,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def answer_log(spark: SparkSession) -> str | None:
+    """A fresh folder for the answers of a service, where the shared folder is a path that
+    tasks can open; else None, and a job that wants a log must name one."""
+    path = scratch_path(spark, "answers")
+    return path if re.match(r"(file:|/)", path) else None
+
+
 def store(df: DataFrame, name: str = "table") -> DataFrame:
     """Write a table once to the shared folder and read it from there.
 

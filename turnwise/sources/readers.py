@@ -5,12 +5,16 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 from datetime import date, datetime
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from turnwise.operators.filters import date_bounds
+from turnwise.session import store
+from turnwise.sources import records
+from turnwise.sources.sqlite import read_sqlite
 
 # CSV cells that count as missing.
 NA_VALUES = (
@@ -35,19 +39,32 @@ def read_csv_union(
 ) -> DataFrame:
     """SRC-1: a list of CSV paths, stacked by column name; all cells are text.
 
-    Every path is read with its own header: one reader over files with different headers
-    would line the columns up by position. Cells of ``na_values`` are missing. With
-    ``multi_line`` a cell may hold line breaks, but a file is then read by one task; turn
-    it off for big files without such cells.
+    Files are grouped by their header, which one scan gets for all of them, so columns line
+    up by name whatever folder a file is in. Cells of ``na_values`` are missing. With
+    ``multi_line`` a cell may hold line breaks: a first scan finds the quoted cells that
+    cross block borders, so that a large file is still read by many tasks. Lines end with
+    a line feed, maybe after a carriage return. A file without a line gives nothing.
     """
     listed = split_paths(paths)
     if not listed:
         if empty_possible:
             return spark.createDataFrame([], StructType([]))
         raise ValueError("no CSV path given")
-    options = dict(header=True, multiLine=multi_line, quote='"', escape='"')
-    parts = [spark.read.csv(p, **options) for p in listed]
-    table = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    lines = records.text_lines(spark, listed)
+    blocks = store(records.scan_blocks(lines, multi_line), "blocks")
+    place = lambda path: next((i for i, p in enumerate(listed) if p.strip("/") in path), len(listed))
+    headers = records.headers_of(blocks, place)
+    if not headers:
+        return spark.createDataFrame([], StructType([]))
+    if multi_line:
+        table = records.read_multi_line(lines, blocks, list(headers))
+    else:
+        kind = lambda header: StructType([StructField(c, StringType()) for c in records.column_names(header)])
+        parts = [
+            spark.read.schema(kind(header)).csv([unquote(f) for f in files], header=True, **records.QUOTES)
+            for header, files in headers.items()
+        ]
+        table = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
     if not na_values:
         return table
     held = lambda c: F.when(~F.col(f"`{c}`").isin(list(na_values)), F.col(f"`{c}`"))
@@ -77,13 +94,18 @@ def read_table(
     jdbc: dict[str, str] | None = None,
     predicates: Sequence[str] | None = None,
     fetchsize: int = 1000,
+    sqlite: dict[str, str] | None = None,
 ) -> DataFrame:
     """SRC-3: a filtered, column-pruned table scan.
 
-    ``source`` is a parquet path, or with ``jdbc`` (url, user, ...) a database table.
+    ``source`` is a parquet path, with ``jdbc`` (url, user, ...) a database table, or with
+    ``sqlite`` (path, key, partitions) a table of SQLite files, read in ranges of a key.
     ``predicates`` are non-overlapping conditions; each one is a partition of its own.
     """
-    if jdbc:
+    if sqlite:
+        # A filter may need further columns, so then they are all read.
+        df = read_sqlite(spark, source, sqlite, list(columns) if columns and where is None else None)
+    elif jdbc:
         options = {k: v for k, v in jdbc.items() if k != "url"}
         options["fetchsize"] = str(fetchsize)
         if predicates:
