@@ -23,6 +23,8 @@ LENGTH = 4_096
 SHARD_TOKENS = 8_000_000
 # Ids beyond the 256 bytes; only for byte ids, as they are tokens of other vocabularies.
 END, PAD = 256, 257
+# Bytes of text that are encoded at a time.
+PART_BYTES = 4_000_000
 PACKED = (
     "shard int, row int, n_tokens int, ids binary, cu_seqlens array<int>, position_resets array<int>, "
     "doc_ids array<bigint>, doc_starts array<bigint>"
@@ -112,7 +114,7 @@ def token_ids(
 
         with bpe.tokenizer(path, pattern) as state:
             for batch in batches:
-                for part in bpe.parts(batch, "text"):
+                for part in bpe.parts(batch, "text", PART_BYTES):
                     flat, n = state.encode(part.column("text"))
                     closed = np.insert(flat, np.cumsum(n), end).astype("<u2")
                     ends = pa.array(np.concatenate([[0], np.cumsum(2 * (n + 1))]), pa.int32())
