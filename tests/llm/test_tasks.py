@@ -311,6 +311,46 @@ def test_a_branch_above_all_text_stays(spark):
     assert styletree.main_text("<html><div><h1>a</h1><ul><li>b</ul></div>", low | {styletree._branch(("html", "div", "ul"))}) == "a\nb"
 
 
+def test_names_are_whole_words_and_do_not_hide_the_article():
+    keeps = {
+        '<div class="content has-sidebar"><article>a</article></div>': "a", '<main class="social-science">a</main>': "a",
+        '<div class="post no-comments">a</div>': "a", '<div class="related"><main><p>a</p></main></div>': "a",
+        '<div id="sidebar-less-nav"><article>a<p class="notice">n</p></article>': "a", '<div class="admin unrelated">a</div>': "a",
+    }
+    for page, text in keeps.items():
+        assert styletree.main_text(page, set()) == text, page
+    names = "site-footer main_nav cookie-banner ad ads2 sidebar-left comment-list social-links related-posts post-comments"
+    for name in names.split():
+        assert styletree.main_text(f"<p>a</p><div class='x {name}'>b</div>", set()) == "a", name
+    # Articles inside noise are teasers where another one is not.
+    assert styletree.main_text("<article>a</article><div class='related'><article>b</article></div>", set()) == "a"
+
+
+def test_a_repeated_notice_inside_an_article_goes(spark):
+    page = "<article id='post-{0}'><p>Story {0}</p><div class='box-{0}'>Sign up today</div><p>ends {1}</p></article><div>Legal</div>"
+    rows = [(i, "http://a.example/x", page.format(i, i * 7)) for i in range(30)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in styletree.extract_text(pages).collect()}
+    assert all(got[i] == f"Story {i}\nends {i * 7}" for i in range(30))
+
+
+def test_deep_and_long_pages_take_linear_time(spark):
+    import time
+
+    pages = [
+        "<div>" * 50_000 + "a", "<div>a" * 50_000, "<b>" * 50_000 + "<hr>a" * 50_000, "<li>a" * 50_000, "<div>" * 50_000 + "</p>" * 50_000 + "a",
+        "<ul><li>" * 25_000 + "a", "<p>a" * 50_000, "<table><tr><td>" * 15_000 + "a" + "</td>" * 15_000,
+    ]
+    start = time.monotonic()
+    for page in pages:
+        found, nodes = styletree.blocks(page)
+        styletree.branches(styletree._told(found), nodes)
+        assert styletree.main_text(page, {styletree._branch(("div", "div"))}).startswith("a")
+    assert time.monotonic() - start < 60
+    rows = spark.createDataFrame([(i, "http://a.example/x", "<div>a" * 3000) for i in (1, 1, None)], "page_id long, url string, html string")
+    assert {r.text for r in styletree.extract_text(rows).collect()} == {"\n".join(["a"] * 3000)}
+
+
 def test_winnowing(odd, monkeypatch):
     text = "ab" * 300 + "the quick brown fox jumps over the lazy dog " * 5
     h = winnowing.gram_hashes(text)

@@ -12,8 +12,9 @@ from __future__ import annotations
 
 import html as entities
 import re
+from collections import Counter
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import lru_cache, reduce
 from hashlib import blake2b
 
 from pyspark.sql import DataFrame
@@ -38,10 +39,21 @@ _BLOCK = frozenset(
 _NOISE_TAGS = frozenset("nav footer aside form header menu button select dialog head label".split())
 _MAIN_TAGS = frozenset(("article", "main"))
 _CLOSES_P = _BLOCK - {"body", "html"}
+_NOT_P = _BLOCK - {"p"}
+_SIBLINGS = frozenset("li td th tr dt dd option".split())
+_LISTS = frozenset("ul ol table dl select tbody thead".split())
+# Names of what is not the article, as whole words of a class, id or role. Behind a hyphen
+# they name a kind of it (site-footer); before one, some do (sidebar-left) and some do not
+# (social-science). A page that merely has or lacks such a part is not it (has-sidebar).
+_PARTS = (
+    r"ads?|adverts?|advertisement|banner|sponsor(?:ed)?|promo|nav|navbar|navigation|menu|breadcrumbs?|sidebar|side-bar|"
+    r"widget|footer|cookies?|consent|gdpr|notice|newsletter|subscribe|signup|popup|modal|comments?|respond|replies|"
+    r"related|share|sharing|social|pagination|pager|toolbar|masthead|skip-link"
+)
+_HEADS = r"adverts?|nav|menu|breadcrumbs?|sidebar|footer|cookies?|consent|newsletter|comments?|pagination"
 _NOISE_NAMES = re.compile(
-    r"(?<![a-z])(?:ads?|adverts?|advertisement|advert-\w+|banner|sponsor(?:ed)?|promo|nav|navbar|navigation|menu|"
-    r"breadcrumbs?|sidebar|side-bar|widget|footer|cookies?|consent|gdpr|notice|newsletter|subscribe|signup|popup|modal|"
-    r"comments?|comment-\w+|respond|replies|related|share|sharing|social|pagination|pager|toolbar|masthead|skip-link)(?![a-z])"
+    rf"(?!(?:has|no|not|with|without|is|hide|show)[-_])(?:[a-z0-9]+[-_]+)*(?:{_PARTS})[0-9]*|(?:{_HEADS})[-_][a-z0-9_-]+|"
+    r"(?:share|sharing|social|related)[-_](?:links?|buttons?|icons?|bar|posts?|articles?|stories)"
 )
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
@@ -54,23 +66,57 @@ _TOKEN = re.compile(
 _NAMES = re.compile(r"""\b(class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
 
 
-class Block:
-    """A run of text in one block, the branch it stands in, and what its tags say of it."""
+def _number(text: str) -> int:
+    return int.from_bytes(blake2b(text.encode("utf-8", "replace"), digest_size=8).digest(), "little", signed=True)
 
-    __slots__ = ("path", "main", "noise", "parts")
 
-    def __init__(self, path: tuple[str, ...], main: bool, noise: bool):
-        self.path, self.main, self.noise, self.parts = path, main, noise, []
+@lru_cache(maxsize=1 << 16)
+def _child(parent: int, label: str) -> int:
+    """The number of a branch: a hash of its parent's number and its own name."""
+    return _number(f"{parent}/{label}")
 
-    def text(self) -> str:
-        return " ".join("".join(self.parts).split())
 
+def _branch(path: tuple[str, ...]) -> int:
+    return reduce(_child, path, 0)
+
+
+class Node:
+    """An element that is a block: its branch and its name, and what stands in it in order,
+    blocks of text and further nodes. ``told`` counts the blocks below that say something."""
+
+    __slots__ = ("parent", "branch", "label", "items", "told", "hashes")
+
+    def __init__(self, parent: Node | None, label: str):
+        self.parent, self.label, self.items, self.told, self.hashes = parent, label, [], 0, (0, 0)
+        self.branch = _child(parent.branch if parent else 0, label) if label else 0
+
+
+class Block:
+    """A run of text in one block, the node it stands in, and what its tags say of it: inside
+    an article, inside a noise element, inside something noisy by name, and the last of these
+    counted from the outermost article on."""
+
+    __slots__ = ("node", "main", "noise", "named", "named_inside", "parts", "said")
+
+    def __init__(self, node: Node, flags: tuple[bool, bool, bool, bool]):
+        self.node, self.parts, self.said = node, [], None
+        self.main, self.noise, self.named, self.named_inside = flags
 
-def blocks(page: str) -> list[Block]:
-    """The text blocks of a page in order. Tags may be left open or closed twice; markup that
-    never ends is dropped with its content, as browsers do."""
-    stack: list[tuple[str, str, bool, bool]] = []
-    out: list[Block] = []
+    def text(self) -> str:
+        if self.said is None:
+            self.said = " ".join("".join(self.parts).split())
+        return self.said
+
+
+def blocks(page: str) -> tuple[list[Block], list[Node]]:
+    """The text blocks of a page in order, and its nodes, parents first. Tags may be left open
+    or closed twice; markup that never ends is dropped with its content, as browsers do. The
+    work is in proportion to the page, however deep it is."""
+    root = Node(None, "")
+    nodes, out = [root], []
+    # Of each open element: tag, node, flags as in Block, its own and those above it.
+    stack: list[tuple[str, Node, tuple[bool, bool, bool, bool]]] = [("", root, (False, False, False, False))]
+    open_: Counter[str] = Counter()
     fresh, at = True, 0
 
     def text(piece: str) -> None:
@@ -80,15 +126,25 @@ def blocks(page: str) -> list[Block]:
         if fresh:
             if not piece.strip():
                 return
-            path = tuple(s[1] for s in stack if s[0] in _BLOCK)
-            out.append(Block(path, any(s[2] for s in stack), any(s[3] for s in stack)))
+            _, node, flags = stack[-1]
+            out.append(Block(node, flags))
+            node.items.append(out[-1])
             fresh = False
         out[-1].parts.append(entities.unescape(piece))
 
-    def pop_to(i: int) -> None:
+    def close(tag: str, stop: tuple[str, ...] | frozenset = ()) -> None:
+        """Closes the last open element of a tag and what is open in it, unless one of
+        ``stop`` is met first."""
         nonlocal fresh
-        if any(s[0] in _BLOCK for s in stack[i:]):
-            fresh = True
+        if not open_[tag]:
+            return
+        i = len(stack) - 1
+        while stack[i][0] != tag:
+            if stack[i][0] in stop:
+                return
+            i -= 1
+        fresh = fresh or any(s[0] in _BLOCK for s in stack[i:])
+        open_.subtract(s[0] for s in stack[i:])
         del stack[i:]
 
     for m in _TOKEN.finditer(page):
@@ -99,10 +155,8 @@ def blocks(page: str) -> list[Block]:
             continue
         tag = tag.lower()
         if m["end"]:
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] == tag:
-                    pop_to(i)
-                    break
+            if open_[tag]:
+                close(tag)
             else:
                 fresh = fresh or tag in _BLOCK
             continue
@@ -110,80 +164,84 @@ def blocks(page: str) -> list[Block]:
             text(" ")
             continue
         if tag in _CLOSES_P:
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] == "p":
-                    pop_to(i)
-                    break
-                if stack[i][0] in _BLOCK:
-                    break
+            close("p", _NOT_P)
             fresh = True
         if tag in _VOID:
             continue
-        if tag in ("li", "td", "th", "tr", "dt", "dd", "option"):
+        if tag in _SIBLINGS:
             # A sibling left open ends here.
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] == tag:
-                    pop_to(i)
-                    break
-                if stack[i][0] in ("ul", "ol", "table", "dl", "select", "tbody", "thead"):
-                    break
+            close(tag, _LISTS)
         names = " ".join(v.strip("\"'") for _, v in _NAMES.findall(m["attrs"])).lower() if "=" in m["attrs"] else ""
-        inside_main = any(s[2] for s in stack)
-        noise = bool(names and _NOISE_NAMES.search(names)) or (
-            # The header of an article is part of it.
-            tag in _NOISE_TAGS and not (tag == "header" and inside_main)
-        )
-        if tag in ("html", "body"):
-            noise = False
-        stack.append((tag, f"{tag}.{names}" if names else tag, tag in _MAIN_TAGS, noise))
+        _, node, (main, noise, named, named_inside) = stack[-1]
+        own = tag not in ("html", "body")
+        by_name = own and any(map(_NOISE_NAMES.fullmatch, names.split()))
+        # The header of an article is part of it.
+        noise = noise or own and tag in _NOISE_TAGS and not (tag == "header" and main)
+        main_now = main or tag in _MAIN_TAGS
+        flags = main_now, noise, named or by_name, named_inside or main_now and by_name
+        if tag in _BLOCK:
+            # Numbers in names tell pages apart, not branches.
+            node = Node(node, f"{tag}.{re.sub('[0-9]+', '0', names)}" if names else tag)
+            nodes.append(node)
+            node.parent.items.append(node)
+        stack.append((tag, node, flags))
+        open_[tag] += 1
     text(page[at:])
-    return out
-
-
-def _number(text: str) -> int:
-    return int.from_bytes(blake2b(text.encode("utf-8", "replace"), digest_size=8).digest(), "little", signed=True)
-
-
-@lru_cache(maxsize=1 << 16)
-def _branch(path: tuple[str, ...]) -> int:
-    """The number of a branch: a hash of its path."""
-    return _number("/".join(path))
-
-
-def branches(found: list[tuple[Block, str]]) -> dict[int, tuple[str, str]]:
-    """Every branch of a page, from its blocks and their texts: number of the branch -> (its
-    children's tags, its text)."""
-    content: dict[int, list[str]] = {}
-    shape: dict[int, list[str]] = {}
-    for block, text in found:
-        for depth in range(1, len(block.path) + 1):
-            at = _branch(block.path[:depth])
-            content.setdefault(at, []).append(text)
-            shape.setdefault(at, []).append(block.path[depth] if depth < len(block.path) else "#")
-    return {p: ("/".join(shape[p]), "\n".join(content[p])) for p in content}
-
-
-def _told(page: str | None) -> list[tuple[Block, str]]:
-    """The blocks of a page that say something and are not noise by name, with their texts."""
-    return [(b, t) for b in blocks(page or "") if not b.noise and (t := b.text())]
+    return out, nodes
+
+
+def _told(found: list[Block]) -> list[Block]:
+    """The blocks that say something and are not noise by tag or name."""
+    return [b for b in found if not b.noise and not b.named and b.text()]
+
+
+def branches(told: list[Block], nodes: list[Node]) -> dict[int, tuple[int, int]]:
+    """Every branch of a page: its number -> hashes of its children's names and of its text,
+    rolled up from the children, once for each node."""
+    said = set(map(id, told))
+    found: dict[int, list[tuple[int, int]]] = {}
+    for node in reversed(nodes):
+        shape, content = [], []
+        for item in node.items:
+            if isinstance(item, Node):
+                if item.told:
+                    shape.append(item.label)
+                    content.append(str(item.hashes[1]))
+                    node.told += item.told
+            elif id(item) in said:
+                shape.append("#")
+                content.append(item.text())
+                node.told += 1
+        node.hashes = _number("/".join(shape)), _number("\n".join(content))
+        if node.told and node.parent:
+            found.setdefault(node.branch, []).append(node.hashes)
+    joined = lambda parts: parts[0] if len(parts) == 1 else _number("/".join(map(str, parts)))
+    return {k: (joined([s for s, _ in v]), joined([c for _, c in v])) for k, v in found.items()}
 
 
 def main_text(page: str | None, low: set[int]) -> str:
     """The blocks that stay, one per line. A branch of low importance goes, as does one that
-    is noise by name; what a page marks as its article stays, however often it is copied,
-    and where there is such text nothing beside it is the article. A branch above all text of
-    the page is never cut, and all text stays where the measure would leave none."""
-    told = _told(page)
-    stays = [t for b, t in told if b.main]
-    if not stays and low:
-        paths = [b.path for b, _ in told]
-        # The path that all text shares: between the smallest and the largest, as between all.
-        first, last = min(paths, default=()), max(paths, default=())
-        above = next((d for d, (x, y) in enumerate(zip(first, last)) if x != y), min(len(first), len(last)))
-        stays = [
-            t for b, t in told if not any(_branch(b.path[:d]) in low for d in range(above + 1, len(b.path) + 1))
-        ]
-    return "\n".join(stays or [t for _, t in told])
+    is noise by name; where a page marks text as its article nothing beside it is the article,
+    whatever the names of what stands around it. A branch above all text that could stay is
+    never cut, and all of that stays where the measure would leave none."""
+    found, nodes = blocks(page or "")
+    told = _told(found)
+    chosen = [b for b in told if b.main] or [
+        b for b in found if b.main and not b.noise and not b.named_inside and b.text()
+    ] or told
+    stays = chosen
+    if low and chosen:
+        for b in chosen:
+            b.node.told += 1
+        count: Counter[int] = Counter()
+        for node in reversed(nodes[1:]):
+            node.parent.told += node.told
+            count[node.branch] += node.told
+        gone = {nodes[0]: False}
+        for node in nodes[1:]:
+            gone[node] = gone[node.parent] or node.branch in low and count[node.branch] < len(chosen)
+        stays = [b for b in chosen if not gone[b.node]]
+    return "\n".join(b.text() for b in stays or chosen)
 
 
 def _host() -> F.Column:
@@ -200,9 +258,10 @@ def style_pages(pages: DataFrame) -> DataFrame:
         for batch in batches:
             rows, nodes, ends = [], [], [0]
             for host, page in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist()):
-                if told := _told(page):
-                    rows.append((host, _number("\n".join(t for _, t in told))))
-                    nodes += [(p, _number(s), _number(c)) for p, (s, c) in branches(told).items()]
+                found, tree = blocks(page or "")
+                if told := _told(found):
+                    rows.append((host, _number("\n".join(b.text() for b in told))))
+                    nodes += [(p, *hashes) for p, hashes in branches(told, tree).items()]
                     ends.append(len(nodes))
             hosts, keys = zip(*rows) if rows else ((), ())
             parts = zip(*nodes) if nodes else ((), (), ())
