@@ -10,7 +10,6 @@ from pyspark.sql.types import StructField
 
 from turnwise.functions import text
 from turnwise.operators.skew import cut_point, place_of
-from turnwise.session import store
 
 # Call metadata taken from the first turn.
 CALL_META = ("call_uuid", "audio_url", "call_url", "flow_uuid", "client_uuid", "reftime")
@@ -40,11 +39,11 @@ def sample_calls(
 ) -> DataFrame:
     """SRT-1: all turns of ``n + buffer`` randomly chosen calls; the same ones for a seed.
 
-    The calls are the first in hash order. Their ids are written once, and counts per hash
-    prefix tell where that order is cut, so a sample of any size is one filter: nothing
-    gathers it and the turns are not shuffled. Turns without a call id are in no sample.
+    The calls are the first in hash order. Counts of ids per hash prefix tell where that order
+    is cut, so a sample of any size is one filter: nothing gathers it and the turns are not
+    shuffled. Turns without a call id are in no sample.
     """
-    ids = store(turns.select(call).where(F.col(call).isNotNull()).distinct(), "ids")
+    ids = turns.select(call).where(F.col(call).isNotNull()).distinct()
     cut = cut_point(ids, call, lambda calls: min(calls, n + buffer), seed)
     if cut is None:
         return turns.limit(0)

@@ -79,7 +79,7 @@ def cut_point(df: DataFrame, key: str, quota: Callable[[int], int], seed: object
         if n <= MOST_PLACES or digits >= 32:
             break
     places = rows.where(F.col("h").startswith(prefix)).groupBy("h", "k").agg(F.count("*").alias("n"))
-    for place in places.orderBy("h", "k").collect():
+    for place in sorted(places.collect(), key=lambda p: (p.h, p.k is not None, p.k)):
         if wanted <= place.n:
             return Cut(place.h, place.k, place.n, wanted)
         wanted -= place.n
@@ -101,7 +101,7 @@ def cut_points(
     while True:
         digits += PREFIX_DIGITS
         prefix = F.substring("h", 1, digits).alias("prefix")
-        counted = rows if edges is None else _inside(rows, edges, digits - PREFIX_DIGITS)
+        counted = rows if edges is None else _inside(rows, edges, few, digits - PREFIX_DIGITS)
         start = F.lit(None).cast("bigint").alias("take") if edges is None else F.col("take")
         counts = counted.groupBy("stratum", prefix, start).agg(F.count("*").alias("n"))
         upto = F.sum("n").over(Window.partitionBy("stratum").orderBy("prefix"))
@@ -113,17 +113,18 @@ def cut_points(
             ),
             "edges",
         )
-        if (edges.agg(F.max("n")).first()[0] or 0) <= MOST_PLACES or digits >= 32:
+        most, number = edges.agg(F.max("n"), F.count("*")).first()
+        few = number <= MOST_STRATA
+        if (most or 0) <= MOST_PLACES or digits >= 32:
             break
     rank = F.row_number().over(Window.partitionBy("stratum").orderBy("h", "k"))
-    ranked = _inside(rows, edges, digits).withColumn("r", rank)
+    ranked = _inside(rows, edges, few, digits).withColumn("r", rank)
     return store(ranked.where("r = take").select("stratum", F.struct("h", "k").alias("cut")), "cuts")
 
 
-def _inside(rows: DataFrame, edges: DataFrame, digits: int) -> DataFrame:
-    """The rows in the prefixes of ``edges``, one per stratum, with their ``take``. Up to
-    MOST_STRATA edges go to all tasks, more are joined as any table."""
-    few = edges.count() <= MOST_STRATA
+def _inside(rows: DataFrame, edges: DataFrame, few: bool, digits: int) -> DataFrame:
+    """The rows in the prefixes of ``edges``, one per stratum, with their ``take``. A ``few``
+    edges, up to MOST_STRATA, go to all tasks; more are joined as any table."""
     e = edges.select(F.col("stratum").alias("_s"), F.col("prefix").alias("_p"), "take")
     return rows.join(
         F.broadcast(e) if few else e,

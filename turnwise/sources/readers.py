@@ -50,24 +50,27 @@ def read_csv_union(
         if empty_possible:
             return spark.createDataFrame([], StructType([]))
         raise ValueError("no CSV path given")
-    lines = records.text_lines(spark, listed)
-    blocks = store(records.scan_blocks(lines, multi_line), "blocks")
+    blocks = store(records.scan_blocks(records.text_lines(spark, listed), multi_line), "blocks")
     place = lambda path: next((i for i, p in enumerate(listed) if p.strip("/") in path), len(listed))
-    headers = records.headers_of(blocks, place)
-    if not headers:
+    files = records.files_of(blocks, place)
+    if not files:
         return spark.createDataFrame([], StructType([]))
-    if multi_line:
-        table = records.read_multi_line(lines, blocks, list(headers))
-    else:
-        kind = lambda header: StructType([StructField(c, StringType()) for c in records.column_names(header)])
-        parts = [
-            spark.read.schema(kind(header)).csv([unquote(f) for f in files], header=True, **records.QUOTES)
-            for header, files in headers.items()
-        ]
-        table = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    # Files whose records are lines are read as such, with pruned columns.
+    plain = {f.header: [unquote(g.path) for g in files if g.header == f.header and not g.spans] for f in files}
+    kind = lambda header: StructType([StructField(c, StringType()) for c in records.column_names(header)])
+    parts = [
+        spark.read.schema(kind(header)).csv(paths, header=True, **records.QUOTES)
+        for header, paths in plain.items() if paths
+    ]
+    if any(f.spans for f in files):
+        parts.append(records.read_multi_line(spark, [f for f in files if f.spans]))
+    table = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    every = dict.fromkeys(c for header in plain for c in records.column_names(header))
+    quoted = lambda c: F.col("`" + c.replace("`", "``") + "`")
+    table = table.select(*[quoted(c) for c in every])
     if not na_values:
         return table
-    held = lambda c: F.when(~F.col(f"`{c}`").isin(list(na_values)), F.col(f"`{c}`"))
+    held = lambda c: F.when(~quoted(c).isin(list(na_values)), quoted(c))
     return table.select(*[held(c).alias(c) for c in table.columns])
 
 

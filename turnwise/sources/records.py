@@ -14,8 +14,9 @@ import csv
 import io
 import re
 from collections.abc import Callable, Iterator, Sequence
+from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 
 from turnwise.session import store
@@ -72,8 +73,9 @@ def _runs(batch, *keys: str) -> Iterator[tuple[int, int]]:
 
 def scan_blocks(lines: DataFrame, quoted: bool) -> DataFrame:
     """One row per block: file, path, block, the state after it if it starts outside (``f0``)
-    or inside (``f1``) quotes, whether some line of it then ends outside (``closes``), and the
-    header record where it is the first block. Without ``quoted`` every line is a record."""
+    or inside (``f1``) quotes, whether some line of it then ends outside (``closes``), whether
+    one ends inside if it starts outside (``spans``), and the header record where it is the
+    first block. Without ``quoted`` every line is a record."""
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
@@ -90,7 +92,7 @@ def scan_blocks(lines: DataFrame, quoted: bool) -> DataFrame:
                     key = now
                     state = {
                         "file": now[0], "path": part.column("path")[0].as_py(), "block": now[1],
-                        "f0": False, "f1": True, "closes": False, "header": None, "open": [],
+                        "f0": False, "f1": True, "closes": False, "spans": False, "header": None, "open": [],
                     }
                 values = part.column("value")
                 if now[1] == 0 and state["header"] is None:
@@ -104,14 +106,16 @@ def scan_blocks(lines: DataFrame, quoted: bool) -> DataFrame:
                         state["f0"] = ends_inside(line, state["f0"])
                         state["f1"] = ends_inside(line, state["f1"])
                         state["closes"] |= not state["f1"]
+                        state["spans"] |= state["f0"]
         if key is not None:
             done.append(state)
-        names = ["file", "path", "block", "f0", "f1", "closes", "header"]
-        kinds = [pa.int64(), pa.string(), pa.int64(), pa.bool_(), pa.bool_(), pa.bool_(), pa.string()]
+        names = ["file", "path", "block", "f0", "f1", "closes", "spans", "header"]
+        kinds = [pa.int64(), pa.string(), pa.int64(), *[pa.bool_()] * 4, pa.string()]
         yield pa.RecordBatch.from_arrays([pa.array([s[n] for s in done], k) for n, k in zip(names, kinds)], names)
 
     return lines.mapInArrow(
-        run, "file bigint, path string, block bigint, f0 boolean, f1 boolean, closes boolean, header string"
+        run,
+        "file bigint, path string, block bigint, f0 boolean, f1 boolean, closes boolean, spans boolean, header string",
     )
 
 
@@ -204,18 +208,16 @@ def column_names(header: str) -> list[str]:
     return [f"_c{i}" if not n else f"{n}{i}" if same.count(n.lower()) > 1 else n for i, n in enumerate(names)]
 
 
-def headers_of(blocks: DataFrame, rank: Callable[[str], int]) -> dict[str, list[str]]:
-    """The distinct headers in order of their first file, each with the paths of its files."""
-    found = sorted(
-        ((rank(r.path), r.path, r.header) for r in blocks.where("block = 0").select("path", "header").collect()),
-        key=lambda f: f[:2],
+def files_of(blocks: DataFrame, rank: Callable[[str], int]) -> list[Row]:
+    """(path, header, spans) of each file with a line, in order: whether some record of it
+    has a line break in a cell."""
+    each = blocks.groupBy("file").agg(
+        F.max("path").alias("path"), F.max("header").alias("header"), F.max("spans").alias("spans")
     )
-    if any(header is None for *_, header in found):
+    found = sorted(each.select("path", "header", "spans").collect(), key=lambda f: (rank(f.path), f.path))
+    if any(f.header is None for f in found):
         raise ValueError("a header does not end within the first block of its file")
-    out: dict[str, list[str]] = {}
-    for _, path, header in found:
-        out.setdefault(header, []).append(path)
-    return out
+    return found
 
 
 def parsed(records: DataFrame, headers: Sequence[str]) -> DataFrame:
@@ -235,10 +237,12 @@ def parsed(records: DataFrame, headers: Sequence[str]) -> DataFrame:
     ])
 
 
-def read_multi_line(lines: DataFrame, blocks: DataFrame, headers: Sequence[str]) -> DataFrame:
-    """The records of all files, with line breaks inside quoted cells; each file is read by as
-    many tasks as it has blocks."""
-    spark = lines.sparkSession
+def read_multi_line(spark: SparkSession, files: Sequence[Row]) -> DataFrame:
+    """The records of files with line breaks inside quoted cells; each file is read by as many
+    tasks as it has blocks."""
+    lines = text_lines(spark, [unquote(f.path) for f in files])
+    blocks = store(scan_blocks(lines, True), "blocks")
+    headers = list(dict.fromkeys(f.header for f in files))
     numbered = spark.createDataFrame([(h, i) for i, h in enumerate(headers)], "header string, number int")
     of_file = blocks.where("block = 0").join(F.broadcast(numbered), "header").select("file", "number")
     states = store(
