@@ -103,7 +103,8 @@ def test_a_shared_chunk_is_not_compared_as_a_whole(spark):
     rows = spelling.positions(words_frame(spark, n))
     for _ in range(5):
         rows = spelling.cut(rows)
-    assert rows.groupBy("key").count().agg(F.max("count")).first()[0] <= 30
+    # One letter is open in a chunk word, two in a partner that is one longer.
+    assert rows.groupBy("key").count().agg(F.max("count")).first()[0] <= 10 + 10 * 10
     pairs = spelling.near_pairs(words_frame(spark, n), group=50)
     assert pairs.count() == 1000 * 27 // 2
 

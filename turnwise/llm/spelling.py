@@ -106,7 +106,8 @@ def near_pairs(words: DataFrame, cuts: int = CUTS, group: int = GROUP) -> DataFr
     distinct words and n; words under LEAST_LENGTH have no pair.
 
     Keys of more than ``group`` rows are cut again, round by round, until at most one letter
-    is open, where a key has no more rows than the alphabet allows.
+    is open (two in a partner that is one longer), where a key has no more rows than the
+    alphabet allows.
     """
     rows = positions(words)
     for _ in range(cuts):
