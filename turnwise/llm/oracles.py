@@ -119,3 +119,132 @@ chain(word, reached, form) AS (
 SELECT f.word, f.form, c.reached AS root, f.n, f.n_near, f.form_n
 FROM formed f JOIN chain c ON c.word = f.word AND c.form IS NULL
 """
+
+# The smallest id that each node reaches by links (u, v), which stand in both directions.
+REACHED = """
+reached(id, r) AS (
+  SELECT id, id FROM nodes UNION SELECT reached.id, links.v FROM reached JOIN links ON links.u = reached.r
+)"""
+
+EMBEDDINGS = f"""
+WITH RECURSIVE nodes AS (SELECT vec_id AS id, label, embedding::DOUBLE[] AS e FROM embeddings),
+good AS (
+  SELECT * FROM nodes WHERE label IS NOT NULL
+    AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND list_dot_product(e, e) > 0
+),
+links AS (
+  SELECT a.id AS u, b.id AS v FROM good a JOIN good b ON a.label = b.label AND a.id <> b.id
+  WHERE CASE WHEN len(a.e) = len(b.e) THEN list_cosine_similarity(a.e, b.e) >= 0.98 ELSE false END
+),
+{REACHED}
+SELECT id AS vec_id, (SELECT count(*) FROM links WHERE links.u = reached.id) AS n_links, min(r) AS component_id,
+  id = min(r) AS kept
+FROM reached GROUP BY id
+"""
+
+NEAR_DUPLICATES = f"""
+WITH RECURSIVE worded AS (
+  SELECT doc_id AS id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+'), []) AS w
+  FROM documents
+),
+nodes AS (
+  SELECT id, CASE WHEN len(w) = 0 THEN [] ELSE list_distinct(list_transform(range(greatest(1, len(w) - 3)),
+    lambda i: array_to_string(w[i + 1:i + 4], ' '))) END AS s
+  FROM worded
+),
+each AS (SELECT id, len(s) AS n, unnest(s) AS s FROM nodes),
+shared AS (
+  SELECT a.id AS u, b.id AS v, a.n AS m, b.n AS n, count(*) AS c FROM each a JOIN each b
+    ON a.s = b.s AND a.id <> b.id AND 100 * a.n >= 80 * b.n AND 100 * b.n >= 80 * a.n
+  GROUP BY ALL
+),
+links AS (SELECT u, v FROM shared WHERE 100 * c >= 80 * (m + n - c)),
+{REACHED}
+SELECT id AS doc_id, any_value(len(s)) AS n_shingles, min(r) AS component_id, id = min(r) AS kept
+FROM reached JOIN nodes USING (id) GROUP BY id
+"""
+
+_CONTROLS = (
+    r"<\\*\|turn\|>|<\\*\|end\|>|<\\*\|endoftext\|>|<\\*s>|<\\*/s>|\[\\*INST\]|\[\\*/INST\]|<\\*<SYS>>|<\\*</SYS>>"
+)
+
+# A turn is <|turn|>role, a line break, the text, <|end|> and a line break; each control string
+# in role and text has one backslash more.
+CHATS = f"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'
+),
+marked AS (SELECT *, replace(replace(role, '\\', '\\\\'), chr(10), '\\n') AS mark FROM turns),
+sized AS (
+  SELECT *, 17 + length(mark) + length(text) + len(regexp_extract_all(mark, '{_CONTROLS}'))
+    + len(regexp_extract_all(text, '{_CONTROLS}')) AS size
+  FROM marked
+),
+whole AS (
+  SELECT conv_id, count(*) AS n_turns, string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text) AS said,
+    coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '') AS learned,
+    sum(size)::BIGINT AS size, string_agg(role || ',', '' ORDER BY turn, role, text) AS roles
+  FROM sized GROUP BY conv_id
+)
+SELECT conv_id, n_turns, sha256(said) AS turns_sha256, length(learned) AS loss_chars, sha256(learned) AS loss_sha256,
+  size AS formatted_chars, regexp_full_match(roles, '(system,)?(user,assistant,)+') AS valid_order
+FROM whole
+"""
+
+
+def _either_case(words: str) -> str:
+    return "".join(f"[{c.upper()}{c}]" if c.isalpha() else c for c in words)
+
+
+_SECRETS = (
+    (0, f"(?:{_either_case('password|passwd|secret|token|api_?key')})[\"'']?\\x20*[:=]\\x20*[\"'']?([A-Za-z0-9+/_.=-]+)", 1, 8),
+    (1, "AKIA[A-Z0-9]+", 0, 16), (2, "[0-9a-f]{32,}", 0, 32), (3, "[A-Za-z0-9+/_-]{24,}", 0, 24),
+)
+_MATCHES = " UNION ALL ".join(
+    f"SELECT doc_id, source, lang, {number} AS kind, {least} AS least, regexp_extract_all(t, '{p}') AS m,"
+    f" regexp_extract_all(t, '{p}', {group}) AS v, string_split_regex(t, '{p}') AS s FROM docs"
+    for number, p, group, least in _SECRETS
+)
+
+# A long mixed token is a candidate; a value of one owner in up to four repositories is live.
+SECRETS = f"""
+WITH docs AS (SELECT doc_id, source, lang, coalesce(text, '') AS t FROM documents),
+matches AS ({_MATCHES}),
+listed AS (
+  SELECT doc_id, source, lang, kind, least, unnest(range(len(m))) AS i, unnest(m) AS m, unnest(v) AS v, unnest(s[:len(m)]) AS s
+  FROM matches
+),
+placed AS (
+  SELECT *, (sum(length(s) + length(m)) OVER (PARTITION BY doc_id, kind ORDER BY i))::BIGINT AS e FROM listed
+),
+spans AS (
+  SELECT doc_id, source, lang, kind, e - length(m) AS a, e, v FROM placed
+  WHERE length(v) >= least AND (kind < 3 OR regexp_matches(v, '[A-Z]') AND regexp_matches(v, '[a-z]') AND regexp_matches(v, '[0-9]'))
+),
+found AS (
+  SELECT * FROM spans c WHERE kind < 3
+    OR NOT EXISTS (SELECT 1 FROM spans b WHERE b.kind < 3 AND b.doc_id = c.doc_id AND b.a < c.e AND c.a < b.e)
+),
+judged AS (
+  SELECT v, count(DISTINCT coalesce('=' || source, '')) <= 1
+    AND count(DISTINCT (coalesce('=' || source, ''), coalesce('=' || lang, ''))) <= 4 AS live
+  FROM found GROUP BY v
+),
+named AS (
+  SELECT doc_id, kind, a, live, ['assign', 'access', 'hex', 'owned'][kind + 1] || ':' || a || ':' || e AS told
+  FROM found JOIN judged USING (v) WHERE kind < 3 OR live
+),
+whole AS (
+  SELECT doc_id, count(*) FILTER (kind = 0) AS n_assign, count(*) FILTER (kind = 1) AS n_access,
+    count(*) FILTER (kind = 2) AS n_hex, string_agg(told, ',' ORDER BY a, kind) FILTER (kind < 3) AS base,
+    string_agg(told, ',' ORDER BY a, kind) AS spans, count(*) FILTER (kind < 3 AND live) AS n_live,
+    count(*) FILTER (kind < 3 AND NOT live) AS n_copied
+  FROM named GROUP BY doc_id
+)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+  sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans, coalesce(n_live, 0) AS n_live,
+  coalesce(n_copied, 0) AS n_copied
+FROM docs LEFT JOIN whole USING (doc_id)
+"""

@@ -11,11 +11,16 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from turnwise.llm import (
-    bpe, chat, chosenpath, covertree, merkle, mixing, oracles, packing, pii, quality, secrets, spelling, styletree, winnowing,
+    bpe, chat, chosenpath, covertree, merkle, mixing, oracles, packing, pii, quality, secrets, spelling, styletree,
+    winnowing,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {
+    "op2_scan_secrets": oracles.SECRETS,
+    "op3_embedding_duplicates": oracles.EMBEDDINGS,
+    "op5_format_chats": oracles.CHATS,
+    "op8_near_duplicates": oracles.NEAR_DUPLICATES,
     "op11_merkle_manifest": oracles.MERKLE,
     "op12_spelling_variants": oracles.SPELLING,
 }
