@@ -238,6 +238,20 @@ def _(spark, sf):
     return rejected.select("o_orderkey", F.array_join("errors", "; ").alias("errors"))
 
 
+@query("append_batch", f"""
+SELECT CAST(o_orderkey % 2 AS VARCHAR) AS batch, errors = '' AS accepted, count(*) AS rows FROM ({ERRORS}) GROUP BY ALL
+""")
+def _(spark, sf):
+    root = scratch_path(spark, "batches")
+    rows = derive(spark, sf, ROWS)
+    for batch in ("0", "1", "0"):
+        accepted, rejected = writers.append_batch(rows.where(F.col("o_orderkey") % 2 == int(batch)), root, batch)
+    both = accepted.select("batch", F.lit(True).alias("accepted")).unionByName(
+        rejected.select("batch", F.lit(False).alias("accepted"))
+    )
+    return both.groupBy("batch", "accepted").agg(F.count("*").alias("rows"))
+
+
 @query("tagging_fanout", """
 SELECT o_orderkey, 'Live' AS data_label, unnest(['11', '12', '13']) AS project_id FROM {orders}
 """)

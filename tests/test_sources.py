@@ -8,7 +8,7 @@ import sqlite3
 import pytest
 from pyspark.sql import functions as F
 
-from turnwise.sources import readers, records, sqlite
+from turnwise.sources import readers, records, sqlite, writers
 
 
 @pytest.fixture
@@ -146,3 +146,15 @@ def test_sqlite_columns_and_odd_tables(spark, tmp_path):
     assert rows_of(readers.read_table(spark, "t", sqlite={"path": str(tmp_path / "w.db")})) == ["('a', 1)", "('b', None)"]
     with pytest.raises(Exception, match="no such table|no table"):
         readers.read_table(spark, "x", sqlite={"path": str(tmp_path / "a.db")}).count()
+
+
+def test_a_batch_written_twice_adds_nothing(spark, tmp_path):
+    table = {"k": ("int", None, True), "s": ("string", 3, False)}
+    rows = lambda values: spark.createDataFrame(values, "k string, s string")
+    batches = [("07", [("1", "a"), ("x", "b"), ("2", "long")]), ("b", [("3", None)]), ("07", [("1", "a"), ("x", "b"), ("2", "long")])]
+    for batch, values in batches:
+        accepted, rejected = writers.append_batch(rows(values), str(tmp_path), batch, table)
+    assert rows_of(accepted) == ["(1, 'a', '07')", "(3, None, 'b')"]
+    assert sorted((r.k, len(r.errors), r.batch) for r in rejected.collect()) == [("2", 1, "07"), ("x", 1, "07")]
+    with pytest.raises(ValueError):
+        writers.append_batch(rows([]), str(tmp_path), "a/b", table)

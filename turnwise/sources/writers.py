@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from turnwise.operators.datasets import corpus_lines
 
@@ -89,6 +91,27 @@ def validated_append(
     return accepted, checked.where(F.size("errors") > 0)
 
 
+def append_batch(
+    df: DataFrame, root: str, batch: str, table: Mapping[str, tuple] = BREACH_TABLE
+) -> tuple[DataFrame, DataFrame]:
+    """SNK-3 with storage: the accepted rows of a batch go to ``root``/accepted, the rejected
+    ones with their errors to ``root``/rejected; gives both tables as they are then.
+
+    Each batch has a partition of its own, which it writes as a whole. So a batch that is
+    written again, after a failure or by mistake, adds nothing.
+    """
+    if not re.fullmatch(r"[A-Za-z0-9_.-]+", batch):
+        raise ValueError(f"{batch!r} cannot name a batch")
+    parts = dict(zip(("accepted", "rejected"), validated_append(df, table)))
+    for name, rows in parts.items():
+        rows.write.mode("overwrite").parquet(f"{root}/{name}/batch={batch}")
+    # Every name is text, also one that looks like a number.
+    read = lambda name: df.sparkSession.read.schema(
+        StructType([*parts[name].schema.fields, StructField("batch", StringType())])
+    ).parquet(f"{root}/{name}")
+    return read("accepted"), read("rejected")
+
+
 def tagging_fanout(
     df: DataFrame, project_ids: Sequence[int | str], data_label: str = DEFAULT_DATA_LABEL
 ) -> tuple[DataFrame, DataFrame]:
