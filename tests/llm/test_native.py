@@ -108,6 +108,19 @@ def test_ownership_separates_copied_from_own(documents):
     assert got == {1: f"owned:2:{2 + len(own)}", 2: f"owned:0:{len(own)}", 3: "", 4: ""}
 
 
+def test_a_value_in_many_repositories_is_copied(documents):
+    """One owner, but a value that stands all over its repositories is an example too."""
+    few, many = "Ab3" + "xYz9" * 6, "Qw7" + "kLm2" * 6
+    docs = documents(
+        [(i, few, "a") for i in range(4)] + [(10 + i, f"{many} token = {many}", "a") for i in range(5)]
+    ).withColumn("repo", F.col("doc_id"))
+    rows = secrets.scan(docs, repository=("source", "repo")).collect()
+    for r in rows:
+        assert (len(r.spans), r.live, r.copied) == ((1, 0, 0) if r.doc_id < 10 else (1, 0, 1))
+    # In one repository both are the owner's own.
+    assert all(r.live + r.copied == 0 or r.live == 1 for r in secrets.scan(docs).collect())
+
+
 def test_masking(odd):
     masked = secrets.mask_documents(odd)
     assert masked.columns == odd.columns and masked.count() == odd.count()

@@ -229,7 +229,7 @@ found AS (
 ),
 judged AS (
   SELECT v, count(DISTINCT coalesce('=' || source, '')) <= 1
-    AND count(DISTINCT (coalesce('=' || source, ''), coalesce('=' || lang, ''))) <= 4 AS live
+    AND count(DISTINCT (coalesce('=' || source, ''), doc_id // 100)) <= 4 AS live
   FROM found GROUP BY v
 ),
 named AS (

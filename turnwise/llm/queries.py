@@ -25,6 +25,8 @@ ORACLE: dict[str, str] = {
     "op12_spelling_variants": oracles.SPELLING,
 }
 RANKS = "byte_bpe_50k.tiktoken"
+# Documents of a source with consecutive ids that count as one repository.
+RANGE = 100
 # The two highest ids of 16 bits, above the vocabulary: they end a document and fill up a row.
 END, PAD = 65_534, 65_535
 
@@ -49,7 +51,9 @@ def op1_mix_sources(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def op2_scan_secrets(spark: SparkSession, sf: str) -> DataFrame:
-    found = secrets.scan(table(spark, sf, "documents"))
+    # A repository is a stretch of a source's documents: RANGE consecutive ids.
+    docs = table(spark, sf, "documents").withColumn("_repository", F.floor(F.col("doc_id") / RANGE))
+    found = secrets.scan(docs, repository=("source", "_repository"))
     return found.select(
         "doc_id",
         *[secrets.count_kind(F.col("base"), k).alias(f"n_{k}") for k in ("assign", "access", "hex")],
