@@ -8,6 +8,8 @@ from registry.base import TURNS, derive, query, table
 from registry.text import BLANKS, redacted_sql
 from turnwise.functions import text
 from turnwise.operators import calls
+from turnwise.session import scratch_path
+from turnwise.sources import writers
 
 CLEANED = f"""
 SELECT call_id, conversation_id, reftime,
@@ -49,6 +51,25 @@ def _(spark, sf):
     return whole.select("call_id", text.redact_numbers(F.col("transcript")).alias("transcript"))
 
 
+# Written in order, with calls that go on from file to file, and read again.
+@query("call_lines", f"""
+SELECT call_id, conversation_id AS id, FALSE AS is_user, bot AS utterance, 'BOT: ' || bot AS line FROM ({CLEANED})
+UNION ALL SELECT call_id, conversation_id, TRUE, person, 'USER: ' || person FROM ({CLEANED})
+""")
+def _(spark, sf):
+    path = writers.write_call_lines(calls.call_lines(derive(spark, sf, TURNS)), scratch_path(spark, "lines"))
+    return spark.read.parquet(path).withColumn("line", calls.transcript_line())
+
+
+@query("call_heads", f"""
+SELECT call_id, min(call_uuid) AS call_uuid, min(reftime) AS reftime, first(audio_url ORDER BY conversation_id) AS audio_url,
+  2 * count(*) AS n_turns FROM ({TURNS}) GROUP BY call_id
+""")
+def _(spark, sf):
+    heads = calls.call_heads(derive(spark, sf, TURNS))
+    return heads.select("call_id", "call_uuid", "reftime", "audio_url", "n_turns")
+
+
 @query("first_per_key", """
 SELECT event_id, user_id, event_type, value FROM (SELECT *, row_number() OVER (
   PARTITION BY user_id ORDER BY ts, event_id) AS r FROM {events}) WHERE r = 1

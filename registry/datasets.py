@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from registry.base import TAGS, derive, query, table
 from registry.jsons import FIRST_TAG
 from turnwise.operators import datasets
+from turnwise.session import scratch_path
+from turnwise.sources import readers
 
 
 @query("merge_tagged_sources", f"""
@@ -103,6 +105,20 @@ def _(spark, sf):
     return newest.select("o_orderkey", "o_custkey", "o_totalprice")
 
 
+# The same rows by the names of folders: a run per priority in a folder per year and month.
+@query("newest_run", """
+WITH o AS (SELECT o_orderkey, o_totalprice, strftime(o_orderdate, '%Y-%m') AS month, o_orderpriority AS run FROM {orders})
+SELECT * FROM o WHERE month = (SELECT max(month) FROM o) AND run = (SELECT max(run) FROM o WHERE month = (SELECT max(month) FROM o))
+""")
+def _(spark, sf):
+    path = scratch_path(spark, "runs")
+    orders = table(spark, sf, "orders").select(
+        "o_orderkey", "o_totalprice", F.date_format("o_orderdate", "yyyy-MM").alias("month"), F.col("o_orderpriority").alias("run")
+    )
+    orders.write.partitionBy("month", "run").parquet(path)
+    return readers.read_newest_run(spark, path)
+
+
 WORDS = "unnest(list_filter(regexp_split_to_array(text, '\\s+'), lambda w: w <> ''))"
 
 

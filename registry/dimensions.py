@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from registry.base import derive, query, table
-from turnwise.operators import dimensions
+from turnwise.operators import dimensions, versions
+from turnwise.session import scratch_path
 
 # Known situations: pairs of brand and kind with an id; some are no longer valid.
 KNOWN = """
@@ -71,6 +72,33 @@ def _(spark, sf):
     return again.agg(F.count("*").alias("rows"))
 
 
+# Two runs at once: the second one, with the even parts, commits while the first one works.
+@query("get_or_create_at_once", f"""
+SELECT id, situation, scenario, scenario_category, is_valid, CAST(3 AS BIGINT) AS versions FROM ({KNOWN}) UNION ALL
+SELECT (SELECT max(id) FROM ({KNOWN})) + row_number() OVER (ORDER BY early DESC, md5({KEY_TEXT}), situation, scenario, scenario_category),
+  situation, scenario, scenario_category, TRUE, 3 FROM ({CREATED})
+JOIN (SELECT situation, scenario, scenario_category, max(p_partkey % 2 = 0) AS early FROM ({WANTED}) GROUP BY ALL)
+USING (situation, scenario, scenario_category)
+""")
+def _(spark, sf):
+    root = scratch_path(spark, "situations")
+    versions.start_versions(derive(spark, sf, KNOWN), root)
+    wanted = derive(spark, sf, WANTED)
+    even = lambda dim: dimensions.get_or_create(dim, wanted.where("p_partkey % 2 = 0"), KEY)
+    second = []
+
+    def all_parts(dim):
+        found = dimensions.get_or_create(dim, wanted, KEY)
+        if not second:
+            second.append(versions.update_version(spark, root, even))
+        return found
+
+    _, version = versions.update_version(spark, root, all_parts)
+    return versions.read_version(spark, root).select(
+        "id", *KEY, "is_valid", F.lit(version).cast("bigint").alias("versions")
+    )
+
+
 FACTS = """
 SELECT l_orderkey * 10 + l_linenumber AS fact, min(l_partkey) + 1 AS situation_id, min(l_suppkey) AS prompt_id, 'p' AS project_name
 FROM {lineitem} GROUP BY l_orderkey * 10 + l_linenumber

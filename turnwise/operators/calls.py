@@ -69,6 +69,18 @@ def limit_seeded(df: DataFrame, key: str, limit: int, seed: object = 0.5) -> Dat
     return df.where((place < last) & ~there).unionByName(ties)
 
 
+def _line(is_user: bool, said: str) -> Column:
+    return F.struct(
+        F.col("conversation_id").alias("id"), F.lit(is_user).alias("is_user"),
+        text.clean_utterance(F.col(said)).alias("utterance"),
+    )
+
+
+def _lines() -> Column:
+    """The bot turn and the user turn of an input row."""
+    return F.array(_line(False, "bot_response"), _line(True, "primary_utterance"))
+
+
 def assemble_calls(turns: DataFrame) -> DataFrame:
     """AGG-1: one row per call with its turns in order, bot before user.
 
@@ -78,15 +90,11 @@ def assemble_calls(turns: DataFrame) -> DataFrame:
     which is the result, meets in one task. Turn ids must be unique within a call.
     """
     meta = [c for c in CALL_META if c in turns.columns]
-    line = lambda is_user, said: F.struct(
-        F.col("conversation_id").alias("id"), F.lit(is_user).alias("is_user"),
-        text.clean_utterance(F.col(said)).alias("utterance"),
-    )
     parts = (
         turns.withColumn("_part", F.pmod(F.xxhash64("conversation_id"), F.lit(PARTS)))
         .groupBy("call_id", "_part")
         .agg(
-            F.collect_list(F.array(line(False, "bot_response"), line(True, "primary_utterance"))).alias("turns"),
+            F.collect_list(_lines()).alias("turns"),
             F.min(F.struct("conversation_id", *meta)).alias("first"),
         )
     )
@@ -100,6 +108,30 @@ def assemble_calls(turns: DataFrame) -> DataFrame:
     )
 
 
+def call_lines(turns: DataFrame) -> DataFrame:
+    """AGG-1 as a table of lines, for calls that no cell can hold: call_id, id, is_user and
+    utterance, the turns of ``assemble_calls`` with a row each. A call's order is that of
+    (id, is_user). Nothing is gathered or shuffled.
+    """
+    return turns.select("call_id", F.inline(_lines()))
+
+
+def call_heads(turns: DataFrame) -> DataFrame:
+    """The other half of AGG-1 for such calls: the metadata of a call's first row and
+    n_turns, its number of lines. Summed up inside the tasks, so a call of any length is a row
+    per task in the shuffle."""
+    meta = [c for c in CALL_META if c in turns.columns]
+    heads = turns.groupBy("call_id").agg(
+        F.min(F.struct("conversation_id", *meta)).alias("first"), (2 * F.count("*")).alias("n_turns")
+    )
+    return heads.select("call_id", *[F.col(f"first.{c}").alias(c) for c in meta], "n_turns")
+
+
+def transcript_line() -> Column:
+    """AGG-2 for one row of ``call_lines``."""
+    return F.concat(F.when(F.col("is_user"), "USER: ").otherwise("BOT: "), F.col("utterance"))
+
+
 def render_transcript(calls: DataFrame, name: str = "transcript") -> DataFrame:
     """AGG-2: the turns as one text between call marks."""
     lines = F.transform(

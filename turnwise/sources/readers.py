@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import fnmatch
 from collections.abc import Iterable, Sequence
 from datetime import date, datetime
 from functools import reduce
@@ -14,6 +15,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 from turnwise.operators.filters import date_bounds
 from turnwise.session import store
 from turnwise.sources import records
+from turnwise.sources.folders import child_names, newest
 from turnwise.sources.sqlite import read_sqlite
 
 # CSV cells that count as missing.
@@ -156,3 +158,20 @@ def read_annotation_jobs(
     if end:
         rows = rows.where(F.col(ts) <= literal(end))
     return rows
+
+
+def read_newest_run(spark: SparkSession, root: str, run: str = "*", format: str = "parquet", **options) -> DataFrame:
+    """WIN-4 by names: the newest run in the newest date folder below ``root``.
+
+    Only the names of the date folders and those in the newest one are listed, and only the
+    run's own files are read; ``latest_snapshot`` gives the same rows where the two are columns of
+    a table. ``run`` is a pattern for names of runs (``*-tagged`` for datasets of one kind). Date
+    folders without such a run are passed over. Folders named ``column=value`` give these
+    columns, as usual for partitions.
+    """
+    for day in newest(child_names(spark, root)):
+        runs = fnmatch.filter(child_names(spark, f"{root}/{day}"), run)
+        if runs:
+            # The names of the listing, as text, are the path: what they escape stays so.
+            return spark.read.format(format).options(**options, basePath=root).load(f"{root}/{day}/{newest(runs)[0]}")
+    raise ValueError(f"{root} holds no run {run}")

@@ -62,6 +62,19 @@ def write_text_lines(df: DataFrame, col: str, path: str) -> str:
     return path
 
 
+def write_call_lines(lines: DataFrame, path: str, files: int | None = None) -> str:
+    """AGG-1 stored: the rows of ``call_lines`` in the order (call_id, id, is_user), over as many
+    files as ``files`` or the shuffle partitions say.
+
+    Files follow each other in that order, so a call of any length goes on from one file to the
+    next, no task holds it whole, and a reader of one call opens only the files it lies in.
+    """
+    order = ["call_id", "id", "is_user"]
+    ranges = lines.repartitionByRange(files, *order) if files else lines.repartitionByRange(*order)
+    ranges.sortWithinPartitions(*order).write.mode("overwrite").parquet(path)
+    return path
+
+
 def with_errors(df: DataFrame, table: Mapping[str, tuple]) -> DataFrame:
     """Adds ``errors``, the reasons why a row does not fit the typed table."""
     rules: list[Column] = []
