@@ -10,6 +10,8 @@ from turnwise.functions import let
 # JSON texts of an empty value, and the form of a number that is zero.
 EMPTY = ("null", "false", '""', "[]", "{}")
 ZERO = r"^-?0(\.0*)?([eE][-+]?[0-9]+)?$"
+# The fields of a predicted entity that are read.
+PREDICTED = "struct<entity_type:string,type:string,value:variant,body:string>"
 
 def _text(v: Column, path: str = "$") -> Column:
     return F.try_variant_get(v, path, "string")
@@ -154,52 +156,54 @@ def quoted(text: Column) -> Column:
     return let(F.to_json(F.array(text)), lambda j: F.substring(j, F.lit(2), F.length(j) - 2))
 
 
-def _interval(v: Column) -> Column:
-    """JSON text of an interval: text ends are wrapped; wrapped ends are kept; else null."""
-    end = lambda key: F.to_json(F.try_variant_get(v, f"$.{key}", "variant"))
+def _interval(v: Column, ends: Column) -> Column:
+    """An interval with its ends from and to: text ends are wrapped; wrapped ends are kept; else
+    null."""
     wrap = lambda key: let(
-        end(key),
+        F.to_json(ends[key]),
         lambda j: F.when(
             j.startswith('"'), F.concat(F.lit(f'"{key}":{{"value":'), j, F.lit("}"))
         ),
     )
-    holds = lambda key: _present(F.try_variant_get(v, f"$.{key}.value", "variant"))
+    holds = lambda key: _present(F.try_variant_get(ends[key], "$.value", "variant"))
     return let(
         F.concat_ws(",", wrap("from"), wrap("to")),
-        lambda w: F.when(w != "", F.concat(F.lit("{"), w, F.lit("}"))).when(
-            holds("from") | holds("to"), F.to_json(v)
+        lambda w: F.when(w != "", F.try_parse_json(F.concat(F.lit("{"), w, F.lit("}")))).when(
+            holds("from") | holds("to"), v
         ),
     )
 
 
 def _entity_value(v: Column) -> Column:
-    """JSON text of the value of a predicted entity."""
-    has = lambda key: F.try_variant_get(v, f"$.{key}", "variant").isNotNull()
+    """The value of a predicted entity."""
     return let(
-        F.to_json(v),
-        lambda j: F.when(j.startswith("{") & (has("from") | has("to")), _interval(v)).otherwise(j),
+        F.try_variant_get(v, "$", "struct<from:variant,to:variant>"),
+        lambda ends: F.when(ends["from"].isNotNull() | ends["to"].isNotNull(), _interval(v, ends)).otherwise(v),
     )
 
 
 def normalize_predicted_entities(c: Column) -> Column:
-    """JSN-9: predicted entities as a JSON list of (type, value, text)."""
+    """JSN-9: predicted entities as a JSON list of (type, value, text).
+
+    An item is taken apart once, into a typed row, and written once.
+    """
 
     def shaped(item: Column) -> Column:
-        kind = F.coalesce(
-            F.nullif(_text(item, "$.entity_type"), F.lit("")), _text(item, "$.type")
-        )
-        value = let(F.try_variant_get(item, "$.value", "variant"), _entity_value)
-        return F.concat(
-            F.lit('{"type":'), quoted(kind),
-            F.lit(',"value":'), F.coalesce(value, F.lit("null")),
-            F.lit(',"text":'), quoted(_text(item, "$.body")),
-            F.lit("}"),
-        )
+        def write(e: Column) -> Column:
+            known = F.coalesce(e["body"], e["type"], e["entity_type"]).isNotNull()
+            row = F.struct(
+                F.coalesce(F.nullif(e["entity_type"], F.lit("")), e["type"]).alias("type"),
+                _entity_value(e["value"]).alias("value"),
+                e["body"].alias("text"),
+            )
+            # Items without these fields, or that are no objects, count if they hold anything.
+            return F.when(known | _present(item), F.to_json(row, {"ignoreNullFields": "false"}))
+
+        return let(F.try_variant_get(item, "$", PREDICTED), write)
 
     items = F.try_variant_get(F.try_parse_json(c), "$", "array<variant>")
-    written = F.transform(F.filter(items, _present), shaped)
     return let(
-        written,
+        F.array_compact(F.transform(items, shaped)),
         lambda w: F.when(
             F.size(w) > 0, F.concat(F.lit("["), F.array_join(w, ","), F.lit("]"))
         ),
