@@ -202,6 +202,36 @@ def test_cover_tree(spark, monkeypatch):
     assert covertree.near_duplicates(vectors.limit(0)).count() == 0
 
 
+def test_cover_tree_repeated_ids(spark):
+    """Rows of one id with different vectors, a repeated row and null ids."""
+    rows = [
+        (1, [1.0, 0.0], 1), (1, [0.0, 1.0], 1), (2, [1.0, 0.01], 1), (3, [0.01, 1.0], 1), (3, [0.01, 1.0], 1),
+        (None, [-1.0, 0.0], 1), (9, [-1.0, 0.01], 1), (None, None, None),
+    ]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+    got = [(r.vec_id, r.n_links) for r in covertree.near_duplicates(vectors).collect()]
+    assert sorted(got, key=str) == sorted(
+        [(1, 1), (1, 2), (2, 1), (3, 2), (3, 2), (None, 1), (9, 1), (None, 0)], key=str
+    )
+    by = {(r.vec_id, r.n_links): r.component_id for r in covertree.near_duplicates(vectors).collect()}
+    assert by[2, 1] == by[3, 2] == 1 and by[9, 1] == 9
+
+
+def test_nets_cover_and_keep_apart():
+    rng = np.random.default_rng(5)
+    v = np.repeat(rng.normal(size=(150, 6)), 5, axis=0) + rng.normal(scale=0.1, size=(750, 6))
+    v /= np.linalg.norm(v, axis=1, keepdims=True)
+    apart = np.sqrt(np.maximum(0, 2 - 2 * v @ v.T))
+    above = np.zeros(len(v), np.int64)
+    for radius in covertree.RADII:
+        node, far, centres = covertree._net(v, above, radius)
+        assert (node[centres] == np.arange(len(centres))).all() and (above[centres[node]] == above).all()
+        assert np.allclose(far, apart[centres[node], np.arange(len(v))], atol=1e-6) and (far <= radius).all()
+        same = (above[centres][:, None] == above[centres][None, :]) & ~np.eye(len(centres), dtype=bool)
+        assert (apart[np.ix_(centres, centres)][same] > radius - 1e-9).all()
+        above = node
+
+
 def test_packing_round_trip(odd):
     packed = packing.pack_texts(odd, length=512)
     pieces = packing.segments(packed).collect()

@@ -16,7 +16,6 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from turnwise.llm.chosenpath import _runs
 from turnwise.llm.graph import components
 from turnwise.session import store
 
@@ -25,6 +24,8 @@ COSINE = 0.98
 LEAF, FAN, DEPTH = 2_000, 8, 8
 # Radii of the nested levels inside a leaf.
 RADII = (1.0, 0.5, 0.25, 0.125)
+# Vectors whose distances to others of a leaf are worked out together.
+BLOCK = 256
 _SLACK = 1e-7
 
 
@@ -48,24 +49,38 @@ def _distance(a: Column, b: Column) -> Column:
     return F.sqrt(F.greatest(2 - 2 * dot, F.lit(0.0)))
 
 
+def _matrix(column) -> np.ndarray:
+    """The vectors of an Arrow column, all of one length, as rows."""
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
+
+
+def _changes(*columns) -> np.ndarray:
+    """Where rows of Arrow columns differ from the row before, 0 and the end included."""
+    codes = [c.dictionary_encode().indices.to_numpy() for c in columns]
+    return np.r_[0, np.flatnonzero(np.any([np.diff(c) != 0 for c in codes], axis=0)) + 1, len(columns[0])]
+
+
 def _nearest(batches: Iterator) -> Iterator:
-    """Sends each vector to the nearest of the centres it came with."""
+    """Sends each vector to the nearest of the centres it came with, which are taken from
+    Arrow once for all vectors of a node in a batch."""
     import pyarrow as pa
 
     for batch in batches:
-        nodes, centres = batch.column("node").to_pylist(), batch.column("centres").to_pylist()
-        vectors = batch.column("v").to_pylist()
-        names, far, made = [], [], {}
-        for node, listed, v in zip(nodes, centres, vectors):
-            if node not in made:
-                made[node] = np.array([c["v"] for c in listed]), [c["k"] for c in listed]
-            table, numbers = made[node]
-            dots = table @ np.array(v)
-            best = int(dots.argmax())
-            names.append(f"{node}.{numbers[best]}")
-            far.append(float(np.sqrt(max(0.0, 2 - 2 * dots[best]))))
+        if batch.num_rows == 0:
+            continue
+        batch = pa.Table.from_batches([batch]).sort_by("node").combine_chunks().to_batches()[0]
+        names, far = [], []
+        edges = _changes(batch.column("node"))
+        for first, end in zip(edges, edges[1:]):
+            part = batch.slice(first, end - first)
+            node, centres = part.column("node")[0].as_py(), part.column("centres")[0].as_py()
+            dots = _matrix(part.column("v")) @ np.array([c["v"] for c in centres]).T
+            best = dots.argmax(axis=1)
+            children = np.array([f"{node}.{c['k']}" for c in centres], object)
+            names.extend(children[best])
+            far.append(np.sqrt(np.maximum(0, 2 - 2 * dots[np.arange(len(best)), best])))
         yield pa.RecordBatch.from_arrays(
-            [pa.array(names, pa.string()), batch.column("rep"), pa.array(nodes, pa.string()), pa.array(far, pa.float64())],
+            [pa.array(names, pa.string()), batch.column("rep"), batch.column("node"), pa.array(np.concatenate(far))],
             ["node", "rep", "parent", "far"],
         )
 
@@ -143,31 +158,57 @@ def upper_tree(points: DataFrame, near: float) -> tuple[DataFrame, DataFrame]:
     return leaf, whole.where("a <> b or x <= y").select(F.col("x").alias("a"), F.col("y").alias("b"))
 
 
+def _net(v: np.ndarray, above: np.ndarray, radius: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Centres inside the nodes ``above`` so that each vector has one within ``radius`` and no
+    two of a node are closer: (node of every vector, its distance to the centre, centres).
+
+    Distances are taken from a block of vectors at a time, and only to those that no centre
+    covers yet, so the memory is that of a block.
+    """
+    node, far = np.full(len(v), -1), np.zeros(len(v))
+    order = np.argsort(above, kind="stable")
+    starts = np.r_[0, np.flatnonzero(np.diff(above[order])) + 1, len(v)]
+    # A vector alone in its node is its centre.
+    alone = np.diff(starts) == 1
+    centres = order[starts[:-1][alone]].tolist()
+    node[centres] = np.arange(len(centres))
+    for first, end in zip(starts[:-1][~alone], starts[1:][~alone]):
+        members = order[first:end]
+        while len(members):
+            block = members[:BLOCK]
+            apart = np.sqrt(np.maximum(0, 2 - 2 * (v[block] @ v[members].T)))
+            near = apart <= radius
+            np.fill_diagonal(near, True)
+            # So is one without any other vector near it.
+            lonely = np.count_nonzero(near, axis=1) == 1
+            node[block[lonely]] = len(centres) + np.arange(lonely.sum())
+            centres.extend(block[lonely])
+            open_ = np.ones(len(members), bool)
+            open_[: len(block)] = ~lonely
+            for at in np.flatnonzero(~lonely):
+                if not open_[at]:
+                    continue
+                inside = np.flatnonzero(open_ & near[at])
+                node[members[inside]] = len(centres)
+                far[members[inside]] = apart[at, inside]
+                centres.append(block[at])
+                open_[inside] = False
+            members = members[open_]
+    return node, far, np.array(centres)
+
+
 class _Tree:
     """Nested levels over the vectors of a leaf: the node of every vector, the centre and
     the covering radius of every node."""
 
     def __init__(self, v: np.ndarray):
         self.v = v
-        n = len(v)
-        apart = np.sqrt(np.maximum(0, 2 - 2 * (v @ v.T)))
         self.levels = []
-        above = np.zeros(n, np.int64)
+        above = np.zeros(len(v), np.int64)
         for radius in RADII:
-            node = np.full(n, -1)
-            centres = []
-            order = np.argsort(above, kind="stable")
-            cuts = np.flatnonzero(np.diff(above[order])) + 1
-            for members in np.split(order, cuts):
-                while len(members):
-                    c = members[0]
-                    inside = apart[c, members] <= radius
-                    node[members[inside]] = len(centres)
-                    centres.append(c)
-                    members = members[~inside]
-            centres = np.array(centres)
+            node, far, centres = _net(v, above, radius)
             cover = np.zeros(len(centres))
-            np.maximum.at(cover, node, apart[centres[node], np.arange(n)])
+            np.maximum.at(cover, node, far)
             self.levels.append((node, centres, cover))
             above = node
         # Children of the nodes of each level; those of the last level are the vectors.
@@ -194,8 +235,13 @@ def close_pairs(a: _Tree, b: _Tree, cosine: float) -> tuple[np.ndarray, np.ndarr
     """All (i, j) with cosine of a[i], b[j] at or above the bound, by dual traversal."""
     near = np.sqrt(2 - 2 * cosine) + _SLACK
     (_, ca, ra), (_, cb, rb) = a.levels[0], b.levels[0]
-    far = np.sqrt(np.maximum(0, 2 - 2 * (a.v[ca] @ b.v[cb].T)))
-    x, y = np.nonzero(far <= ra[:, None] + rb[None, :] + near)
+    x, y = [], []
+    for at in range(0, len(ca), BLOCK):
+        far = np.sqrt(np.maximum(0, 2 - 2 * (a.v[ca[at : at + BLOCK]] @ b.v[cb].T)))
+        i, j = np.nonzero(far <= ra[at : at + BLOCK, None] + rb[None, :] + near)
+        x.append(i + at)
+        y.append(j)
+    x, y = np.concatenate(x), np.concatenate(y)
     for level in range(len(RADII)):
         y, x = _expand(b, level, y, x)
         x, y = _expand(a, level, x, y)
@@ -226,14 +272,33 @@ def _labels(n: int, x: np.ndarray, y: np.ndarray) -> np.ndarray:
             return label
 
 
+def _leaf_pairs(batches: Iterator) -> Iterator[tuple]:
+    """(a, b, whether a row is of a, rep, first, n, v) for each pair of leaves of sorted batches."""
+    import pyarrow.compute as pc
+
+    whole = lambda key, held: (*key, *[np.concatenate(parts) for parts in zip(*held)])
+    key, held = None, []
+    for batch in batches:
+        edges = _changes(batch.column("a"), batch.column("b")) if batch.num_rows else [0]
+        for first, end in zip(edges, edges[1:]):
+            part = batch.slice(first, end - first)
+            names = part.column("a")[0].as_py(), part.column("b")[0].as_py()
+            if names != key:
+                if held:
+                    yield whole(key, held)
+                key, held = names, []
+            side = pc.equal(part.column("node"), names[0]).to_numpy(zero_copy_only=False)
+            numbers = [part.column(c).to_numpy(zero_copy_only=False) for c in ("rep", "n")]
+            held.append((side, numbers[0], np.array(part.column("first").to_pylist(), object), numbers[1], _matrix(part.column("v"))))
+    if held:
+        yield whole(key, held)
+
+
 def _compare_leaves(cosine: float):
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        for group in _runs(batches, ["a", "b"], ["node", "rep", "n", "v"]):
-            name_a, name_b = group["key"]
-            v, n = np.array(group["v"]), np.array(group["n"])
-            side = np.array([x == name_a for x in group["node"]])
+        for name_a, name_b, side, rep, first, n, v in _leaf_pairs(batches):
             left, right = np.flatnonzero(side), np.flatnonzero(~side)
             tree = _Tree(v[left])
             if name_a == name_b:
@@ -248,10 +313,10 @@ def _compare_leaves(cosine: float):
             np.add.at(links, x, n[y])
             np.add.at(links, y, n[x])
             root = _labels(len(v), x, y)
-            rep = np.array(group["rep"])
             at = np.flatnonzero(links)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(rep[at]), pa.array(links[at]), pa.array(rep[root[at]])], ["rep", "links", "root"]
+                [pa.array(rep[at]), pa.array(links[at]), pa.array(first[at], pa.int64()), pa.array(first[root[at]], pa.int64())],
+                ["rep", "links", "u", "v"],
             )
 
     return run
@@ -266,7 +331,9 @@ def near_duplicates(
     Vectors link within a label, at this cosine or above. Null labels, unusable vectors (null,
     zero, or with null or non-finite components) and vectors of another length than others
     of their label link with nothing of that kind. Equal vectors are compared once and
-    counted as often as they stand there; no task gives all pairs of a group.
+    counted as often as they stand there; no task gives all pairs of a group. A row that is
+    repeated is another vector, and rows of one id with different vectors have links of their
+    own; a null id takes part with its links, but no component is named after it.
     """
     near = float(np.sqrt(2 - 2 * cosine))
     good = F.col(label).isNotNull() & usable(F.col(vector))
@@ -277,25 +344,27 @@ def near_duplicates(
     )
     sets = store(
         keyed.where("root is not null").groupBy("root", "h", "g")
-        .agg(F.min("id").alias("rep"), F.count("*").alias("n"), F.any_value("raw").alias("raw")),
+        .agg(F.min("id").alias("first"), F.count("*").alias("n"), F.any_value("raw").alias("raw"))
+        # The table is written once, so the numbers stay; one id may stand for several vectors.
+        .withColumn("rep", F.monotonically_increasing_id()),
         "vectors",
     )
-    points = store(sets.select("rep", "root", "n", _normal(F.col("raw")).alias("v")), "points")
+    points = store(sets.select("rep", "first", "root", "n", _normal(F.col("raw")).alias("v")), "points")
     leaf, pairs = upper_tree(points, near)
     pairs = store(pairs, "pairs")
     ends = pairs.select("a", "b", F.explode(F.array_distinct(F.array("a", "b"))).alias("node"))
     work = (
-        leaf.join(points.select("rep", "n", "v"), "rep").join(ends, "node")
-        .select("a", "b", "node", "rep", "n", "v")
+        leaf.join(points.select("rep", "first", "n", "v"), "rep").join(ends, "node")
+        .select("a", "b", "node", "rep", "first", "n", "v")
         .repartition("a", "b").sortWithinPartitions("a", "b")
     )
-    found = store(work.mapInArrow(_compare_leaves(cosine), "rep bigint, links bigint, root bigint"), "links")
-    linked = components(found.select(F.col("rep").alias("u"), F.col("root").alias("v")))
+    found = store(work.mapInArrow(_compare_leaves(cosine), "rep bigint, links bigint, u bigint, v bigint"), "links")
+    linked = components(found.select("u", "v"))
     degrees = found.groupBy("rep").agg(F.sum("links").alias("links"))
-    classes = sets.select("root", "h", "g", "rep", "n").join(degrees, "rep", "left").join(
-        linked.select(F.col("id").alias("rep"), "component_id"), "rep", "left"
+    classes = sets.select("root", "h", "g", "rep", "first", "n").join(degrees, "rep", "left").join(
+        linked.select(F.col("id").alias("first"), "component_id"), "first", "left"
     )
-    component = F.coalesce("component_id", "rep", "id")
+    component = F.coalesce("component_id", "first", "id")
     return keyed.join(classes, ["root", "h", "g"], "left").select(
         F.col("id").alias(id),
         (F.coalesce("n", F.lit(1)) - 1 + F.coalesce("links", F.lit(0))).cast("bigint").alias("n_links"),
