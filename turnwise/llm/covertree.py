@@ -37,11 +37,20 @@ def usable(vector: Column) -> Column:
     return F.coalesce(finite & F.exists(vector, lambda x: x != 0), F.lit(False))
 
 
-def _normal(vector: Column) -> Column:
-    """The vector with length 1, in double precision."""
-    wide = vector.cast("array<double>")
-    length = F.sqrt(F.aggregate(wide, F.lit(0.0), lambda s, x: s + x * x))
-    return F.transform(wide, lambda x: x / length)
+def _normal(batches: Iterator) -> Iterator:
+    """Vectors ``raw`` as ``v`` with length 1, in double precision; they may differ in size."""
+    import pyarrow as pa
+
+    for batch in batches:
+        raw = batch.column("raw")
+        flat = raw.flatten().to_numpy(zero_copy_only=False).astype(float)
+        sizes = raw.value_lengths().to_numpy(zero_copy_only=False)
+        if len(flat):
+            edges = np.cumsum(sizes) - sizes
+            flat = flat / np.repeat(np.sqrt(np.add.reduceat(flat * flat, edges)), sizes)
+        vectors = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(sizes)], pa.int32()), pa.array(flat))
+        names = ["rep", "first", "root", "n"]
+        yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in names], vectors], [*names, "v"])
 
 
 def _distance(a: Column, b: Column) -> Column:
@@ -349,7 +358,8 @@ def near_duplicates(
         .withColumn("rep", F.monotonically_increasing_id()),
         "vectors",
     )
-    points = store(sets.select("rep", "first", "root", "n", _normal(F.col("raw")).alias("v")), "points")
+    schema = "rep bigint, first bigint, root string, n bigint, v array<double>"
+    points = store(sets.select("rep", "first", "root", "n", "raw").mapInArrow(_normal, schema), "points")
     leaf, pairs = upper_tree(points, near)
     pairs = store(pairs, "pairs")
     ends = pairs.select("a", "b", F.explode(F.array_distinct(F.array("a", "b"))).alias("node"))
